@@ -4,8 +4,9 @@ from candela.functions.columns import (
     calendar_keys,
     month_label,
     pct,
+    pearson,
     position_return_rate,
     round_to,
 )
 
-__all__ = ["calendar_keys", "month_label", "pct", "position_return_rate", "round_to"]
+__all__ = ["calendar_keys", "month_label", "pct", "pearson", "position_return_rate", "round_to"]

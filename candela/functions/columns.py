@@ -57,3 +57,16 @@ def round_to(x, digits: int | None) -> Column:
     """Round half-to-even (like numpy's ``round``) to ``digits`` decimals; ``None`` keeps the value."""
     col = _c(x)
     return col if digits is None else F.bround(col, digits)
+
+
+def pearson(x, y) -> Column:
+    """Pearson correlation aggregate over the rows where both values are present.
+
+    Built from ``covar_samp`` and ``stddev_samp`` so that a constant series gives NaN (as
+    ``DataFrame.stat.corr`` does) instead of a division-by-zero error under ANSI mode; fewer than two
+    rows give null.
+    """
+    x, y = _c(x), _c(y)
+    xs, ys = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    spread = F.stddev_samp(xs) * F.stddev_samp(ys)
+    return F.when(spread == 0, F.lit(float("nan"))).otherwise(F.try_divide(F.covar_samp(xs, ys), spread))

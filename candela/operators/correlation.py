@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from candela.functions.columns import pearson
 from candela.operators.calendar import by_date, dated
 
 # Pair lists are built on the driver by the caller, so their size is known; up to this many pairs
@@ -30,7 +31,7 @@ def column_correlation(bars: DataFrame, col1: str, col2: str, nulls: str = "zero
     ``nulls="drop"`` leaves out rows where either value is missing.
     """
     x, y = _nulls(F.col(col1).cast("double"), nulls), _nulls(F.col(col2).cast("double"), nulls)
-    return bars.groupBy("symbol").agg(F.corr(x, y).alias("correlation"))
+    return bars.groupBy("symbol").agg(pearson(x, y).alias("correlation"))
 
 
 def _pairs_frame(spark: SparkSession, pairs: Iterable[tuple[str, str]]) -> DataFrame:
@@ -71,7 +72,7 @@ def correlation_between(
     right = _indexed(bars, col2, on).select(F.col("symbol").alias("symbol_2"), "key", F.col("value").alias("y"))
     joined = pair_df.join(left, "symbol_1").join(right, ["symbol_2", "key"])
     return joined.groupBy("symbol_1", "symbol_2").agg(
-        F.corr(_nulls(F.col("x"), nulls), _nulls(F.col("y"), nulls)).alias("correlation")
+        pearson(_nulls(F.col("x"), nulls), _nulls(F.col("y"), nulls)).alias("correlation")
     )
 
 
@@ -87,7 +88,7 @@ def correlation_matrix(bars: DataFrame, symbol_1: str, symbol_2: str, column: st
     d2 = series.where(F.col("symbol") == symbol_2).select("key", F.col("value").alias("D2"))
     both = d1.join(d2, "key", "full")
     stats = both.agg(
-        F.corr("D1", "D1").alias("c11"), F.corr("D1", "D2").alias("c12"), F.corr("D2", "D2").alias("c22")
+        pearson("D1", "D1").alias("c11"), pearson("D1", "D2").alias("c12"), pearson("D2", "D2").alias("c22")
     )
     rows = F.array(
         F.struct(F.lit("D1").alias("variable"), F.col("c11").alias("D1"), F.col("c12").alias("D2")),
