@@ -1,0 +1,5 @@
+"""Incremental ingestion of price files into the ``bars`` table."""
+
+from candela.streaming.ingest import ingest_price_files
+
+__all__ = ["ingest_price_files"]

@@ -1,0 +1,51 @@
+"""Append new price CSV files from a folder to a Parquet ``bars`` table, each file exactly once.
+
+This is the folder scan of ``read_bars_csv`` run as a Structured Streaming file source: the stream's
+checkpoint records which files were taken, so a rerun (or a run restarted after lost executors) picks up
+only files that arrived since, and a failed batch is redone without duplicating rows. With the default
+``available_now=True`` the query processes what is there and stops, like a batch job.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from candela.schema import BARS_COLUMNS, CSV_SCHEMA
+from candela.session import checkpoint_dir
+
+
+def ingest_price_files(
+    spark: SparkSession,
+    source_dir: str,
+    table_path: str,
+    checkpoint: str | None = None,
+    available_now: bool = True,
+    max_files_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """Start the ingestion query and return it (call ``awaitTermination()`` to wait).
+
+    ``checkpoint`` defaults to a folder named after the table under ``spark.checkpoint.dir``.
+    """
+    if checkpoint is None:
+        checkpoint = f"{checkpoint_dir(spark).rstrip('/')}/ingest-{table_path.strip('/').replace('/', '_')}"
+    reader = spark.readStream.schema(CSV_SCHEMA).option("header", True).option("pathGlobFilter", "*.csv")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    raw = reader.csv(source_dir)
+    volume = F.col("Volume")
+    bars = raw.select(
+        F.regexp_extract(F.col("_metadata.file_name"), r"([^/]+)\.[cC][sS][vV]$", 1).alias("symbol"),
+        F.col("Date").try_cast("date").alias("Date"),
+        "Open",
+        "High",
+        "Low",
+        "Close",
+        F.coalesce(volume.try_cast("bigint"), volume.try_cast("double").try_cast("bigint")).alias("Volume"),
+        "Dividends",
+        "Stock Splits",
+    ).select(*BARS_COLUMNS)
+    writer = bars.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start(table_path)

@@ -1,0 +1,28 @@
+import os
+
+from candela.streaming import ingest_price_files
+
+HEADER = "Date,Open,High,Low,Close,Volume,Dividends,Stock Splits\n"
+
+
+def _write(folder, name, lines):
+    with open(os.path.join(folder, name), "w") as f:
+        f.write(HEADER + "".join(lines))
+
+
+def test_new_files_are_appended_once(spark, scratch):
+    src = os.path.join(scratch, "incoming")
+    table = os.path.join(scratch, "bars_stream")
+    os.makedirs(src, exist_ok=True)
+    _write(src, "AAA.csv", ["2020-01-02 00:00:00-05:00,1,2,0.5,1.5,100,0,0\n", "2020-01-03,1,2,0.5,1.5,100,0,0\n"])
+    _write(src, "BBB.csv", ["2020-01-02,3,4,2.5,3.5,200,0,0\n"])
+    ingest_price_files(spark, src, table).awaitTermination()
+    assert spark.read.parquet(table).count() == 3
+
+    ingest_price_files(spark, src, table).awaitTermination()  # nothing new: no duplicates
+    assert spark.read.parquet(table).count() == 3
+
+    _write(src, "CCC.csv", ["2021-05-05,7,8,6,7.5,300.0,0,0\n"])
+    ingest_price_files(spark, src, table).awaitTermination()
+    rows = {(r.symbol, r.Volume) for r in spark.read.parquet(table).collect()}
+    assert rows == {("AAA", 100), ("BBB", 200), ("CCC", 300)}
