@@ -108,44 +108,25 @@ bars AS (
   FROM orders LEFT JOIN q ON o_orderkey = k
   GROUP BY o_orderpriority, CAST(o_orderdate AS DATE))"""
 
-BARS_COLS = 'symbol, "Date", "Open", "High", "Low", "Close", "Volume", "Dividends", "Stock Splits"'
-BARS_COLS_R6 = (
-    'symbol, "Date", round("Open", 6) AS "Open", round("High", 6) AS "High", round("Low", 6) AS "Low", '
-    'round("Close", 6) AS "Close", "Volume", round("Dividends", 6) AS "Dividends", '
-    'round("Stock Splits", 6) AS "Stock Splits"'
+OPEN, CLOSE = '"Open"', '"Close"'
+
+
+def _ident(name: str) -> str:
+    return f'"{name}"'
+W = 'PARTITION BY symbol ORDER BY "Date"'
+
+
+def r6(expr: str) -> str:
+    """SQL form of ``round_exact``: absorb noise at 9 decimals, then round half away from zero to 6."""
+    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,9)), 6) AS DOUBLE)"
+
+
+BARS_COLS_R6 = ", ".join(
+    ["symbol", '"Date"']
+    + [f'{r6(_ident(c))} AS "{c}"' for c in ("Open", "High", "Low", "Close")]
+    + ['"Volume"']
+    + [f'{r6(_ident(c))} AS "{c}"' for c in ("Dividends", "Stock Splits")]
 )
-W = "PARTITION BY symbol ORDER BY \"Date\""
-
-
-def _exact_rounding(sql: str) -> str:
-    """Rewrite each ``round(<expr>, 6)`` as the SQL form of ``round_exact``."""
-    out, i, n = [], 0, len(sql)
-    while i < n:
-        ch = sql[i]
-        if ch in "\"'":
-            j = sql.index(ch, i + 1)
-            out.append(sql[i : j + 1])
-            i = j + 1
-        elif sql.startswith("round(", i) and (i == 0 or not (sql[i - 1].isalnum() or sql[i - 1] == "_")):
-            depth, j = 1, i + 6
-            while depth:
-                c = sql[j]
-                if c in "\"'":
-                    j = sql.index(c, j + 1)
-                elif c == "(":
-                    depth += 1
-                elif c == ")":
-                    depth -= 1
-                j += 1
-            inner = sql[i + 6 : j - 1]
-            expr, _, digits = inner.rpartition(",")
-            expr = _exact_rounding(expr)
-            out.append(f"CAST(ROUND(CAST({expr} AS DECIMAL(38,9)), {digits.strip()}) AS DOUBLE)")
-            i = j
-        else:
-            out.append(ch)
-            i += 1
-    return "".join(out)
 
 
 def _with(*ctes: str) -> str:
@@ -181,57 +162,53 @@ _SHIFT = {"w": "W+1", "m": "M+1", "y": "Y+1"}
 
 def _return_rate_period(period: str) -> str:
     if period == "d":
-        return _with() + f'SELECT {BARS_COLS_R6}, round(COALESCE({_rate(chr(34)+"Open"+chr(34), chr(34)+"Close"+chr(34))}, 0), 6) AS "Return_Rate(%)" FROM bars'
-    s = f'Open({_SHIFT[period]})'
+        return _with() + f'SELECT {BARS_COLS_R6}, {r6(f"COALESCE({_rate(OPEN, CLOSE)}, 0)")} AS "Return_Rate(%)" FROM bars'
+    s = f"Open({_SHIFT[period]})"
     key = {"w": "", "m": "month_nb, ", "y": "year_nb, "}[period]
-    target = '"Close"' if period == "y" else "prev_open"
+    target = CLOSE if period == "y" else "prev_open"
     return _with(
         _rep(period),
         f'r AS (SELECT *, LAG("Open") OVER ({W}) AS prev_open FROM rep)',
     ) + (
-        f'SELECT symbol, "Date", {key}round("Open", 6) AS "Open", round(COALESCE(prev_open, 0), 6) AS "{s}", '
-        f'round(COALESCE({_rate(chr(34)+"Open"+chr(34), target)}, 0), 6) AS "Return_Rate(%)" FROM r'
+        f'SELECT symbol, "Date", {key}{r6(OPEN)} AS "Open", {r6("COALESCE(prev_open, 0)")} AS "{s}", '
+        f'{r6(f"COALESCE({_rate(OPEN, target)}, 0)")} AS "Return_Rate(%)" FROM r'
     )
 
 
 def _max_return_rate(period: str) -> str:
     inner = _return_rate_period(period)
-    return f'SELECT symbol, round(MAX("Return_Rate(%)"), 6) AS "Max_Return_Rate" FROM ({inner}) t GROUP BY symbol'
+    return f'SELECT symbol, {r6('MAX("Return_Rate(%)")')} AS "Max_Return_Rate" FROM ({inner}) t GROUP BY symbol'
 
 
 def _stock_variation(period: str, where: str = "") -> str:
     src = f"(SELECT * FROM bars {where})"
+    variation = r6(f'COALESCE("Open" - LAG("Open") OVER ({W}), 0)')
     if period == "d":
-        return _with() + (
-            f'SELECT symbol, "Date", round(COALESCE("Open" - LAG("Open") OVER ({W}), 0), 6) AS "Variation_Open_Price" '
-            f"FROM {src} b"
-        )
-    return _with(_rep(period, src)) + (
-        f'SELECT symbol, "Date", round(COALESCE("Open" - LAG("Open") OVER ({W}), 0), 6) AS "Variation_Open_Price" FROM rep'
-    )
+        return _with() + f'SELECT symbol, "Date", {variation} AS "Variation_Open_Price" FROM {src} b'
+    return _with(_rep(period, src)) + f'SELECT symbol, "Date", {variation} AS "Variation_Open_Price" FROM rep'
 
 
 def _period_return(period: str, where: str = "") -> str:
     src = f"(SELECT * FROM bars {where})"
     if period == "d":
-        return _with() + f'SELECT {BARS_COLS_R6}, round(COALESCE({_pct(chr(34)+"Open"+chr(34), chr(34)+"Close"+chr(34))}, 0), 6) AS "Daily_Return" FROM {src} b'
+        return _with() + f'SELECT {BARS_COLS_R6}, {r6(f"COALESCE({_pct(OPEN, CLOSE)}, 0)")} AS "Daily_Return" FROM {src} b'
     s = f"Close({_SHIFT[period]})"
     return _with(_rep(period, src), f'r AS (SELECT *, LEAD("Close") OVER ({W}) AS nxt FROM rep)') + (
-        f'SELECT symbol, "Date", round("Open", 6) AS "Open", round(COALESCE(nxt, 0), 6) AS "{s}", '
-        f'round(COALESCE({_pct(chr(34)+"Open"+chr(34), "nxt")}, 0), 6) AS "Benefit" FROM r'
+        f'SELECT symbol, "Date", {r6(OPEN)} AS "Open", {r6("COALESCE(nxt, 0)")} AS "{s}", '
+        f'{r6(f"COALESCE({_pct(OPEN, 'nxt')}, 0)")} AS "Benefit" FROM r'
     )
 
 
 def _max_return(period: str) -> str:
     col = "Daily_Return" if period == "d" else "Benefit"
-    return f'SELECT symbol, round(MAX("{col}"), 6) AS "Max_Return" FROM ({_period_return(period)}) t GROUP BY symbol'
+    return f'SELECT symbol, {r6(f'MAX("{col}")')} AS "Max_Return" FROM ({_period_return(period)}) t GROUP BY symbol'
 
 
 def _avg_price(period: str) -> str:
     keys = _keys(period, "year")
     names = [k.rsplit(" AS ", 1)[1] for k in keys]
     return _with() + (
-        f'SELECT symbol, {", ".join(keys)}, round(COALESCE(AVG("Open"), 0), 6) AS "Average_Price" '
+        f'SELECT symbol, {", ".join(keys)}, {r6("COALESCE(AVG(" + OPEN + "), 0)")} AS "Average_Price" '
         f'FROM bars GROUP BY symbol, {", ".join(names)}'
     )
 
@@ -240,9 +217,9 @@ def _avg_return(period: str) -> str:
     title = {"w": "Weekly", "m": "Monthly", "y": "Yearly"}[period]
     keys = _keys(period)
     names = [k.rsplit(" AS ", 1)[1] for k in keys]
-    daily = f'COALESCE({_pct(chr(34)+"Open"+chr(34), chr(34)+"Close"+chr(34))}, 0)'
+    daily = f"COALESCE({_pct(OPEN, CLOSE)}, 0)"
     return _with() + (
-        f'SELECT symbol, {", ".join(keys)}, round(COALESCE(AVG({daily}), 0), 6) AS "{title}_Return" '
+        f'SELECT symbol, {", ".join(keys)}, {r6(f"COALESCE(AVG({daily}), 0)")} AS "{title}_Return" '
         f'FROM bars GROUP BY symbol, {", ".join(names)}'
     )
 
@@ -278,32 +255,32 @@ def _segments(days: int, value: str, src: str = "bars") -> list[str]:
     ]
 
 
+_SPAN = 'CAST(a.pd AS VARCHAR) || \' to \' || CAST(a."Date" AS VARCHAR)'
+
+
 def _anchored_avg_price(period: str) -> str:
     return _with(*_segments(_DAYS[period], 'b."Open"')) + (
-        'SELECT a.symbol, a."Date" AS "Period", round(s.av, 6) AS "Average_Open_Price($)" FROM a '
+        f'SELECT a.symbol, a."Date" AS "Period", {r6("s.av")} AS "Average_Open_Price($)" FROM a '
         "LEFT JOIN savg s ON s.symbol = a.symbol AND s.seg = a.k - 1 WHERE a.k >= 1"
     )
 
 
 def _anchored_avg_return(period: str) -> str:
     return _with(*_segments(_DAYS[period], 'b."Close" - b."Open"')) + (
-        'SELECT a.symbol, CAST(a.pd AS VARCHAR) || \' to \' || CAST(a."Date" AS VARCHAR) AS "Period", '
-        'round(s.av, 6) AS "Average_Stock_Variation_($)" FROM a '
+        f'SELECT a.symbol, {_SPAN} AS "Period", {r6("s.av")} AS "Average_Stock_Variation_($)" FROM a '
         "LEFT JOIN savg s ON s.symbol = a.symbol AND s.seg = a.k - 1 WHERE a.k >= 1"
     )
 
 
 def _anchored_return_rate(period: str) -> str:
     return _with(*_chain(_DAYS[period])) + (
-        'SELECT symbol, CAST(pd AS VARCHAR) || \' to \' || CAST("Date" AS VARCHAR) AS "Period", '
-        f'round({_pct("po", chr(34)+"Close"+chr(34))}, 6) AS "Return_Rate_(%)" FROM a WHERE k >= 1'
+        f'SELECT a.symbol, {_SPAN} AS "Period", {r6(_pct("po", CLOSE))} AS "Return_Rate_(%)" FROM a WHERE k >= 1'
     )
 
 
 def _anchored_max_return_rate(period: str) -> str:
     return _with(*_chain(_DAYS[period])) + (
-        f'SELECT symbol, round(MAX({_pct("po", chr(34)+"Close"+chr(34))}), 6) AS "Max_Return_Rate" '
-        "FROM a WHERE k >= 1 GROUP BY symbol"
+        f'SELECT symbol, {r6(f"MAX({_pct("po", CLOSE)})")} AS "Max_Return_Rate" FROM a WHERE k >= 1 GROUP BY symbol'
     )
 
 
@@ -328,36 +305,34 @@ def _anchored_monthly_variation(limit: int | None) -> str:
         'lastrow AS (SELECT symbol, MAX("Date") AS ld FROM bars GROUP BY symbol)',
         'lastanchor AS (SELECT symbol, MAX(k) AS mk, MAX_BY("Open", k) AS ao FROM a GROUP BY symbol)',
     ) + (
-        'SELECT a.symbol, a."Date" AS "Period", round(a."Close" - a.po, 6) AS "Stock_Variation_($)" FROM a '
+        f'SELECT a.symbol, a."Date" AS "Period", {r6('a."Close" - a.po')} AS "Stock_Variation_($)" FROM a '
         "JOIN lastrow l ON l.symbol = a.symbol JOIN lastanchor la ON la.symbol = a.symbol "
         f'WHERE a.k >= 1 AND {lim} AND NOT ({tail_ok} AND a."Date" = l.ld) '
-        'UNION ALL SELECT b.symbol, b."Date", round(b."Close" - la.ao, 6) FROM bars b '
+        f'UNION ALL SELECT b.symbol, b."Date", {r6("b." + CLOSE + " - la.ao")} FROM bars b '
         'JOIN lastrow l ON l.symbol = b.symbol AND l.ld = b."Date" JOIN lastanchor la ON la.symbol = b.symbol '
         f"WHERE {tail_ok}"
     )
 
 
-_STATS_COLS = [
-    ("Date", False), ("Open", True), ("High", True), ("Low", True), ("Close", True),
-    ("Volume", True), ("Dividends", True), ("Stock Splits", True),
-]
+_STATS_COLS = ["Date", "Open", "High", "Low", "Close", "Volume", "Dividends", "Stock Splits"]
 
 
 def _descriptive_stats() -> str:
     parts = []
-    for c, numeric in _STATS_COLS:
-        dbl = c != "Date" and c != "Volume"
-        mn = f'round(MIN("{c}"), 6)' if dbl else f'MIN("{c}")'
-        mx = f'round(MAX("{c}"), 6)' if dbl else f'MAX("{c}")'
-        parts += [f'{mn} AS "min_{c}"', f'{mx} AS "max_{c}"']
-        if numeric:
-            parts.append(f'round(STDDEV_SAMP("{c}"), 6) AS "stddev_{c}"')
+    for c in _STATS_COLS:
+        q = f'"{c}"'
+        if c in ("Date", "Volume"):
+            parts += [f'MIN({q}) AS "min_{c}"', f'MAX({q}) AS "max_{c}"']
+        else:
+            parts += [f'{r6(f"MIN({q})")} AS "min_{c}"', f'{r6(f"MAX({q})")} AS "max_{c}"']
+        if c != "Date":
+            parts.append(f'{r6(f"STDDEV_SAMP({q})")} AS "stddev_{c}"')
     return _with() + f"SELECT symbol, {', '.join(parts)} FROM bars GROUP BY symbol"
 
 
 def _missing_counts() -> str:
     parts = []
-    for c, _ in _STATS_COLS:
+    for c in _STATS_COLS:
         if c in ("Date", "Volume"):
             parts.append(f'COUNT_IF("{c}" IS NULL) AS "missing_{c}"')
         else:
@@ -379,10 +354,10 @@ def oracle_queries() -> dict[str, str]:
         s[f"max_return_{p}"] = _max_return(p)
     rng = f"WHERE \"Date\" BETWEEN DATE '{ON}' AND DATE '{UNTIL}'"
     s["return_rate_until"] = _with() + (
-        f'SELECT {BARS_COLS_R6}, round({_rate(chr(34)+"Open"+chr(34), chr(34)+"Close"+chr(34))}, 6) AS "Return_Rate(%)" FROM bars {rng}'
+        f'SELECT {BARS_COLS_R6}, {r6(_rate(OPEN, CLOSE))} AS "Return_Rate(%)" FROM bars {rng}'
     )
     s["avg_price_until"] = _with() + (
-        f'SELECT symbol, round(AVG("Open"), 6) AS "Average_Open_Price_($)" FROM bars {rng} GROUP BY symbol'
+        f'SELECT symbol, {r6("AVG(" + OPEN + ")")} AS "Average_Open_Price_($)" FROM bars {rng} GROUP BY symbol'
     )
     s["stock_variation_until_m"] = _stock_variation("m", rng)
     s["period_return_until_m"] = _period_return("m", rng)
@@ -395,14 +370,13 @@ def oracle_queries() -> dict[str, str]:
         s[f"anchored_max_return_rate_{p}"] = _anchored_max_return_rate(p)
         s[f"anchored_volume_variation_{p}"] = _anchored_volume_variation(p)
     s["moving_average_5"] = _with() + (
-        f'SELECT {BARS_COLS_R6}, round(AVG("Open") OVER ({W} ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING), 6) '
-        'AS "Moving_Average" FROM bars'
+        f'SELECT {BARS_COLS_R6}, '
+        f'{r6(f"AVG({OPEN}) OVER ({W} ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING)")} AS "Moving_Average" '
+        "FROM bars"
     )
-    s["correlation_pair"] = _with(
-        f'i AS (SELECT symbol, "Open", "Close", ROW_NUMBER() OVER ({W}) AS idx FROM bars)'
-    ) + (
+    s["correlation_pair"] = _with(f'i AS (SELECT symbol, "Open", "Close", ROW_NUMBER() OVER ({W}) AS idx FROM bars)') + (
         f"SELECT '{SYMBOL_1}' AS symbol_1, '{SYMBOL_2}' AS symbol_2, "
-        'round(CORR(COALESCE(x."Open", 0), COALESCE(y."Close", 0)), 6) AS correlation '
+        f'{r6("CORR(COALESCE(x.\"Open\", 0), COALESCE(y.\"Close\", 0))")} AS correlation '
         f"FROM i x JOIN i y ON x.idx = y.idx WHERE x.symbol = '{SYMBOL_1}' AND y.symbol = '{SYMBOL_2}'"
     )
     s["correlation_matrix"] = _with(
@@ -411,15 +385,15 @@ def oracle_queries() -> dict[str, str]:
         f"FULL JOIN (SELECT * FROM i WHERE symbol = '{SYMBOL_2}') y ON x.idx = y.idx)",
         "c AS (SELECT CORR(d1, d1) AS c11, CORR(d1, d2) AS c12, CORR(d2, d2) AS c22 FROM j)",
     ) + (
-        f"SELECT '{SYMBOL_1}' AS symbol_1, '{SYMBOL_2}' AS symbol_2, 'D1' AS variable, round(c11, 6) AS \"D1\", "
-        f"round(c12, 6) AS \"D2\" FROM c UNION ALL SELECT '{SYMBOL_1}', '{SYMBOL_2}', 'D2', round(c12, 6), "
-        "round(c22, 6) FROM c"
+        f"SELECT '{SYMBOL_1}' AS symbol_1, '{SYMBOL_2}' AS symbol_2, 'D1' AS variable, {r6('c11')} AS \"D1\", "
+        f"{r6('c12')} AS \"D2\" FROM c UNION ALL SELECT '{SYMBOL_1}', '{SYMBOL_2}', 'D2', {r6('c12')}, "
+        f"{r6('c22')} FROM c"
     )
     s["dividend_return"] = _with() + (
-        f'SELECT {BARS_COLS_R6}, round("Dividends" * {DIVIDEND_SHARES}, 6) AS "Revenues" FROM bars'
+        f'SELECT {BARS_COLS_R6}, {r6(f'"Dividends" * {DIVIDEND_SHARES}')} AS "Revenues" FROM bars'
     )
     s["head_tail_40"] = _with(
-        f'h AS (SELECT *, ROW_NUMBER() OVER ({W}) AS rn, '
+        f"h AS (SELECT *, ROW_NUMBER() OVER ({W}) AS rn, "
         'ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY "Date" DESC) AS rd FROM bars)'
     ) + f"SELECT {BARS_COLS_R6} FROM h WHERE rn <= 40 UNION ALL SELECT {BARS_COLS_R6} FROM h WHERE rd <= 40"
     s["num_observations"] = _with() + "SELECT symbol, COUNT(*) AS num_observations FROM bars GROUP BY symbol"
@@ -435,7 +409,7 @@ def oracle_queries() -> dict[str, str]:
     s["descriptive_stats"] = _descriptive_stats()
     s["missing_counts"] = _missing_counts()
     s["column_correlation"] = _with() + (
-        'SELECT symbol, round(CORR(COALESCE("Open", 0), COALESCE("Close", 0)), 6) AS correlation '
+        f'SELECT symbol, {r6("CORR(COALESCE(" + OPEN + ", 0), COALESCE(" + CLOSE + ", 0))")} AS correlation '
         "FROM bars GROUP BY symbol"
     )
     s["sampling_frequency"] = _with(
@@ -449,20 +423,18 @@ def oracle_queries() -> dict[str, str]:
     )
     s["anchored_monthly_variation"] = _anchored_monthly_variation(None)
     s["anchored_monthly_variation_first3"] = _anchored_monthly_variation(3)
-    s["intraday_variation"] = _with() + (
-        f'SELECT {BARS_COLS_R6}, round("Close" - "Open", 6) AS "Stock_Variation" FROM bars'
-    )
+    s["intraday_variation"] = _with() + f'SELECT {BARS_COLS_R6}, {r6(CLOSE + " - " + OPEN)} AS "Stock_Variation" FROM bars'
     s["max_daily_return"] = _with() + (
-        'SELECT symbol, round(MAX("Close" - "Open"), 6) AS "Maximum_profit" FROM bars GROUP BY symbol'
+        f'SELECT symbol, {r6("MAX(" + CLOSE + " - " + OPEN + ")")} AS "Maximum_profit" FROM bars GROUP BY symbol'
     )
     s["latest_average"] = _with(
         'l AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY "Date" DESC) AS rd FROM bars)'
     ) + (
-        f'SELECT {BARS_COLS_R6}, round(AVG("Open") OVER (PARTITION BY symbol), 6) AS "Moving_Average" '
+        f'SELECT {BARS_COLS_R6}, {r6("AVG(" + OPEN + ") OVER (PARTITION BY symbol)")} AS "Moving_Average" '
         f"FROM l WHERE rd <= {WINDOW}"
     )
     s["month_label"] = _with() + (
         f'SELECT {BARS_COLS_R6}, {_MONTHS_SQL}[month("Date")] || \'-\' || CAST(year("Date") AS VARCHAR) '
         'AS "Month_Label" FROM bars'
     )
-    return {k: _exact_rounding(v) for k, v in s.items()}
+    return s
