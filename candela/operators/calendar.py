@@ -40,9 +40,13 @@ def _date(value) -> Column:
     return value if isinstance(value, Column) else F.to_date(F.lit(str(value)))
 
 
-def last_bar(bars: DataFrame, period: str, columns=("Open", "Close"), year_name: str = "year_nb") -> DataFrame:
-    """Representative bar of each (symbol, calendar period): the period's latest day and its values."""
-    keys = calendar_keys(period, year_name=year_name)
+def last_bar(
+    bars: DataFrame, period: str, columns=("Open", "Close"), year_name: str = "year_nb", iso_year: bool = False
+) -> DataFrame:
+    """Representative bar of each (symbol, calendar period): the period's latest day and its values.
+
+    ``iso_year=True`` pairs ISO weeks with the ISO week-numbering year instead of the calendar year."""
+    keys = calendar_keys(period, year_name=year_name, iso_year=iso_year)
     values = [F.max_by(c, "Date").alias(c) for c in columns]
     return dated(bars).groupBy("symbol", *keys).agg(F.max("Date").alias("Date"), *values)
 
@@ -58,10 +62,10 @@ def avg_price_until(bars: DataFrame, on, until, field: str = "Open") -> DataFram
 
 
 # A2
-def avg_price_period(bars: DataFrame, period: str, field: str = "Open") -> DataFrame:
+def avg_price_period(bars: DataFrame, period: str, field: str = "Open", iso_year: bool = False) -> DataFrame:
     """Mean of ``field`` per symbol and calendar week / month / year: ``Average_Price`` (null -> 0)."""
     check_calendar_period(period, ("w", "m", "y"))
-    keys = calendar_keys(period, year_name="year")
+    keys = calendar_keys(period, year_name="year", iso_year=iso_year)
     return (
         dated(bars)
         .groupBy("symbol", *keys)
@@ -71,26 +75,30 @@ def avg_price_period(bars: DataFrame, period: str, field: str = "Open") -> DataF
 
 
 # A3
-def stock_variation(bars: DataFrame, period: str = "d") -> DataFrame:
+def stock_variation(bars: DataFrame, period: str = "d", iso_year: bool = False) -> DataFrame:
     """Change of the Open price against the previous day ('d') or previous period's representative bar.
 
     Output ``symbol, Date, Variation_Open_Price``; the first row of each symbol gets 0.
     'w' is an extension (same rule on weekly representative bars).
     """
     check_calendar_period(period)
-    rows = dated(bars).select("symbol", "Date", "Open") if period == "d" else last_bar(bars, period, ("Open",))
+    rows = (
+        dated(bars).select("symbol", "Date", "Open")
+        if period == "d"
+        else last_bar(bars, period, ("Open",), iso_year=iso_year)
+    )
     variation = (F.col("Open") - F.lag("Open").over(by_date())).alias("Variation_Open_Price")
     return rows.select("symbol", "Date", variation).fillna(0)
 
 
 # A4
-def stock_variation_until(bars: DataFrame, on, until, period: str = "d") -> DataFrame:
+def stock_variation_until(bars: DataFrame, on, until, period: str = "d", iso_year: bool = False) -> DataFrame:
     """``stock_variation`` of the rows in ``[on, until]``; the filter runs before the window."""
-    return stock_variation(between_dates(bars, on, until), period)
+    return stock_variation(between_dates(bars, on, until), period, iso_year)
 
 
 # A6
-def period_return(bars: DataFrame, period: str = "d") -> DataFrame:
+def period_return(bars: DataFrame, period: str = "d", iso_year: bool = False) -> DataFrame:
     """Return from a period's Open to the next period's Close.
 
     'd': every column plus ``Daily_Return = pct(Open, Close)``.
@@ -102,24 +110,24 @@ def period_return(bars: DataFrame, period: str = "d") -> DataFrame:
     if period == "d":
         return dated(bars).withColumn("Daily_Return", pct("Open", "Close")).fillna(0)
     nxt = f"Close({_SHIFT_NAME[period]})"
-    rows = last_bar(bars, period, ("Open", "Close"))
+    rows = last_bar(bars, period, ("Open", "Close"), iso_year=iso_year)
     with_next = rows.select("symbol", "Date", "Open", F.lead("Close").over(by_date()).alias(nxt))
     return with_next.withColumn("Benefit", pct("Open", nxt)).fillna(0)
 
 
 # A7
-def period_return_until(bars: DataFrame, on, until, period: str = "d") -> DataFrame:
+def period_return_until(bars: DataFrame, on, until, period: str = "d", iso_year: bool = False) -> DataFrame:
     """``period_return`` of the rows in ``[on, until]``."""
-    return period_return(between_dates(bars, on, until), period)
+    return period_return(between_dates(bars, on, until), period, iso_year)
 
 
 # A8
-def avg_return(bars: DataFrame, period: str) -> DataFrame:
+def avg_return(bars: DataFrame, period: str, iso_year: bool = False) -> DataFrame:
     """Mean daily return per calendar week / month / year: ``Weekly_Return`` / ``Monthly_Return`` /
     ``Yearly_Return``. Daily returns that are null are counted as 0 before averaging."""
     check_calendar_period(period, ("w", "m", "y"))
     daily = period_return(bars, "d")
-    keys = calendar_keys(period, year_name="year_nb")
+    keys = calendar_keys(period, year_name="year_nb", iso_year=iso_year)
     return (
         daily.groupBy("symbol", *keys)
         .agg(F.avg("Daily_Return").alias(f"{period_title(period)}_Return"))
@@ -152,14 +160,14 @@ def dividend_return(bars: DataFrame, shares: float, output_col: str = "Revenues"
 
 
 # A14
-def max_return(bars: DataFrame, period: str) -> DataFrame:
+def max_return(bars: DataFrame, period: str, iso_year: bool = False) -> DataFrame:
     """Largest ``Benefit`` of ``period_return`` per symbol as ``Max_Return`` ('d': largest daily return)."""
     value = "Daily_Return" if period == "d" else "Benefit"
-    return period_return(bars, period).groupBy("symbol").agg(F.max(value).alias("Max_Return"))
+    return period_return(bars, period, iso_year).groupBy("symbol").agg(F.max(value).alias("Max_Return"))
 
 
 # A16
-def return_rate_period(bars: DataFrame, period: str, shares: float) -> DataFrame:
+def return_rate_period(bars: DataFrame, period: str, shares: float, iso_year: bool = False) -> DataFrame:
     """Return rate of a position of ``shares`` per period.
 
     'd': every column plus ``Return_Rate(%)`` from Open to Close.
@@ -174,7 +182,7 @@ def return_rate_period(bars: DataFrame, period: str, shares: float) -> DataFrame
     if period == "d":
         return dated(bars).withColumn("Return_Rate(%)", position_return_rate("Open", "Close", shares)).fillna(0)
     shifted = f"Open({_SHIFT_NAME[period]})"
-    rows = last_bar(bars, period, ("Open", "Close"))
+    rows = last_bar(bars, period, ("Open", "Close"), iso_year=iso_year)
     rows = rows.withColumn(shifted, F.lag("Open").over(by_date()))
     target = "Close" if period == "y" else shifted
     rows = rows.withColumn("Return_Rate(%)", position_return_rate("Open", target, shares))
@@ -183,10 +191,10 @@ def return_rate_period(bars: DataFrame, period: str, shares: float) -> DataFrame
 
 
 # A15
-def max_return_rate(bars: DataFrame, period: str, shares: float) -> DataFrame:
+def max_return_rate(bars: DataFrame, period: str, shares: float, iso_year: bool = False) -> DataFrame:
     """Largest ``Return_Rate(%)`` of ``return_rate_period`` per symbol as ``Max_Return_Rate``."""
     return (
-        return_rate_period(bars, period, shares)
+        return_rate_period(bars, period, shares, iso_year)
         .groupBy("symbol")
         .agg(F.max("Return_Rate(%)").alias("Max_Return_Rate"))
     )

@@ -6,22 +6,35 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings this library relies on; anything already set on the session (cluster defaults) wins.
+# Settings this library relies on. They fill gaps only: a value set by the cluster (spark-defaults,
+# submit options) or passed in ``conf`` wins.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.ui.enabled": "false",
 }
 
 
 def get_session(app: str = "candela", master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
-    builder = SparkSession.builder.appName(app)
+    """Session with AQE (partition coalescing, skew-join splitting) on and the web UI off.
+
+    Shuffle width is left to the cluster: with AQE, set ``spark.sql.shuffle.partitions`` (or
+    ``spark.sql.adaptive.coalescePartitions.initialPartitionNum``) high enough that the widest shuffle —
+    line items per order key in the bars adapter — stays near ``advisoryPartitionSizeInBytes`` per task;
+    AQE merges the small post-aggregation shuffles back down.
+    """
+    conf = dict(conf or {})
+    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
+    for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    cluster = spark.sparkContext.getConf()
+    for key, value in DEFAULT_CONF.items():
+        if key not in conf and not cluster.contains(key):
+            spark.conf.set(key, value)
+    return spark
 
 
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:

@@ -157,3 +157,14 @@ def test_empty_and_single_row(spark):
         assert ops.period_return(one, p).count() == 1
         assert ops.stock_variation(one, p).first().Variation_Open_Price == 0.0
     assert ops.moving_average(one, "Open", 5).first().Moving_Average == 1.0
+
+
+def test_iso_year_option_moves_week_one(spark):
+    bars = make_bars(spark, [("S", d, 10.0, 11.0) for d in ("2019-01-02", "2019-12-30", "2019-12-31", "2020-01-02")])
+    got = sorted((r.week_nb, r.year) for r in ops.avg_price_period(bars, "w", iso_year=True).collect())
+    assert got == [(1, 2019), (1, 2020)]
+    counts = {
+        (r.week_nb, r.year_nb): r.Date for r in ops.last_bar(bars, "w", iso_year=True).collect()
+    }
+    assert counts == {(1, 2019): D(2019, 1, 2), (1, 2020): D(2020, 1, 2)}
+    assert ops.return_rate_period(bars, "w", 10, iso_year=True).count() == 2

@@ -62,3 +62,26 @@ def test_write_and_materialize_roundtrip(spark, sample, scratch):
     cut = materialize(sample, "sample")
     assert cut.count() == 17
     assert isinstance(cut.schema["Volume"].dataType, T.LongType)
+
+
+def test_csv_nulls_nan_and_bad_dates(spark, scratch):
+    from candela import operators as ops
+
+    folder = os.path.join(scratch, "dirty")
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, "DIRTY.csv"), "w") as f:
+        f.write(
+            "Date,Open,High,Low,Close,Volume,Dividends,Stock Splits\n"
+            "2020-01-01,,2,1,1.5,100,0,0\n"
+            "2020-01-02,1,2,1,NaN,100,0,0\n"
+            "2020-01-03,1,2,1,1.5,,0,0\n"
+            "garbage,1,2,1,1.5,100,0,0\n"
+        )
+    bars = read_bars_csv(spark, os.path.join(folder, "DIRTY.csv"))
+    miss = ops.missing_counts(bars).first()
+    assert (miss.missing_Date, miss.missing_Open, miss.missing_Close, miss.missing_Volume) == (1, 1, 1, 1)
+    assert ops.num_observations(bars).first().num_observations == 4
+    # period operators skip the row whose date did not parse; null / NaN returns become 0
+    daily = {r.Date: r.Daily_Return for r in ops.period_return(bars, "d").collect()}
+    assert daily == {dt.date(2020, 1, 1): 0.0, dt.date(2020, 1, 2): 0.0, dt.date(2020, 1, 3): 50.0}
+    assert ops.stock_variation(bars, "d").count() == 3
