@@ -40,12 +40,13 @@ def anchor_dates(bars: DataFrame, days: int) -> DataFrame:
     return dated(bars).groupBy("symbol").agg(fold.alias("anchors"))
 
 
-def mark_anchors(bars: DataFrame, days: int) -> DataFrame:
+def mark_anchors(bars: DataFrame, days: int, carry=("Open", "Close", "Volume")) -> DataFrame:
     """Rows of ``bars`` with anchor bookkeeping columns.
 
     ``k``: anchor number of the row (-1 when the row is not an anchor); ``n_anchors``: anchors of the
-    symbol; ``seg``: number of the last anchor at or before the row; ``prev_anchor``: struct (Date, Open,
-    Close, Volume) of the last anchor strictly before the row; ``is_last``: last row of the symbol.
+    symbol; ``seg``: number of the last anchor at or before the row; ``prev_anchor``: struct of ``Date``
+    and the ``carry`` columns of the last anchor strictly before the row; ``is_last``: last row of the
+    symbol. Carry only what is used: an unused column still has to be computed upstream.
     """
     anchors = anchor_dates(bars, days)
     rows = dated(bars).join(anchors, "symbol").select(
@@ -53,7 +54,7 @@ def mark_anchors(bars: DataFrame, days: int) -> DataFrame:
         (F.array_position("anchors", F.col("Date")) - 1).alias("k"),
         F.size("anchors").alias("n_anchors"),
     )
-    anchor_values = F.when(F.col("k") >= 0, F.struct("Date", "Open", "Close", "Volume"))
+    anchor_values = F.when(F.col("k") >= 0, F.struct("Date", *carry))
     return rows.select(
         "*",
         F.max("k").over(by_date().rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("seg"),
@@ -81,7 +82,7 @@ def anchored_avg_price(bars: DataFrame, period: str, field: str = "Open", digits
     boundary closes, ``Average_{field}_Price($)``. The open last segment is not reported."""
     if field not in ("Open", "Close"):
         raise ValueError("field must be 'Open' or 'Close'")
-    marked = mark_anchors(bars, period_days(period))
+    marked = mark_anchors(bars, period_days(period), carry=())
     rows = _previous_segment_average(marked, F.col(field))
     return rows.where(F.col("k") >= 1).select(
         "symbol",
@@ -95,7 +96,7 @@ def anchored_avg_return(bars: DataFrame, period: str, digits: int | None = 3) ->
     """Mean intraday variation (Close - Open, rounded to ``digits``) of each closed segment:
     ``Period = "<anchor> to <boundary>"``, ``Average_Stock_Variation_($)``."""
     days = period_days(period)
-    marked = mark_anchors(intraday_variation(bars, digits), days)
+    marked = mark_anchors(intraday_variation(bars, digits), days, carry=())
     rows = _previous_segment_average(marked, F.col("Stock_Variation"))
     return rows.where(F.col("k") >= 1).select(
         "symbol",
@@ -108,7 +109,7 @@ def anchored_avg_return(bars: DataFrame, period: str, digits: int | None = 3) ->
 def anchored_return_rate(bars: DataFrame, period: str) -> DataFrame:
     """At each boundary, the return from the previous anchor's Open to the boundary's Close:
     ``Period = "<anchor> to <boundary>"``, ``Return_Rate_(%)`` (not rounded)."""
-    marked = mark_anchors(bars, period_days(period))
+    marked = mark_anchors(bars, period_days(period), carry=("Open",))
     return marked.where(F.col("k") >= 1).select(
         "symbol",
         _span_label().alias("Period"),
@@ -137,7 +138,7 @@ def anchored_monthly_variation(
     itself a boundary, replacing the boundary value). With ``max_periods = p > 0`` only the first ``p``
     boundaries are reported, and the last row only when the symbol has fewer than ``p`` boundaries.
     """
-    marked = mark_anchors(bars, days)
+    marked = mark_anchors(bars, days, carry=("Open",))
     limit = max_periods if (max_periods is not None and max_periods > 0) else None
     boundaries = F.col("n_anchors") - 1
     tail = F.col("is_last") & (F.lit(True) if limit is None else boundaries < limit)
@@ -154,7 +155,7 @@ def anchored_monthly_variation(
 def anchored_volume_variation(bars: DataFrame, period: str) -> DataFrame:
     """Volume change between consecutive anchors, and from the last anchor to the last row:
     ``Period`` (date), ``Variation_Volume``. A one-row series reports 0."""
-    marked = mark_anchors(bars, period_days(period))
+    marked = mark_anchors(bars, period_days(period), carry=("Volume",))
     since = F.coalesce(F.col("prev_anchor.Volume"), F.when(F.col("k") == 0, F.col("Volume")))
     return marked.where((F.col("k") >= 1) | F.col("is_last")).select(
         "symbol", F.col("Date").alias("Period"), (F.col("Volume") - since).alias("Variation_Volume")

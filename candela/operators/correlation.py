@@ -78,15 +78,18 @@ def correlation_between(
 
 # N9
 def correlation_matrix(bars: DataFrame, symbol_1: str, symbol_2: str, column: str = "Open") -> DataFrame:
-    """2 x 2 Pearson matrix of ``column`` for two symbols, series aligned by position (full outer join,
-    so the longer series is kept) and missing values left out pairwise.
+    """2 x 2 Pearson matrix of ``column`` for two symbols, series aligned by position (every position of
+    either series is kept, like a positional concat) and missing values left out pairwise.
 
     Rows ``variable`` = D1 (``symbol_1``) and D2 (``symbol_2``), columns ``D1``, ``D2``.
     """
     series = _indexed(bars.where(F.col("symbol").isin(symbol_1, symbol_2)), column, "index")
-    d1 = series.where(F.col("symbol") == symbol_1).select("key", F.col("value").alias("D1"))
-    d2 = series.where(F.col("symbol") == symbol_2).select("key", F.col("value").alias("D2"))
-    both = d1.join(d2, "key", "full")
+    # Side by side by position: one aggregate on the position key (each symbol has one row per
+    # position) instead of a self full outer join, so the series are shuffled once.
+    both = series.groupBy("key").agg(
+        F.max(F.when(F.col("symbol") == symbol_1, F.col("value"))).alias("D1"),
+        F.max(F.when(F.col("symbol") == symbol_2, F.col("value"))).alias("D2"),
+    )
     stats = both.agg(
         pearson("D1", "D1").alias("c11"), pearson("D1", "D2").alias("c12"), pearson("D2", "D2").alias("c22")
     )
