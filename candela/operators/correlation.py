@@ -67,7 +67,12 @@ def correlation_between(
     ``symbol_1, symbol_2, correlation``. Work is linear in the pairs asked for: each pair joins two
     series on a unique key, no pair is formed within a symbol.
     """
-    pair_df = _pairs_frame(bars.sparkSession, pairs)
+    pair_list = [(str(a), str(b)) for a, b in pairs]
+    pair_df = _pairs_frame(bars.sparkSession, pair_list)
+    # Only the listed symbols are indexed; the list is the caller's, so its size is known here.
+    symbols = sorted({s for pair in pair_list for s in pair})
+    if len(symbols) <= _BROADCAST_PAIRS:
+        bars = bars.where(F.col("symbol").isin(symbols))
     left = _indexed(bars, col1, on).select(F.col("symbol").alias("symbol_1"), "key", F.col("value").alias("x"))
     right = _indexed(bars, col2, on).select(F.col("symbol").alias("symbol_2"), "key", F.col("value").alias("y"))
     joined = pair_df.join(left, "symbol_1").join(right, ["symbol_2", "key"])
