@@ -334,9 +334,9 @@ def _missing_counts() -> str:
     parts = []
     for c in _STATS_COLS:
         if c in ("Date", "Volume"):
-            parts.append(f'COUNT_IF("{c}" IS NULL) AS "missing_{c}"')
+            parts.append(f'CAST(COUNT_IF("{c}" IS NULL) AS BIGINT) AS "missing_{c}"')
         else:
-            parts.append(f'COUNT_IF("{c}" IS NULL OR isnan("{c}")) AS "missing_{c}"')
+            parts.append(f'CAST(COUNT_IF("{c}" IS NULL OR isnan("{c}")) AS BIGINT) AS "missing_{c}"')
     return _with() + f"SELECT symbol, {', '.join(parts)} FROM bars GROUP BY symbol"
 
 
