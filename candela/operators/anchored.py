@@ -37,7 +37,12 @@ def anchor_dates(bars: DataFrame, days: int) -> DataFrame:
         F.slice(dates, 1, 1),
         lambda acc, d: F.when(F.datediff(d, F.element_at(acc, -1)) >= days, F.concat(acc, F.array(d))).otherwise(acc),
     )
-    return dated(bars).groupBy("symbol").agg(fold.alias("anchors"))
+    # The fold is CPU work on little data: left to itself, adaptive execution would pack the shuffled
+    # date lists of many symbols into one task by byte size. A shuffle with an explicit partition count
+    # (the session's shuffle width) is not coalesced, so the folds spread over that many tasks.
+    width = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = dated(bars).select("symbol", "Date").repartition(width, "symbol")
+    return pairs.groupBy("symbol").agg(fold.alias("anchors"))
 
 
 def mark_anchors(bars: DataFrame, days: int, carry=("Open", "Close", "Volume")) -> DataFrame:
