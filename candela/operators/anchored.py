@@ -27,6 +27,13 @@ from candela.schema import MONTHLY_VARIATION_DAYS, period_days
 
 
 
+def _shuffle_width(spark) -> int:
+    try:
+        return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    except (TypeError, ValueError):
+        return spark.sparkContext.defaultParallelism
+
+
 def anchor_dates(bars: DataFrame, days: int) -> DataFrame:
     """``(symbol, anchors)``: the sorted anchor dates of each symbol for periods of ``days`` days."""
     if days < 1:
@@ -40,8 +47,7 @@ def anchor_dates(bars: DataFrame, days: int) -> DataFrame:
     # The fold is CPU work on little data: left to itself, adaptive execution would pack the shuffled
     # date lists of many symbols into one task by byte size. A shuffle with an explicit partition count
     # (the session's shuffle width) is not coalesced, so the folds spread over that many tasks.
-    width = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = dated(bars).select("symbol", "Date").repartition(width, "symbol")
+    pairs = dated(bars).select("symbol", "Date").repartition(_shuffle_width(bars.sparkSession), "symbol")
     return pairs.groupBy("symbol").agg(fold.alias("anchors"))
 
 

@@ -58,3 +58,11 @@ def test_date_filter_reaches_parquet_scan(spark, sample, scratch):
     assert "PushedFilters: [IsNotNull(Date), GreaterThanOrEqual(Date,2020-01-01), LessThanOrEqual(Date,2020-12-31)]" in plan
     # only the needed columns are read
     assert "ReadSchema: struct<symbol:string,Date:date,Open:double>" in plan
+
+
+def test_anchor_fold_keeps_its_shuffle_width(spark, bars):
+    from candela.operators.anchored import anchor_dates
+
+    plan = _final_plan(anchor_dates(bars, 30))
+    assert "REPARTITION_BY_NUM" in plan
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
