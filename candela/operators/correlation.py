@@ -34,21 +34,17 @@ def column_correlation(bars: DataFrame, col1: str, col2: str, nulls: str = "zero
     return bars.groupBy("symbol").agg(pearson(x, y).alias("correlation"))
 
 
-def _pairs_frame(spark: SparkSession, pairs: Iterable[tuple[str, str]]) -> DataFrame:
-    pair_list = [(str(a), str(b)) for a, b in pairs]
-    if not pair_list:
-        raise ValueError("at least one (symbol_1, symbol_2) pair is needed")
+def _pairs_frame(spark: SparkSession, pair_list: list[tuple[str, str]]) -> DataFrame:
     frame = spark.createDataFrame(pair_list, "symbol_1 string, symbol_2 string")
     return F.broadcast(frame) if len(pair_list) <= _BROADCAST_PAIRS else frame
 
 
 def _indexed(bars: DataFrame, column: str, on: str) -> DataFrame:
     """``(symbol, key, value)`` with key = position in date order (``on="index"``) or the date."""
-    rows = dated(bars)
-    key = F.row_number().over(by_date()) if on == "index" else F.col("Date")
     if on not in ("index", "date"):
         raise ValueError("on must be 'index' or 'date'")
-    return rows.select("symbol", key.alias("key"), F.col(column).cast("double").alias("value"))
+    key = F.row_number().over(by_date()) if on == "index" else F.col("Date")
+    return dated(bars).select("symbol", key.alias("key"), F.col(column).cast("double").alias("value"))
 
 
 # A12
@@ -68,6 +64,8 @@ def correlation_between(
     series on a unique key, no pair is formed within a symbol.
     """
     pair_list = [(str(a), str(b)) for a, b in pairs]
+    if not pair_list:
+        raise ValueError("at least one (symbol_1, symbol_2) pair is needed")
     pair_df = _pairs_frame(bars.sparkSession, pair_list)
     # Only the listed symbols are indexed; the list is the caller's, so its size is known here.
     symbols = sorted({s for pair in pair_list for s in pair})

@@ -40,7 +40,7 @@ BARS_SCHEMA = T.StructType(
 )
 BARS_COLUMNS = tuple(f.name for f in BARS_SCHEMA.fields)
 
-# --- fixed values (must equal the reference's) -----------------------------------
+# --- fixed values (must equal the original tool's) -------------------------------
 # Period codes: w = week, m = month, y = year; d = day for the calendar operators.
 CALENDAR_PERIODS = ("d", "w", "m", "y")
 # Length in days of an anchored period.
