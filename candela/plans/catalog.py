@@ -76,6 +76,11 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["correlation_pair"] = _q(lambda b: ops.correlation_between(b, [(SYMBOL_1, SYMBOL_2)], "Open", "Close"))
     q["correlation_matrix"] = _q(lambda b: ops.correlation_matrix(b, SYMBOL_1, SYMBOL_2, "Open"))
     q["dividend_return"] = _q(lambda b: ops.dividend_return(b, DIVIDEND_SHARES))
+    q["dividend_revenus"] = _q(lambda b: ops.dividend_return(b, DIVIDEND_SHARES, output_col="Revenus"))
+    q["anchored_avg_close_m"] = _q(lambda b: ops.anchored_avg_price(b, "m", "Close", digits=None))
+    q["correlation_pair_by_date"] = _q(
+        lambda b: ops.correlation_between(b, [(SYMBOL_1, SYMBOL_2)], "Open", "Close", on="date")
+    )
     q["head_tail_40"] = _q(lambda b: ops.head_and_tail(b, 40))
     q["num_observations"] = _q(ops.num_observations)
     q["date_span"] = _q(ops.date_span)
@@ -258,9 +263,9 @@ def _segments(days: int, value: str, src: str = "bars") -> list[str]:
 _SPAN = 'CAST(a.pd AS VARCHAR) || \' to \' || CAST(a."Date" AS VARCHAR)'
 
 
-def _anchored_avg_price(period: str) -> str:
-    return _with(*_segments(_DAYS[period], 'b."Open"')) + (
-        f'SELECT a.symbol, a."Date" AS "Period", {r6("s.av")} AS "Average_Open_Price($)" FROM a '
+def _anchored_avg_price(period: str, field: str = "Open") -> str:
+    return _with(*_segments(_DAYS[period], f'b."{field}"')) + (
+        f'SELECT a.symbol, a."Date" AS "Period", {r6("s.av")} AS "Average_{field}_Price($)" FROM a '
         "LEFT JOIN savg s ON s.symbol = a.symbol AND s.seg = a.k - 1 WHERE a.k >= 1"
     )
 
@@ -389,6 +394,15 @@ def oracle_queries() -> dict[str, str]:
         f"{r6('c12')} AS \"D2\" FROM c UNION ALL SELECT '{SYMBOL_1}', '{SYMBOL_2}', 'D2', {r6('c12')}, "
         f"{r6('c22')} FROM c"
     )
+    s["dividend_revenus"] = _with() + (
+        f'SELECT {BARS_COLS_R6}, {r6(f'"Dividends" * {DIVIDEND_SHARES}')} AS "Revenus" FROM bars'
+    )
+    s["anchored_avg_close_m"] = _anchored_avg_price("m", "Close")
+    s["correlation_pair_by_date"] = _with() + (
+        f"SELECT '{SYMBOL_1}' AS symbol_1, '{SYMBOL_2}' AS symbol_2, "
+        f'{r6("CORR(COALESCE(x.\"Open\", 0), COALESCE(y.\"Close\", 0))")} AS correlation '
+        f"FROM bars x JOIN bars y ON x.\"Date\" = y.\"Date\" WHERE x.symbol = '{SYMBOL_1}' AND y.symbol = '{SYMBOL_2}'"
+    )
     s["dividend_return"] = _with() + (
         f'SELECT {BARS_COLS_R6}, {r6(f'"Dividends" * {DIVIDEND_SHARES}')} AS "Revenues" FROM bars'
     )
