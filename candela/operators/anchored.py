@@ -8,7 +8,9 @@ Spark formulation (no Python, no driver loop):
 
 1. ``anchor_dates``: per symbol, the sorted date list is folded with the higher-order ``aggregate``
    function into the list of anchor dates. The state is one date list per symbol, bounded by the number
-   of calendar days (``bars`` has one row per symbol and day, at most 366 per year).
+   of calendar days (``bars`` has one row per symbol and day, at most 366 per year). The (symbol, date)
+   pairs are shuffled with a fixed partition count so that the CPU-bound folds of many symbols are spread
+   over many tasks rather than packed by byte size.
 2. ``mark_anchors``: the anchor list is joined back to the rows on ``symbol`` (many-to-one); one window
    pass per symbol, ordered by date, adds the anchor number ``k``, the segment ``seg``, the previous
    anchor's values and an end-of-series flag. Everything after the join is partitioned by symbol, so the
@@ -26,7 +28,6 @@ from candela.operators.daily import intraday_variation
 from candela.schema import MONTHLY_VARIATION_DAYS, period_days
 
 
-
 def _shuffle_width(spark) -> int:
     try:
         return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
