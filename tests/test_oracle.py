@@ -29,3 +29,28 @@ def test_entry_flagship(spark):
     df = entry.entry(spark)
     assert df.columns == ["symbol", "Max_Return_Rate"]
     assert df.count() == 5
+
+
+SESSION_VARIANT = {
+    "spark.sql.ansi.enabled": "false",
+    "spark.sql.adaptive.enabled": "false",
+    "spark.sql.shuffle.partitions": "3",
+    "spark.sql.session.timeZone": "America/Los_Angeles",
+}
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["max_return_rate_y", "anchored_avg_return_w", "anchored_monthly_variation", "return_rate_period_d",
+     "correlation_matrix", "descriptive_stats", "head_tail_40", "month_label"],
+)
+def test_results_do_not_depend_on_session_settings(spark, con, name):
+    saved = {k: spark.conf.get(k) for k in SESSION_VARIANT}
+    try:
+        for k, v in SESSION_VARIANT.items():
+            spark.conf.set(k, v)
+        ok, _, _, _, _, detail = compare(spark, con, name, QUERIES[name], SQL[name], SF)
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert ok, detail
