@@ -66,3 +66,12 @@ def test_anchor_fold_keeps_its_shuffle_width(spark, bars):
     plan = _final_plan(anchor_dates(bars, 30))
     assert "REPARTITION_BY_NUM" in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_symbol_filter_of_run_reaches_parquet_scan(spark, sample, scratch):
+    from candela.plans import run
+
+    path = os.path.join(scratch, "bars_for_symbol_pushdown")
+    write_bars(sample, path)
+    plan = _plan(run(spark.read.parquet(path), "num_observations", symbols=["test", "other"]))
+    assert "In(symbol, [other,test])" in plan
