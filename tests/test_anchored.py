@@ -177,3 +177,19 @@ def test_bad_arguments(spark):
         ops.anchored_avg_price(one, "m", "Volume")
     with pytest.raises(ValueError):
         ops.anchored_volume_variation(one, "d")
+
+
+def test_boundary_at_exactly_n_days(spark):
+    start = dt.date(2021, 3, 1)
+    offsets = [0, 6, 7, 13, 14, 20, 21, 27]
+    rows = [("S", (start + dt.timedelta(days=o)).isoformat(), float(o + 1), float(o + 2)) for o in offsets]
+    bars = make_bars(spark, rows)
+    anchors = ops.anchor_dates(bars, 7).first().anchors
+    assert anchors == [start + dt.timedelta(days=o) for o in (0, 7, 14, 21)]
+    periods = sorted(r.Period for r in ops.anchored_return_rate(bars, "w").collect())
+    assert periods == [
+        f"{start + dt.timedelta(days=a)} to {start + dt.timedelta(days=b)}" for a, b in ((0, 7), (7, 14), (14, 21))
+    ]
+    # segment 0 = days 0 and 6; later segments hold only the day after each anchor but one (13, 20)
+    avgs = sorted((r.Period, r["Average_Open_Price($)"]) for r in ops.anchored_avg_price(bars, "w", digits=None).collect())
+    assert [v for _, v in avgs] == [4.0, 14.0, 21.0]
