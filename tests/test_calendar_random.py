@@ -96,3 +96,25 @@ def test_variation_returns_and_rates(random_bars, period):
             assert _close(ret[(sym, d)], want_ret), (sym, d)
             assert _close(rate[(sym, d)], want_rate), (sym, d)
         assert len([k for k in var if k[0] == sym]) == len(series)
+
+
+def test_moving_latest_and_head_tail(random_bars):
+    data, bars = random_bars
+    mov = {(r.symbol, r.Date): r.Moving_Average for r in ops.moving_average(bars, "Open", 4).collect()}
+    latest = {}
+    for r in ops.latest_average(bars, "Open", 3, digits=None).collect():
+        latest.setdefault(r.symbol, []).append((r.Date, r.Moving_Average))
+    ends = {}
+    for r in ops.head_and_tail(bars, 5).collect():
+        ends.setdefault(r.symbol, []).append(r.Date)
+    for sym, rows in data.items():
+        for i, (d, _, _) in enumerate(rows):
+            frame = [o for _, o, _ in rows[i : i + 4] if o is not None]
+            assert _close(mov[(sym, d)], sum(frame) / len(frame) if frame else 0.0), (sym, d)
+        newest = rows[-3:]
+        opens = [o for _, o, _ in newest if o is not None]
+        want = sum(opens) / len(opens) if opens else None
+        assert sorted(d for d, _ in latest[sym]) == [d for d, _, _ in newest]
+        assert all(_close(v, want) for _, v in latest[sym]), sym
+        dates = [d for d, _, _ in rows]
+        assert sorted(ends[sym]) == sorted(dates[:5] + dates[-5:]), sym
