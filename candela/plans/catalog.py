@@ -44,14 +44,19 @@ def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     return df.select(*cols)
 
 
-def _q(build: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return finish(build(load_bars(spark, sf_dir)))
+Loader = Callable[[SparkSession, str], DataFrame]
 
-    return query
 
+def spark_queries(load: Loader = load_bars) -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The checked queries. ``load(spark, sf_dir)`` provides ``bars``: by default derived from the tables;
+    the benchmark passes a loader of bars stored once."""
+
+    def _q(build: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return finish(build(load(spark, sf_dir)))
+
+        return query
 
-def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     q["scan_bars"] = _q(lambda b: b)
     for p in "dwmy":
