@@ -97,6 +97,13 @@ def probe_share(x: np.ndarray, books: tuple[np.ndarray, np.ndarray], k: int, rec
     return float(min(1.0, np.quantile(needed, recall) + 1 / len(x)))
 
 
+def _own_bucket(batches: Iterator[pa.RecordBatch], book: np.ndarray, half: int, width: int) -> Iterator[pa.RecordBatch]:
+    """Queries with the first-half bucket that they lie in themselves."""
+    for batch in batches:
+        q = batch.column("v").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nearest(q[:, :half], book), pa.int32())], names=[*batch.schema.names, "own"])
+
+
 def _matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, width)
 
@@ -160,30 +167,42 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, recall: float = REC
     parts_of = F.element_at(F.array(*[F.lit(int(p)) for p in parts]), F.col("i") + 1)
 
     asked = rows.where((F.col("vec_id") % every == 0) & (F.size("v") == width)).distinct()
-    keyed = asked.groupBy("v").agg(F.min("vec_id").alias("key"))
-
-    def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Blocks of queries for each bucket that one of their queries visits."""
-        from pyspark import TaskContext
-
-        task, number = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            for start in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(start, BLOCK)
-                q = part.column("v").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
-                keys = np.array(part.column("key").to_pylist(), np.int64)
-                first, second = -(q[:, :half] @ books[0].T), -(q[:, half:] @ books[1].T)
-                visits = np.zeros((len(books[0]), len(q), len(books[1])), bool)
-                for n in range(len(q)):
-                    cells = np.array(traverse(first[n], second[n], counts, enough))
-                    visits[cells[:, 0], n, cells[:, 1]] = True
-                out = []
-                for i in np.flatnonzero(visits.any(axis=(1, 2))):
-                    who = visits[i].any(axis=1)
-                    for p in range(parts[i]):
-                        out.append((int(i), p, task * 1_000_000 + number // BLOCKS, keys[who].tobytes(), q[who].tobytes(), np.packbits(visits[i][who], axis=1).tobytes()))
-                number += 1
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["i", "part", "crowd", "keys", "q", "mask"])
+    own_schema = f"v {dict(rows.dtypes)['v']}, key long, own int"
+    keyed = asked.groupBy("v").agg(F.min("vec_id").alias("key")).mapInArrow(lambda it: _own_bucket(it, books[0], half, width), own_schema)
+    keyed = stored(keyed, "ann-queries")
+    # Crowds: runs of first-half buckets with about BLOCK * BLOCKS queries; a larger bucket is cut by hash.
+    most, crowd, room, first_crowd, cuts = BLOCK * BLOCKS, 0, BLOCK * BLOCKS, [0] * len(books[0]), [1] * len(books[0])
+    per_bucket = {r["own"]: r["n"] for r in keyed.groupBy("own").agg(F.count(F.lit(1)).alias("n")).collect()}
+    for own in range(len(books[0])):
+        n = per_bucket.get(own, 0)
+        if n > room:
+            crowd, room = crowd + 1, most
+        first_crowd[own], cuts[own] = crowd, max(1, -(-n // most))
+        if cuts[own] > 1:
+            crowd, room = crowd + cuts[own], most
+        else:
+            room -= n
+    look = lambda values: F.element_at(F.array(*[F.lit(int(x)) for x in values]), F.col("own") + 1)
+    h = F.xxhash64("key")
+    crowded = keyed.select("key", "v", (look(first_crowd) + F.pmod(h, look(cuts))).cast("long").alias("crowd"), F.pmod(F.shiftrightunsigned(h, 20), F.lit(BLOCKS)).cast("int").alias("block"))
+
+    def block(part: pa.Table) -> pa.Table:
+        """The queries of one block, for each bucket that one of them visits."""
+        q = part.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+        keys = part.column("key").to_numpy().astype(np.int64)
+        who_crowd = part.column("crowd")[0].as_py()
+        first, second = -(q[:, :half] @ books[0].T), -(q[:, half:] @ books[1].T)
+        visits = np.zeros((len(books[0]), len(q), len(books[1])), bool)
+        for n in range(len(q)):
+            cells = np.array(traverse(first[n], second[n], counts, enough))
+            visits[cells[:, 0], n, cells[:, 1]] = True
+        out = []
+        for i in np.flatnonzero(visits.any(axis=(1, 2))):
+            who = visits[i].any(axis=1)
+            for p in range(parts[i]):
+                out.append((int(i), p, who_crowd, keys[who].tobytes(), q[who].tobytes(), np.packbits(visits[i][who], axis=1).tobytes()))
+        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["i", "part", "crowd", "keys", "q", "mask"])
 
     def rerank(entries: pa.Table, blocks: pa.Table) -> pa.Table:
         keys, ids, scores = [], [], []
@@ -211,7 +230,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, recall: float = REC
                         scores.extend([s[n, x]] * len(own[x]))
         return pa.table({"key": pa.array(keys, pa.int64()), "vec_id": pa.array(ids, pa.int64()), "score": pa.array(scores, pa.float64())})
 
-    visits = stored(keyed.select("key", "v").repartitionByRange(F.element_at("v", 1), "key").sortWithinPartitions("v", "key").mapInArrow(block, "i int, part int, crowd long, keys binary, q binary, mask binary"), "ann-visits")
+    visits = stored(crowded.groupBy("crowd", "block").applyInArrow(block, "i int, part int, crowd long, keys binary, q binary, mask binary"), "ann-visits")
     # Every part goes to each crowd of blocks that asks for it.
     wanted = visits.select(F.col("i").alias("bi"), F.col("part").alias("bpart"), F.col("crowd").alias("bcrowd")).distinct()
     cut = index.withColumn("p", F.pmod(F.xxhash64("vec"), parts_of).cast("int"))
