@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candela.llm.common import ship, slices, texts
-from candela.llm.tokens import MEMO_LENGTH, MEMO_WORDS, load, tokenizer_path, words_of
+from candela.llm.tokens import MEMO_LENGTH, MEMO_WORDS, byte_alphabet, drops_space, load, simple_pieces, tokenizer_path, words_of
 
 #: Stands for the end-of-word mark; byte-level alphabets do not contain it.
 END = "\0"
@@ -35,13 +35,6 @@ END = "\0"
 TABLE_SIZE = 1 << 20
 
 
-def byte_alphabet() -> list[str]:
-    """The printable character that byte-level vocabularies use for each byte."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    spare = iter(range(256, 512))
-    return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
-
-
 class OffsetTable:
     """Strings for ids in one buffer: entry i is ``buffer[offsets[i]:offsets[i + 1]]``."""
 
@@ -132,6 +125,8 @@ class Encoder:
         self.suffix = model.get("end_of_word_suffix") or ""
         self.merges = Merges(model["vocab"], merges, self.suffix)
         self.tokenizer = load(path)
+        if not drops_space(path):
+            raise ValueError(f"{path}: its tokens may hold white space, so texts cannot be encoded word by word")
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.automaton = ahocorasick.Automaton()
         self.by_text: dict[str, int] = {}
@@ -215,21 +210,15 @@ class Encoder:
         return b"".join(self._packed(p) for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal))
 
     def _learn(self, words: list[str]) -> None:
-        """Normalise the words together. A word of Latin letters, with a full stop, comma or the like behind
-        it or not, is cut here; all others go through the library's pre-tokeniser."""
-        joined = " ".join(words)
-        normal = self.tokenizer.normalizer.normalize_str(joined).split(" ") if self.tokenizer.normalizer else words
-        if len(normal) != len(words):  # some hold white space outside ASCII
-            normal = [None] * len(words)
-        for word, norm in zip(words, normal, strict=True):
-            if norm and "<|" not in word:
-                if norm.isalpha() and max(norm) < "ɐ":
-                    self.words[word] = self._packed(self._bytes(norm))
-                    continue
-                if norm[-1] in ".,;:!?" and norm[:-1].isalpha() and max(norm) < "ɐ":
-                    self.words[word] = self._packed(self._bytes(norm[:-1])) + self._packed(norm[-1])
-                    continue
-            self.words[word] = self._fresh(word)
+        """A word of Latin letters, with a full stop, comma or the like behind it or not, is normalised and cut
+        here; all others go through the library's normaliser and pre-tokeniser."""
+        for word in words:
+            found = simple_pieces(word)
+            if found is None:
+                self.words[word] = self._fresh(word)
+            else:
+                core, mark = found
+                self.words[word] = self._packed(self._bytes(core)) + (self._packed(mark) if mark else b"")
 
     def encode(self, text: str) -> np.ndarray:
         """Token ids of a whole text."""
