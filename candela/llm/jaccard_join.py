@@ -81,11 +81,26 @@ def sets_of(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, key long")
 
 
+#: Of a shingle's 64 bits the first exchange carries 48; its range, that is its leading bits, stands for the rest.
+LOW_BITS = 48
 _PACK = "range int, keys binary, sizes binary, lengths binary, tokens binary, counts binary"
 
 
+def _low(tokens: np.ndarray) -> bytes:
+    """The low 48 bits of each token, six bytes each."""
+    return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _whole(packed: np.ndarray, where: int) -> np.ndarray:
+    """Tokens from their low six bytes and their range."""
+    wide = np.zeros((len(packed) // 6, 8), np.uint8)
+    wide[:, :6] = packed.reshape(-1, 6)
+    return wide.reshape(-1).view("<u8") | np.uint64((where << LOW_BITS) & 0xFFFFFFFFFFFFFFFF)
+
+
 def _pack(where: np.ndarray, ranges: int, owner: np.ndarray, keys: np.ndarray, sizes: np.ndarray, tokens: np.ndarray, counts: np.ndarray | None) -> Iterator[tuple]:
-    """Rows of ``_PACK``, one per range in use: tokens by owner, each owner with its key and set size."""
+    """Rows of ``_PACK``, one per range in use: tokens by owner, each owner with its key and set size.
+    Without ``counts`` (first exchange) tokens go in short form."""
     order = np.lexsort((owner, where))
     where, owner, tokens = where[order], owner[order], tokens[order]
     counts = counts[order] if counts is not None else None
@@ -94,7 +109,7 @@ def _pack(where: np.ndarray, ranges: int, owner: np.ndarray, keys: np.ndarray, s
         a, b = cuts[r], cuts[r + 1]
         if a < b:
             who, lengths = np.unique(owner[a:b], return_counts=True)
-            yield r, keys[who].tobytes(), sizes[who].tobytes(), lengths.astype(np.uint32).tobytes(), tokens[a:b].tobytes(), counts[a:b].tobytes() if counts is not None else b""
+            yield r, keys[who].tobytes(), sizes[who].tobytes(), lengths.astype(np.uint32).tobytes(), _low(tokens[a:b]) if counts is None else tokens[a:b].tobytes(), counts[a:b].tobytes() if counts is not None else b""
 
 
 def _packs(rows: list[tuple]) -> pa.RecordBatch:
@@ -146,7 +161,7 @@ def _scatter(docs: DataFrame, ranges: int, words: int) -> DataFrame:
 def _shared(table: pa.Table, back: int) -> pa.Table:
     """Of one range of shingles, those that at least two sets hold, with their frequency, packed by range of the set's key."""
     keys, sizes, lengths = _joined(table, "keys", np.int64), _joined(table, "sizes", np.uint32), _joined(table, "lengths", np.uint32)
-    tokens = _joined(table, "tokens", np.uint64)
+    tokens = _whole(_joined(table, "tokens", np.uint8), table.column("range")[0].as_py())
     names, first = np.unique(keys, return_index=True)  # a set that several tasks met counts once
     use = np.zeros(len(keys), bool)
     use[first] = True
@@ -246,12 +261,13 @@ def _crossing(postings: DataFrame, placed: DataFrame, percent: int) -> DataFrame
     """All candidate pairs (a, b) of keys in different components. Posting lists are first reduced to
     (shingle, component), so nothing is enumerated inside a component."""
     lists = postings.join(placed.select("gid", "comp").distinct(), "gid")
-    spans = lists.groupBy("token", "comp").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    spans = lists.groupBy("token", "comp").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("rest"))
     several = spans.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("token")
     spans = stored(spans.join(several, "token"), "join-spans")
-    one = spans.select("token", F.col("comp").alias("ca"), F.col("least").alias("la"), F.col("most").alias("ma"))
-    two = spans.select("token", F.col("comp").alias("cb"), F.col("least").alias("lb"), F.col("most").alias("mb"))
-    meets = one.join(two, "token").where(f"ca < cb and ma * 100 >= lb * {percent} and mb * 100 >= la * {percent}").select("token", "ca", "cb")
+    one = spans.select("token", F.col("comp").alias("ca"), F.col("least").alias("la"), F.col("most").alias("ma"), F.col("rest").alias("ra"))
+    two = spans.select("token", F.col("comp").alias("cb"), F.col("least").alias("lb"), F.col("most").alias("mb"), F.col("rest").alias("rb"))
+    fits = f"ma * 100 >= lb * {percent} and mb * 100 >= la * {percent} and least(ra, rb) * {100 + percent} >= (la + lb) * {percent}"
+    meets = one.join(two, "token").where("ca < cb and " + fits).select("token", "ca", "cb")
     left = lists.select("token", F.col("comp").alias("ca"), F.col("gid").alias("ga"), F.col("n").alias("na"), F.col("pos").alias("pa"))
     right = lists.select("token", F.col("comp").alias("cb"), F.col("gid").alias("gb"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
     pairs = (
