@@ -6,6 +6,7 @@ does not depend on the length of a partition (one very long text is one slice of
 
 from __future__ import annotations
 
+import gc
 import io
 import os
 import tempfile
@@ -68,6 +69,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of steps whose result has been stored: it does so when the
+    driver collects its garbage, which may otherwise be long after."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def fold_of(id_column: str, parts: int) -> Column:
     """crc32 of the id's decimal text, modulo ``parts`` (a null id counts as empty text)."""
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % parts

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candela.llm.common import raw_texts, ship, slices, stored
+from candela.llm.common import raw_texts, release, ship, slices, stored
 from candela.llm.components import components
 
 WORDS, PERCENT = 5, 75
@@ -36,6 +36,8 @@ WORDS, PERCENT = 5, 75
 TOKENS_PER_RANGE = 1_000_000
 #: Seeds of the centres that each round draws, before all remaining pairs are taken; only the work depends on it.
 CENTRES = (range(1), range(1, 9), range(9, 25))
+#: Pairs of 16 bytes that are sent to every executor, at most (16 MB).
+BROADCAST_PAIRS = 1_000_000
 _PRIME = np.uint64(0x9E3779B185EBCA87)
 _SHIFT = np.uint64(29)
 
@@ -225,7 +227,14 @@ def _passes(na: Column, pa_: Column, nb: Column, pb: Column, percent: int) -> Co
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) of set keys that link, compared on their whole sets."""
+    """The pairs (a, b) of set keys that link, compared on their whole sets.
+
+    While the pairs are few enough to be sent to every executor, sets without a pair are left out before
+    the shuffle; with more pairs they are left out by the joins themselves."""
+    pairs = stored(pairs, "join-pairs")
+    if pairs.count() <= BROADCAST_PAIRS:
+        keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+        sets, pairs = sets.join(F.broadcast(keys), "key", "left_semi"), F.broadcast(pairs)
     left = sets.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
     both = F.size(F.array_intersect("ta", "tb"))
@@ -267,11 +276,13 @@ def _crossing(postings: DataFrame, placed: DataFrame, percent: int) -> DataFrame
     one = spans.select("token", F.col("comp").alias("ca"), F.col("least").alias("la"), F.col("most").alias("ma"), F.col("rest").alias("ra"))
     two = spans.select("token", F.col("comp").alias("cb"), F.col("least").alias("lb"), F.col("most").alias("mb"), F.col("rest").alias("rb"))
     fits = f"ma * 100 >= lb * {percent} and mb * 100 >= la * {percent} and least(ra, rb) * {100 + percent} >= (la + lb) * {percent}"
-    meets = one.join(two, "token").where("ca < cb and " + fits).select("token", "ca", "cb")
+    meets = one.join(two, "token").where("ca < cb and " + fits).select("token", "ca", "cb", "lb", "mb", "rb")
     left = lists.select("token", F.col("comp").alias("ca"), F.col("gid").alias("ga"), F.col("n").alias("na"), F.col("pos").alias("pa"))
     right = lists.select("token", F.col("comp").alias("cb"), F.col("gid").alias("gb"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
+    may = f"na * 100 >= lb * {percent} and mb * 100 >= na * {percent} and least(na - pa, rb) * {100 + percent} >= (na + lb) * {percent}"
     pairs = (
         meets.join(left, ["token", "ca"])
+        .where(may)
         .join(right, ["token", "cb"])
         .where(_passes(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), percent))
         .select("ga", "ca", "gb", "cb")
@@ -313,6 +324,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     classes = stored(sets_of(docs, words), "join-classes")
     total = classes.agg(F.sum("n")).first()[0] or 0
     sets = candidates_sets(docs, total, words, percent)
+    release(docs.sparkSession)
     comps = component_map(sets, percent).select("key", "comp")
     least = classes.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("least"))
     rooted = stored(least.join(comps, "key", "left").select("key", F.coalesce("comp", "key").alias("root"), "least"), "join-rooted")
