@@ -35,7 +35,7 @@ WORDS, PERCENT = 5, 75
 #: Shingles that one task holds at a time while frequencies are counted, about.
 TOKENS_PER_RANGE = 1_000_000
 #: Seeds of the centres that each round draws, before all remaining pairs are taken; only the work depends on it.
-CENTRES = (range(1), range(1, 9), range(9, 25))
+CENTRES = (range(1), range(1, 5), range(5, 9))
 #: Pairs of 16 bytes that are sent to every executor, at most (16 MB).
 BROADCAST_PAIRS = 1_000_000
 _PRIME = np.uint64(0x9E3779B185EBCA87)
