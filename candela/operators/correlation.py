@@ -93,6 +93,8 @@ def correlation_matrix(bars: DataFrame, symbol_1: str, symbol_2: str, column: st
         F.max(F.when(F.col("symbol") == symbol_1, F.col("value"))).alias("D1"),
         F.max(F.when(F.col("symbol") == symbol_2, F.col("value"))).alias("D2"),
     )
+    # NaN counts as missing, as null does.
+    both = both.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c)).alias(c) for c in ("D1", "D2")])
     stats = both.agg(
         pearson("D1", "D1").alias("c11"), pearson("D1", "D2").alias("c12"), pearson("D2", "D2").alias("c22")
     )

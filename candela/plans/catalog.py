@@ -28,9 +28,10 @@ DIGITS = 6
 def round_exact(x, digits: int = DIGITS):
     """Round half away from zero to ``digits`` decimals in exact decimal arithmetic, after absorbing
     floating-point noise at 9 decimals: two engines that sum in different orders then agree, also on
-    exact ties such as an average of 2-decimal prices over 32 rows. NaN and infinities pass through."""
+    exact ties such as an average of 2-decimal prices over 32 rows. NaN, infinities
+    and values beyond the exact range pass through."""
     special = F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
-    return F.when(special, x).otherwise(F.round(x.try_cast("decimal(38,9)"), digits).cast("double"))
+    return F.when(special, x).otherwise(F.coalesce(F.round(x.try_cast("decimal(38,9)"), digits).cast("double"), x))
 
 
 def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:

@@ -13,15 +13,17 @@ from candela.schema import BARS_COLUMNS, CSV_SCHEMA
 def read_bars_csv(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     """Read one or many price CSV files (paths, directories or globs) in a single scan.
 
-    Each file holds one symbol; the symbol is the file name without ``.csv``. ``Date`` keeps the local
+    Each file holds one symbol; the symbol is the file name without ``.csv`` and the suffix of its compression. ``Date`` keeps the local
     day of texts like ``2019-08-18 00:00:00-04:00`` (the offset is ignored); texts that are not dates
     become null instead of failing the job. ``Volume`` is read as a whole number.
     """
     path_list = [paths] if isinstance(paths, str) else list(paths)
     raw = spark.read.csv(path_list, header=True, schema=CSV_SCHEMA, mode="PERMISSIVE")
     volume = F.col("Volume")
+    # The metadata column has the name percent-encoded; a plus sign in it is a plus sign.
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
     out = raw.select(
-        F.regexp_extract(F.col("_metadata.file_name"), r"([^/]+)\.[cC][sS][vV]$", 1).alias("symbol"),
+        F.regexp_extract(name, r"([^/]+)\.[cC][sS][vV](\.[A-Za-z0-9]+)?$", 1).alias("symbol"),
         F.col("Date").try_cast("date").alias("Date"),
         "Open",
         "High",

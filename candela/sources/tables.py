@@ -48,13 +48,13 @@ def load_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars_from_orders(load_table(spark, sf_dir, "orders"), load_table(spark, sf_dir, "lineitem"))
 
 
-def write_bars(bars: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write ``bars`` as Parquet, clustered by symbol and sorted by date inside each file.
+def write_bars(bars: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Write ``bars`` as Parquet in ranges of (symbol, date), sorted inside each file; a large symbol spans several.
 
     Sorted dates give tight row-group statistics, so date-range filters prune row groups.
     """
     (
-        bars.repartition("symbol")
+        bars.repartitionByRange("symbol", "Date")
         .sortWithinPartitions("symbol", "Date")
         .write.mode(mode)
         .parquet(path)
