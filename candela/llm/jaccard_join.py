@@ -32,10 +32,11 @@ from candela.llm.common import raw_texts, release, ship, slices, stored
 from candela.llm.components import components
 
 WORDS, PERCENT = 5, 75
-#: Shingles that one task holds at a time while frequencies are counted, about.
-TOKENS_PER_RANGE = 1_000_000
+#: Shingles that one task holds at a time while frequencies are counted, and before they are dealt out, about.
+#: A set costs nine bytes in every range that it meets, so wide ranges keep the exchanges near the shingles' own size.
+TOKENS_PER_RANGE, TOKENS_PER_FLUSH = 2_000_000, 2_000_000
 #: Seeds of the centres that each round draws, before all remaining pairs are taken; only the work depends on it.
-CENTRES = (range(1), range(1, 5), range(5, 9))
+CENTRES = (range(1), range(1, 3), range(3, 5))
 #: Pairs of 16 bytes that are sent to every executor, at most (16 MB).
 BROADCAST_PAIRS = 1_000_000
 _PRIME = np.uint64(0x9E3779B185EBCA87)
@@ -83,9 +84,10 @@ def sets_of(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, key long")
 
 
-#: Of a shingle's 64 bits the first exchange carries 48; its range, that is its leading bits, stands for the rest.
+#: Of a shingle's 64 bits the exchanges carry 48; its range, that is its leading bits, stands for the rest.
 LOW_BITS = 48
-_PACK = "range int, keys binary, sizes binary, lengths binary, tokens binary, counts binary"
+#: ``range`` is what rows are dealt out by, ``part`` the range of the shingles. A set's size is not sent along.
+_PACK = "range int, part int, keys binary, lengths binary, tokens binary, counts binary"
 
 
 def _low(tokens: np.ndarray) -> bytes:
@@ -93,16 +95,25 @@ def _low(tokens: np.ndarray) -> bytes:
     return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
 
-def _whole(packed: np.ndarray, where: int) -> np.ndarray:
+def _whole(packed: np.ndarray, part: int) -> np.ndarray:
     """Tokens from their low six bytes and their range."""
     wide = np.zeros((len(packed) // 6, 8), np.uint8)
     wide[:, :6] = packed.reshape(-1, 6)
-    return wide.reshape(-1).view("<u8") | np.uint64((where << LOW_BITS) & 0xFFFFFFFFFFFFFFFF)
+    return wide.reshape(-1).view("<u8") | np.uint64((part << LOW_BITS) & 0xFFFFFFFFFFFFFFFF)
 
 
-def _pack(where: np.ndarray, ranges: int, owner: np.ndarray, keys: np.ndarray, sizes: np.ndarray, tokens: np.ndarray, counts: np.ndarray | None) -> Iterator[tuple]:
-    """Rows of ``_PACK``, one per range in use: tokens by owner, each owner with its key and set size.
-    Without ``counts`` (first exchange) tokens go in short form."""
+def _narrow(x: np.ndarray) -> bytes:
+    """Counts, each in as few bytes as the largest needs."""
+    return x.astype(np.min_scalar_type(int(x.max()))).tobytes()
+
+
+def _counts(packed: bytes, n: int) -> np.ndarray:
+    """The ``n`` counts of ``_narrow``; none if nothing was packed."""
+    return np.zeros(0, np.uint32) if not packed else np.frombuffer(packed, f"<u{len(packed) // n}").astype(np.uint32)
+
+
+def _pack(where: np.ndarray, ranges: int, owner: np.ndarray, keys: np.ndarray, tokens: np.ndarray, counts: np.ndarray | None = None, part: int | None = None) -> Iterator[tuple]:
+    """Rows of ``_PACK``, one per range in use: tokens by owner, each owner with its key."""
     order = np.lexsort((owner, where))
     where, owner, tokens = where[order], owner[order], tokens[order]
     counts = counts[order] if counts is not None else None
@@ -111,18 +122,25 @@ def _pack(where: np.ndarray, ranges: int, owner: np.ndarray, keys: np.ndarray, s
         a, b = cuts[r], cuts[r + 1]
         if a < b:
             who, lengths = np.unique(owner[a:b], return_counts=True)
-            yield r, keys[who].tobytes(), sizes[who].tobytes(), lengths.astype(np.uint32).tobytes(), _low(tokens[a:b]) if counts is None else tokens[a:b].tobytes(), counts[a:b].tobytes() if counts is not None else b""
+            yield r, r if part is None else part, keys[who].tobytes(), _narrow(lengths), _low(tokens[a:b]), b"" if counts is None else _narrow(counts[a:b])
 
 
 def _packs(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int32(), *[pa.binary()] * 5]
+    types = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
     names = [f.split(" ")[0] for f in _PACK.split(", ")]
     columns = zip(*rows, strict=True) if rows else [[]] * 6
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
 
-def _joined(table: pa.Table, name: str, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+def _unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the sets, the number of tokens of each, the tokens and their counts (none in the first exchange)."""
+    keys, lengths, tokens, counts = [], [], [], []
+    for part, k, n, t, c in zip(*(table.column(name).to_pylist() for name in ("part", "keys", "lengths", "tokens", "counts")), strict=True):
+        keys.append(np.frombuffer(k, np.int64))
+        lengths.append(_counts(n, len(keys[-1])))
+        tokens.append(_whole(np.frombuffer(t, np.uint8), part))
+        counts.append(_counts(c, len(tokens[-1])))
+    return tuple(map(np.concatenate, (keys, lengths, tokens, counts)))
 
 
 def _scatter(docs: DataFrame, ranges: int, words: int) -> DataFrame:
@@ -134,10 +152,10 @@ def _scatter(docs: DataFrame, ranges: int, words: int) -> DataFrame:
         keys: list[int] = []
 
         def flush() -> pa.RecordBatch:
-            sizes = np.array([len(t) for t in held], np.uint32)
+            owner = np.repeat(np.arange(len(held)), [len(t) for t in held])
             tokens = np.concatenate(held)
             where = ((tokens >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
-            out = _packs(list(_pack(where, ranges, np.repeat(np.arange(len(held)), sizes), np.array(keys, np.int64), sizes, tokens, None)))
+            out = _packs(list(_pack(where, ranges, owner, np.array(keys, np.int64), tokens)))
             held.clear()
             keys.clear()
             return out
@@ -151,7 +169,7 @@ def _scatter(docs: DataFrame, ranges: int, words: int) -> DataFrame:
                         held.append(tokens)
                         keys.append(key)
                         total += len(tokens)
-                if total >= 2 * TOKENS_PER_RANGE:
+                if total >= TOKENS_PER_FLUSH:
                     yield flush()
                     total = 0
         if held:
@@ -162,8 +180,7 @@ def _scatter(docs: DataFrame, ranges: int, words: int) -> DataFrame:
 
 def _shared(table: pa.Table, back: int) -> pa.Table:
     """Of one range of shingles, those that at least two sets hold, with their frequency, packed by range of the set's key."""
-    keys, sizes, lengths = _joined(table, "keys", np.int64), _joined(table, "sizes", np.uint32), _joined(table, "lengths", np.uint32)
-    tokens = _whole(_joined(table, "tokens", np.uint8), table.column("range")[0].as_py())
+    keys, lengths, tokens, _ = _unpack(table)
     names, first = np.unique(keys, return_index=True)  # a set that several tasks met counts once
     use = np.zeros(len(keys), bool)
     use[first] = True
@@ -176,25 +193,31 @@ def _shared(table: pa.Table, back: int) -> pa.Table:
     counts = np.repeat(n, n)
     many = counts > 1
     owner, tokens, counts = owner[many], tokens[many], counts[many].astype(np.uint32)
-    where = names.view(np.uint64)[owner] % np.uint64(back)
-    return pa.Table.from_batches([_packs(list(_pack(where, back, owner, names, sizes[first], tokens, counts)))])
+    return pa.Table.from_batches([_packs(list(_pack(names[owner] % back, back, owner, names, tokens, counts, table.column("part")[0].as_py())))])
 
 
 _SETS = "key long, n int, gid long, single int, prefix array<long>, tokens array<long>"
 
 
-def _assemble(table: pa.Table, percent: int) -> pa.Table:
-    """Sets of one range that may have a partner: shared shingles rarest first, prefix and group."""
-    keys, sizes, lengths = _joined(table, "keys", np.int64), _joined(table, "sizes", np.uint32), _joined(table, "lengths", np.uint32)
-    tokens, counts = _joined(table, "tokens", np.uint64), _joined(table, "counts", np.uint32)
-    names, first = np.unique(keys, return_index=True)
+def _assemble(table: pa.Table, sizes: pa.Table, percent: int) -> pa.Table:
+    """Sets of one range that may have a partner: shared shingles rarest first, prefix and group.
+    ``sizes`` (key, n) has every set of the range."""
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+    columns = [f.split(" ")[0] for f in _SETS.split(", ")]
+    if not table.num_rows:
+        return pa.table([pa.array([], t) for t in kinds], names=columns)
+    keys, lengths, tokens, counts = _unpack(table)
+    names = np.unique(keys)
     owner = np.repeat(np.searchsorted(names, keys), lengths)
+    known, n_of = sizes.column("key").to_numpy(), sizes.column("n").to_numpy()
+    by_key = np.argsort(known)
+    n_of = n_of[by_key][np.searchsorted(known, names, sorter=by_key)].tolist()
     order = np.lexsort((tokens, counts, owner))
     tokens = tokens[order].view(np.int64)
     cuts = np.searchsorted(owner[order], np.arange(len(names) + 1))
     out = []
     for i, key in enumerate(names.tolist()):
-        n, own = int(sizes[first[i]]), tokens[cuts[i] : cuts[i + 1]]
+        n, own = n_of[i], tokens[cuts[i] : cuts[i + 1]]
         need = -(-percent * n // 100)
         if len(own) < need:
             continue
@@ -202,18 +225,20 @@ def _assemble(table: pa.Table, percent: int) -> pa.Table:
         prefix = own[: n - need + 1 - single]
         gid = int(np.uint64(xxhash.xxh64_intdigest(np.array([n, single], np.int64).tobytes() + prefix.tobytes())).view(np.int64))
         out.append((key, n, gid, single, prefix.tolist(), own.tolist()))
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-    columns = zip(*out, strict=True) if out else [[]] * 6
-    return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=[f.split(" ")[0] for f in _SETS.split(", ")])
+    values = zip(*out, strict=True) if out else [[]] * 6
+    return pa.table([pa.array(c, t) for c, t in zip(values, kinds, strict=True)], names=columns)
 
 
-def candidates_sets(docs: DataFrame, total: int, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The distinct sets that share enough shingles with others; ``total`` is the number of shingles."""
+def candidates_sets(docs: DataFrame, classes: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The distinct sets that share enough shingles with others; ``classes`` is ``sets_of`` the same documents."""
+    total = classes.agg(F.sum("n")).first()[0] or 0
     ranges = max(1, -(-total // TOKENS_PER_RANGE))
     back = max(1, -(-ranges // 4))
     packs = _scatter(docs, ranges, words)
     shared = packs.groupBy("range").applyInArrow(lambda t: _shared(t, back), _PACK)
-    return stored(shared.groupBy("range").applyInArrow(lambda t: _assemble(t, percent), _SETS), "join-sets")
+    sizes = classes.where("key is not null").groupBy("key").agg(F.max("n").alias("n")).withColumn("range", F.pmod("key", F.lit(back)).cast("int"))
+    whole = shared.groupBy("range").cogroup(sizes.groupBy("range"))
+    return stored(whole.applyInArrow(lambda t, n: _assemble(t, n, percent), _SETS), "join-sets")
 
 
 def _passes(na: Column, pa_: Column, nb: Column, pb: Column, percent: int) -> Column:
@@ -248,12 +273,19 @@ def _merged(placed: DataFrame, found: DataFrame) -> DataFrame:
     return stored(placed.join(roots.withColumnRenamed("node", "comp"), "comp", "left").select("key", "gid", F.coalesce("root", "comp").alias("comp")), "join-placed")
 
 
-def _to_centres(postings: DataFrame, placed: DataFrame, seeds: Iterable[int], percent: int) -> DataFrame:
+def _lists(groups: DataFrame, of: DataFrame) -> DataFrame:
+    """The posting lists: a row for each prefix shingle of the units ``of`` (gid, comp, ...). Groups meet their
+    units before their prefixes are expanded."""
+    whole = groups.join(of, "gid").select(*of.columns, "n", "single", F.posexplode("prefix").alias("at", "token"))
+    return whole.withColumn("pos", F.col("single") + F.col("at")).drop("single", "at")
+
+
+def _to_centres(groups: DataFrame, placed: DataFrame, seeds: Iterable[int], percent: int) -> DataFrame:
     """Pairs (a, b) of keys: the members of each unit (group, component), and the first member of a centre
     unit of another component. Every posting list draws a centre of its own for each seed; there are as many
     rows as postings for a seed, at most."""
     units = placed.groupBy("gid", "comp").agg(F.min("key").alias("head"))
-    lists = postings.join(units, "gid")
+    lists = _lists(groups, units)
     draw = lambda seed: F.min(F.struct(F.xxhash64(F.lit(seed), "token", "comp", "gid").alias("h"), "comp", "head", "n", "pos"))
     drawn = lists.groupBy("token").agg(F.array_distinct(F.array(*map(draw, seeds))).alias("c"), F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y")
     centre = drawn.select("token", F.explode("c").alias("c")).select("token", F.col("c.comp").alias("cc"), F.col("c.head").alias("b"), F.col("c.n").alias("cn"), F.col("c.pos").alias("cp"))
@@ -266,10 +298,10 @@ def _to_centres(postings: DataFrame, placed: DataFrame, seeds: Iterable[int], pe
     return near.join(placed, ["gid", "comp"]).select(F.col("key").alias("a"), "b")
 
 
-def _crossing(postings: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+def _crossing(groups: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
     """All candidate pairs (a, b) of keys in different components. Posting lists are first reduced to
     (shingle, component), so nothing is enumerated inside a component."""
-    lists = postings.join(placed.select("gid", "comp").distinct(), "gid")
+    lists = _lists(groups, placed.select("gid", "comp").distinct())
     spans = lists.groupBy("token", "comp").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("rest"))
     several = spans.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("token")
     spans = stored(spans.join(several, "token"), "join-spans")
@@ -297,18 +329,15 @@ def _crossing(postings: DataFrame, placed: DataFrame, percent: int) -> DataFrame
 
 def component_map(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(key, gid, comp) of every set: see the module's head. ``comp`` is the least key of the component."""
-    groups = sets.dropDuplicates(["gid"]).select("gid", "n", "single", "prefix")
-    postings = stored(
-        groups.select("gid", "n", F.posexplode("prefix").alias("at", "token"), "single").select("token", "gid", "n", (F.col("single") + F.col("at")).alias("pos")),
-        "join-postings",
-    )
+    groups = stored(sets.dropDuplicates(["gid"]).select("gid", "n", "single", "prefix"), "join-groups")
     placed = stored(sets.select("key", "gid", F.col("key").alias("comp")), "join-placed")
     for seeds in CENTRES:
-        found = stored(verified(_to_centres(postings, placed, seeds, percent), sets, percent), "join-links")
+        found = stored(verified(_to_centres(groups, placed, seeds, percent), sets, percent), "join-links")
         if found.isEmpty():
             break
         placed = _merged(placed, found)
-    found = stored(verified(_crossing(postings, placed, percent), sets, percent), "join-links")
+        release(sets.sparkSession)
+    found = stored(verified(_crossing(groups, placed, percent), sets, percent), "join-links")
     return placed if found.isEmpty() else _merged(placed, found)
 
 
@@ -322,8 +351,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     ship(docs.sparkSession)
     docs = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     classes = stored(sets_of(docs, words), "join-classes")
-    total = classes.agg(F.sum("n")).first()[0] or 0
-    sets = candidates_sets(docs, total, words, percent)
+    sets = candidates_sets(docs, classes, words, percent)
     release(docs.sparkSession)
     comps = component_map(sets, percent).select("key", "comp")
     least = classes.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("least"))
