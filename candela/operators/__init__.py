@@ -1,7 +1,6 @@
 """Operators over ``bars``: each is ``op(bars, ...) -> DataFrame``, lazy, answering every symbol."""
 
 from candela.operators.anchored import (
-    anchor_dates,
     anchored_avg_price,
     anchored_avg_return,
     anchored_max_return_rate,
@@ -40,7 +39,6 @@ from candela.operators.explore import (
 )
 
 __all__ = [
-    "anchor_dates",
     "anchored_avg_price",
     "anchored_avg_return",
     "anchored_max_return_rate",

@@ -4,78 +4,74 @@ Rule, per symbol in date order: the first day is anchor 0; a day at least ``n``
 anchor is a *boundary* and becomes the next anchor. Segment ``s`` holds the days after anchor ``s`` and
 before anchor ``s + 1``; segment 0 also holds anchor 0, later anchors belong to no segment.
 
-Spark formulation (no Python, no driver loop):
-
-1. ``anchor_dates``: per symbol, the sorted date list is folded with the higher-order ``aggregate``
-   function into the list of anchor dates. The state is one date list per symbol, bounded by the number
-   of calendar days (``bars`` has one row per symbol and day, at most 366 per year). The (symbol, date)
-   pairs are shuffled with a fixed partition count so that the CPU-bound folds of many symbols are spread
-   over many tasks rather than packed by byte size.
-2. ``mark_anchors``: the anchor list is joined back to the rows on ``symbol`` (many-to-one); one window
-   pass per symbol, ordered by date, adds the anchor number ``k``, the segment ``seg``, the previous
-   anchor's values and an end-of-series flag. Everything after the join is partitioned by symbol, so the
-   later windows add local sorts but no shuffle.
+Spark formulation (no Python, no driver loop, one read and one shuffle): ``mark_anchors`` gathers the rows
+of a symbol in date order, folds their positions with the higher-order ``aggregate`` function into the list of
+anchor positions, cuts the rows into one slice per anchor, and expands the slices again with their anchor, the
+anchor before it and their place. Everything after is partitioned by symbol, so the later windows add local
+sorts but no shuffle. A symbol has at most one bar a day in the data this serves; of rows with one date, which
+may come from elsewhere, only the first can be an anchor (their distance is 0), in the order of their values.
+Only the columns an operator uses are gathered.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candela.functions.columns import pct, round_to
-from candela.operators.calendar import by_date, dated
+from candela.operators.calendar import dated
 from candela.operators.daily import intraday_variation
 from candela.schema import MONTHLY_VARIATION_DAYS, period_days
 
 
-def _shuffle_width(spark) -> int:
-    try:
-        return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    except (TypeError, ValueError):
-        return spark.sparkContext.defaultParallelism
-
-
-def anchor_dates(bars: DataFrame, days: int) -> DataFrame:
-    """``(symbol, anchors)``: the sorted anchor dates of each symbol for periods of ``days`` days."""
-    if days < 1:
-        raise ValueError("days must be >= 1")
-    dates = F.array_sort(F.collect_list("Date"))
-    fold = F.aggregate(
-        F.slice(dates, 2, F.size(dates)),
-        F.slice(dates, 1, 1),
-        lambda acc, d: F.when(F.datediff(d, F.element_at(acc, -1)) >= days, F.concat(acc, F.array(d))).otherwise(acc),
-    )
-    # The fold is CPU work on little data: left to itself, adaptive execution would pack the shuffled
-    # date lists of many symbols into one task by byte size. A shuffle with an explicit partition count
-    # (the session's shuffle width) is not coalesced, so the folds spread over that many tasks.
-    pairs = dated(bars).select("symbol", "Date").repartition(_shuffle_width(bars.sparkSession), "symbol")
-    return pairs.groupBy("symbol").agg(fold.alias("anchors"))
-
-
-def mark_anchors(bars: DataFrame, days: int, carry=("Open", "Close", "Volume")) -> DataFrame:
-    """Rows of ``bars`` with anchor bookkeeping columns.
+def mark_anchors(bars: DataFrame, days: int, columns=("Open", "Close", "Volume")) -> DataFrame:
+    """``symbol``, ``Date`` and ``columns`` of the rows with a date, with anchor bookkeeping columns.
 
     ``k``: anchor number of the row (-1 when the row is not an anchor); ``n_anchors``: anchors of the
-    symbol; ``seg``: number of the last anchor at or before the row; ``prev_anchor``: struct of ``Date``
-    and the ``carry`` columns of the last anchor strictly before the row; ``is_last``: last row of the
-    symbol. Carry only what is used: an unused column still has to be computed upstream.
+    symbol; ``seg``: number of the last anchor at or before the row; ``at``: place of the row after that
+    anchor; ``prev_anchor``: struct of ``Date`` and the ``columns`` of the last anchor strictly before the
+    row; ``is_last``: last row of the symbol. A null symbol is a symbol like any other.
     """
-    anchors = anchor_dates(bars, days)
-    rows = dated(bars).join(anchors, "symbol").select(
-        *[F.col(c) for c in dated(bars).columns],
-        (F.array_position("anchors", F.col("Date")) - 1).alias("k"),
-        F.size("anchors").alias("n_anchors"),
+    if days < 1:
+        raise ValueError("days must be >= 1")
+    gathered = dated(bars).groupBy("symbol").agg(F.array_sort(F.collect_list(F.struct("Date", *columns))).alias("rows"))
+
+    def row(i) -> Column:
+        return F.element_at("rows", i)
+
+    def step(acc: Column, i: Column) -> Column:
+        far = F.datediff(row(i)["Date"], row(F.element_at(acc, -1))["Date"]) >= days
+        return F.when(far, F.concat(acc, F.array(i))).otherwise(acc)
+
+    def cut(start: Column, j: Column) -> Column:
+        end = F.coalesce(F.get("starts", j + 1), F.size("rows") + 1)
+        return F.struct(
+            j.alias("seg"),
+            start.alias("start"),
+            row(start).alias("anchor"),
+            F.get("rows", F.get("starts", j - 1) - 1).alias("before"),
+            F.slice("rows", start, end - start).alias("part"),
+        )
+
+    starts = F.aggregate(F.sequence(F.lit(1), F.size("rows")), F.array(F.lit(1)), step)
+    cuts = gathered.withColumn("starts", starts).select(
+        "symbol", F.size("rows").alias("n"), F.size("starts").alias("n_anchors"), F.inline(F.transform("starts", cut))
     )
-    anchor_values = F.when(F.col("k") >= 0, F.struct("Date", *carry))
+    rows = cuts.select("symbol", "n", "n_anchors", "seg", "start", "anchor", "before", F.posexplode("part").alias("at", "row"))
+    is_anchor = F.col("at") == 0
     return rows.select(
-        "*",
-        F.max("k").over(by_date().rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("seg"),
-        F.last(anchor_values, ignorenulls=True).over(by_date().rowsBetween(Window.unboundedPreceding, -1)).alias("prev_anchor"),
-        F.lead("Date").over(by_date()).isNull().alias("is_last"),
+        "symbol",
+        "row.*",
+        F.when(is_anchor, F.col("seg")).otherwise(-1).alias("k"),
+        "n_anchors",
+        "seg",
+        "at",
+        F.when(is_anchor, F.col("before")).otherwise(F.col("anchor")).alias("prev_anchor"),
+        (F.col("start") + F.col("at") == F.col("n")).alias("is_last"),
     )
 
 
-def _span_label() -> F.Column:
+def _span_label() -> Column:
     return F.concat(F.col("prev_anchor.Date").cast("string"), F.lit(" to "), F.col("Date").cast("string"))
 
 
@@ -85,7 +81,7 @@ def _previous_segment_average(marked: DataFrame, value) -> DataFrame:
     contribution = F.when(F.col("k") <= 0, value)
     per_segment = Window.partitionBy("symbol", "seg")
     with_avg = marked.withColumn("seg_avg", F.avg(contribution).over(per_segment))
-    return with_avg.withColumn("prev_seg_avg", F.lag("seg_avg").over(by_date()))
+    return with_avg.withColumn("prev_seg_avg", F.lag("seg_avg").over(Window.partitionBy("symbol").orderBy("seg", "at")))
 
 
 # N2
@@ -94,7 +90,7 @@ def anchored_avg_price(bars: DataFrame, period: str, field: str = "Open", digits
     boundary closes, ``Average_{field}_Price($)``. The open last segment is not reported."""
     if field not in ("Open", "Close"):
         raise ValueError("field must be 'Open' or 'Close'")
-    marked = mark_anchors(bars, period_days(period), carry=())
+    marked = mark_anchors(bars, period_days(period), (field,))
     rows = _previous_segment_average(marked, F.col(field))
     return rows.where(F.col("k") >= 1).select(
         "symbol",
@@ -108,7 +104,7 @@ def anchored_avg_return(bars: DataFrame, period: str, digits: int | None = 3) ->
     """Mean intraday variation (Close - Open, rounded to ``digits``) of each closed segment:
     ``Period = "<anchor> to <boundary>"``, ``Average_Stock_Variation_($)``."""
     days = period_days(period)
-    marked = mark_anchors(intraday_variation(bars, digits), days, carry=())
+    marked = mark_anchors(intraday_variation(bars, digits), days, ("Stock_Variation",))
     rows = _previous_segment_average(marked, F.col("Stock_Variation"))
     return rows.where(F.col("k") >= 1).select(
         "symbol",
@@ -121,7 +117,7 @@ def anchored_avg_return(bars: DataFrame, period: str, digits: int | None = 3) ->
 def anchored_return_rate(bars: DataFrame, period: str) -> DataFrame:
     """At each boundary, the return from the previous anchor's Open to the boundary's Close:
     ``Period = "<anchor> to <boundary>"``, ``Return_Rate_(%)`` (not rounded)."""
-    marked = mark_anchors(bars, period_days(period), carry=("Open",))
+    marked = mark_anchors(bars, period_days(period), ("Open", "Close"))
     return marked.where(F.col("k") >= 1).select(
         "symbol",
         _span_label().alias("Period"),
@@ -150,7 +146,7 @@ def anchored_monthly_variation(
     itself a boundary, replacing the boundary value). With ``max_periods = p > 0`` only the first ``p``
     boundaries are reported, and the last row only when the symbol has fewer than ``p`` boundaries.
     """
-    marked = mark_anchors(bars, days, carry=("Open",))
+    marked = mark_anchors(bars, days, ("Open", "Close"))
     limit = max_periods if (max_periods is not None and max_periods > 0) else None
     boundaries = F.col("n_anchors") - 1
     tail = F.col("is_last") & (F.lit(True) if limit is None else boundaries < limit)
@@ -167,7 +163,7 @@ def anchored_monthly_variation(
 def anchored_volume_variation(bars: DataFrame, period: str) -> DataFrame:
     """Volume change between consecutive anchors, and from the last anchor to the last row:
     ``Period`` (date), ``Variation_Volume``. A one-row series reports 0."""
-    marked = mark_anchors(bars, period_days(period), carry=("Volume",))
+    marked = mark_anchors(bars, period_days(period), ("Volume",))
     since = F.coalesce(F.col("prev_anchor.Volume"), F.when(F.col("k") == 0, F.col("Volume")))
     return marked.where((F.col("k") >= 1) | F.col("is_last")).select(
         "symbol", F.col("Date").alias("Period"), (F.col("Volume") - since).alias("Variation_Volume")

@@ -27,7 +27,7 @@ _SHIFT_NAME = {"w": "W+1", "m": "M+1", "y": "Y+1"}
 
 
 def dated(bars: DataFrame) -> DataFrame:
-    """Rows with a usable date (period operators skip rows whose date did not parse)."""
+    """Rows with a usable date: a row without one is no period's representative bar and no anchor."""
     return bars.where(F.col("Date").isNotNull())
 
 
@@ -63,12 +63,12 @@ def avg_price_until(bars: DataFrame, on, until, field: str = "Open") -> DataFram
 
 # A2
 def avg_price_period(bars: DataFrame, period: str, field: str = "Open", iso_year: bool = False) -> DataFrame:
-    """Mean of ``field`` per symbol and calendar week / month / year: ``Average_Price`` (null -> 0)."""
+    """Mean of ``field`` per symbol and calendar week / month / year: ``Average_Price`` (null -> 0).
+    Rows without a date are a group of their own, whose keys become 0 as every null number does."""
     check_calendar_period(period, ("w", "m", "y"))
     keys = calendar_keys(period, year_name="year", iso_year=iso_year)
     return (
-        dated(bars)
-        .groupBy("symbol", *keys)
+        bars.groupBy("symbol", *keys)
         .agg(F.avg(field).alias("Average_Price"))
         .fillna(0)
     )
@@ -79,11 +79,11 @@ def stock_variation(bars: DataFrame, period: str = "d", iso_year: bool = False)
     """Change of the Open price against the previous day ('d') or previous period's representative bar.
 
     Output ``symbol, Date, Variation_Open_Price``; the first row of each symbol gets 0.
-    'w' is an extension (same rule on weekly representative bars).
+    'w' is an extension (same rule on weekly representative bars). Rows without a date come first.
     """
     check_calendar_period(period)
     rows = (
-        dated(bars).select("symbol", "Date", "Open")
+        bars.select("symbol", "Date", "Open")
         if period == "d"
         else last_bar(bars, period, ("Open",), iso_year=iso_year)
     )
@@ -108,7 +108,7 @@ def period_return(bars: DataFrame, period: str = "d", iso_year: bool = False) ->
     """
     check_calendar_period(period)
     if period == "d":
-        return dated(bars).withColumn("Daily_Return", pct("Open", "Close")).fillna(0)
+        return bars.withColumn("Daily_Return", pct("Open", "Close")).fillna(0)
     nxt = f"Close({_SHIFT_NAME[period]})"
     rows = last_bar(bars, period, ("Open", "Close"), iso_year=iso_year)
     with_next = rows.select("symbol", "Date", "Open", F.lead("Close").over(by_date()).alias(nxt))
@@ -138,11 +138,12 @@ def avg_return(bars: DataFrame, period: str, iso_year: bool = False) -> DataFram
 # A9
 def moving_average(bars: DataFrame, field: str = "Open", n: int = 5) -> DataFrame:
     """Every column plus ``Moving_Average``: mean of ``field`` over the current row and the ``n - 1``
-    following rows of the symbol (a forward frame, shorter at the end). Nulls become 0."""
+    following rows of the symbol (a forward frame, shorter at the end). Nulls become 0; rows without
+    a date come first."""
     if n < 1:
         raise ValueError("n must be >= 1")
     frame = by_date().rowsBetween(0, n - 1)
-    return dated(bars).withColumn("Moving_Average", F.avg(field).over(frame)).fillna(0)
+    return bars.withColumn("Moving_Average", F.avg(field).over(frame)).fillna(0)
 
 
 # A11
@@ -180,7 +181,7 @@ def return_rate_period(bars: DataFrame, period: str, shares: float, iso_year: bo
     """
     check_calendar_period(period)
     if period == "d":
-        return dated(bars).withColumn("Return_Rate(%)", position_return_rate("Open", "Close", shares)).fillna(0)
+        return bars.withColumn("Return_Rate(%)", position_return_rate("Open", "Close", shares)).fillna(0)
     shifted = f"Open({_SHIFT_NAME[period]})"
     rows = last_bar(bars, period, ("Open", "Close"), iso_year=iso_year)
     rows = rows.withColumn(shifted, F.lag("Open").over(by_date()))

@@ -4,16 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candela.functions.columns import pearson
 from candela.operators.calendar import by_date, dated
 
-# Pair lists are built on the driver by the caller, so their size is known; up to this many pairs
-# they are broadcast to the join, above it the planner chooses.
-_BROADCAST_PAIRS = 10_000
-
 
 def _nulls(c: Column, nulls: str) -> Column:
     if nulls == "zero":
@@ -34,17 +30,13 @@ def column_correlation(bars: DataFrame, col1: str, col2: str, nulls: str = "zero
     return bars.groupBy("symbol").agg(pearson(x, y).alias("correlation"))
 
 
-def _pairs_frame(spark: SparkSession, pair_list: list[tuple[str, str]]) -> DataFrame:
-    frame = spark.createDataFrame(pair_list, "symbol_1 string, symbol_2 string")
-    return F.broadcast(frame) if len(pair_list) <= _BROADCAST_PAIRS else frame
-
-
-def _indexed(bars: DataFrame, column: str, on: str) -> DataFrame:
-    """``(symbol, key, value)`` with key = position in date order (``on="index"``) or the date."""
+def _indexed(bars: DataFrame, on: str, **columns: str) -> DataFrame:
+    """``(symbol, key, values)`` with key = position in date order (``on="index"``) or the date; the
+    values are named by the keyword arguments."""
     if on not in ("index", "date"):
         raise ValueError("on must be 'index' or 'date'")
     key = F.row_number().over(by_date()) if on == "index" else F.col("Date")
-    return dated(bars).select("symbol", key.alias("key"), F.col(column).cast("double").alias("value"))
+    return dated(bars).select("symbol", key.alias("key"), *[F.col(c).cast("double").alias(name) for name, c in columns.items()])
 
 
 # A12
@@ -60,21 +52,29 @@ def correlation_between(
 
     ``on="index"`` pairs the i-th day of one series with the i-th day of the other (the longer series
     is cut to the shorter one); ``on="date"`` pairs equal dates. Output
-    ``symbol_1, symbol_2, correlation``. Work is linear in the pairs asked for: each pair joins two
-    series on a unique key, no pair is formed within a symbol.
+    ``symbol_1, symbol_2, correlation``. Work is linear in the pairs asked for: ``bars`` is read and
+    indexed once, a series goes to the pairs that name it, and a pair's two series meet in an aggregate by
+    key. No pair is formed within a symbol.
     """
     pair_list = [(str(a), str(b)) for a, b in pairs]
     if not pair_list:
         raise ValueError("at least one (symbol_1, symbol_2) pair is needed")
-    pair_df = _pairs_frame(bars.sparkSession, pair_list)
-    # Only the listed symbols are indexed; the list is the caller's, so its size is known here.
-    symbols = sorted({s for pair in pair_list for s in pair})
-    if len(symbols) <= _BROADCAST_PAIRS:
-        bars = bars.where(F.col("symbol").isin(symbols))
-    left = _indexed(bars, col1, on).select(F.col("symbol").alias("symbol_1"), "key", F.col("value").alias("x"))
-    right = _indexed(bars, col2, on).select(F.col("symbol").alias("symbol_2"), "key", F.col("value").alias("y"))
-    joined = pair_df.join(left, "symbol_1").join(right, ["symbol_2", "key"])
-    return joined.groupBy("symbol_1", "symbol_2").agg(
+    sides = [(s, a, b, side) for a, b in dict.fromkeys(pair_list) for side, s in ((1, a), (2, b))]
+    roles = bars.sparkSession.createDataFrame(sides, "symbol string, symbol_1 string, symbol_2 string, side int")
+    listed = bars.join(roles.select("symbol").distinct(), "symbol", "left_semi")
+    first, second = F.col("side") == 1, F.col("side") == 2
+    met = (
+        _indexed(listed, on, x=col1, y=col2)
+        .join(roles, "symbol")
+        .groupBy("symbol_1", "symbol_2", "key")
+        .agg(
+            F.max(F.when(first, F.col("x"))).alias("x"),
+            F.max(F.when(second, F.col("y"))).alias("y"),
+            F.count_distinct("side").alias("sides") if on == "date" else F.count(F.lit(1)).alias("sides"),
+        )
+        .where("sides = 2")
+    )
+    return met.groupBy("symbol_1", "symbol_2").agg(
         pearson(_nulls(F.col("x"), nulls), _nulls(F.col("y"), nulls)).alias("correlation")
     )
 
@@ -86,7 +86,7 @@ def correlation_matrix(bars: DataFrame, symbol_1: str, symbol_2: str, column: st
 
     Rows ``variable`` = D1 (``symbol_1``) and D2 (``symbol_2``), columns ``D1``, ``D2``.
     """
-    series = _indexed(bars.where(F.col("symbol").isin(symbol_1, symbol_2)), column, "index")
+    series = _indexed(bars.where(F.col("symbol").isin(symbol_1, symbol_2)), "index", value=column)
     # Side by side by position: one aggregate on the position key (each symbol has one row per
     # position) instead of a self full outer join, so the series are shuffled once.
     both = series.groupBy("key").agg(

@@ -21,12 +21,12 @@ def _value_columns(df: DataFrame) -> list[T.StructField]:
 # E1
 def head_and_tail(bars: DataFrame, n: int = HEAD_TAIL_ROWS) -> DataFrame:
     """First ``n`` and last ``n`` rows of each symbol by date (UNION ALL: a series shorter than ``2n``
-    shows rows twice). Both top-n filters are planned as group limits before the shuffle."""
-    rows = dated(bars)
-    newest_first = Window.partitionBy("symbol").orderBy(F.col("Date").desc())
-    head = rows.withColumn("_rn", F.row_number().over(by_date())).where(F.col("_rn") <= n).drop("_rn")
-    tail = rows.withColumn("_rn", F.row_number().over(newest_first)).where(F.col("_rn") <= n).drop("_rn")
-    return head.unionByName(tail)
+    shows rows twice). Rows without a date come first. One pass: a row's number and the number of rows of
+    its symbol tell how often it shows."""
+    numbered = bars.withColumn("_rn", F.row_number().over(by_date())).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("symbol")))
+    times = (F.col("_rn") <= n).cast("int") + (F.col("_rn") > F.col("_n") - n).cast("int")
+    shown = numbered.withColumn("_times", times).where("_times > 0")
+    return shown.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*bars.columns)
 
 
 # E2

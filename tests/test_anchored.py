@@ -184,7 +184,7 @@ def test_boundary_at_exactly_n_days(spark):
     offsets = [0, 6, 7, 13, 14, 20, 21, 27]
     rows = [("S", (start + dt.timedelta(days=o)).isoformat(), float(o + 1), float(o + 2)) for o in offsets]
     bars = make_bars(spark, rows)
-    anchors = ops.anchor_dates(bars, 7).first().anchors
+    anchors = sorted(r.Date for r in ops.mark_anchors(bars, 7).where("k >= 0").collect())
     assert anchors == [start + dt.timedelta(days=o) for o in (0, 7, 14, 21)]
     periods = sorted(r.Period for r in ops.anchored_return_rate(bars, "w").collect())
     assert periods == [
@@ -193,3 +193,24 @@ def test_boundary_at_exactly_n_days(spark):
     # segment 0 = days 0 and 6; later segments hold only the day after each anchor but one (13, 20)
     avgs = sorted((r.Period, r["Average_Open_Price($)"]) for r in ops.anchored_avg_price(bars, "w", digits=None).collect())
     assert [v for _, v in avgs] == [4.0, 14.0, 21.0]
+
+
+def test_repeated_dates_and_null_symbols(spark):
+    days = ["2020-01-01", "2020-01-15", "2020-02-15", "2020-02-15", "2020-04-01"]
+    rows = [(sym, d, float(i + 1), float(i + 2)) for sym in ("S", None) for i, d in enumerate(days)]
+    bars = make_bars(spark, rows)
+    got = _collect(ops.anchored_return_rate(bars, "m"), "Period")
+    want = [("2020-01-01 to 2020-02-15",), ("2020-02-15 to 2020-04-01",)]
+    assert {k: sorted(v) for k, v in got.items()} == {"S": want, None: want}
+    # the segment of 2020-04-01 holds the second row of 2020-02-15
+    avgs = _collect(ops.anchored_avg_price(bars, "m", digits=None), "Period", "Average_Open_Price($)")
+    assert [v for _, v in sorted(avgs["S"])] == [1.5, 4.0]
+
+
+def test_rows_without_a_date_stay(spark):
+    bars = make_bars(spark, [("S", None, 2.0, 3.0), ("S", "2020-01-01", 1.0, 2.0), ("S", "2020-01-02", 4.0, 2.0)])
+    for df in (ops.period_return(bars, "d"), ops.return_rate_period(bars, "d", 200), ops.moving_average(bars), ops.stock_variation(bars)):
+        assert df.count() == 3
+    assert ops.head_and_tail(bars, 1).count() == 2 and ops.head_and_tail(bars, 2).count() == 4
+    assert {(r.year, r.Average_Price) for r in ops.avg_price_period(bars, "y").collect()} == {(0, 2.0), (2020, 2.5)}
+    assert {(r.year_nb, r.Yearly_Return) for r in ops.avg_return(bars, "y").collect()} == {(0, 50.0), (2020, 25.0)}

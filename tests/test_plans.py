@@ -60,12 +60,11 @@ def test_date_filter_reaches_parquet_scan(spark, sample, scratch):
     assert "ReadSchema: struct<symbol:string,Date:date,Open:double>" in plan
 
 
-def test_anchor_fold_keeps_its_shuffle_width(spark, bars):
-    from candela.operators.anchored import anchor_dates
-
-    plan = _final_plan(anchor_dates(bars, 30))
-    assert "REPARTITION_BY_NUM" in plan
-    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+def test_anchored_operators_read_once(spark, bars):
+    plan = _plan(ops.anchored_volume_variation(bars, "m"))
+    plan = plan[plan.index("Initial Plan"):] if "Initial Plan" in plan else plan
+    assert plan.count("FileScan") == 2  # orders and lineitem, once each
+    assert "REPARTITION_BY_NUM" not in plan and "BatchEvalPython" not in plan
 
 
 def test_symbol_filter_of_run_reaches_parquet_scan(spark, sample, scratch):
