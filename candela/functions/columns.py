@@ -1,8 +1,8 @@
-"""Column expressions: percent change, return rate, calendar keys, labels, rounding."""
+"""Column expressions: percent change, return rate, calendar keys, labels, rounding; the order of a result."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candela.schema import DATE, MONTH_NAMES, check_calendar_period
@@ -70,3 +70,11 @@ def pearson(x, y) -> Column:
     xs, ys = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
     spread = F.stddev_samp(xs) * F.stddev_samp(ys)
     return F.when(spread == 0, F.lit(float("nan"))).otherwise(F.try_divide(F.covar_samp(xs, ys), spread))
+
+
+def newest_first(df: DataFrame) -> DataFrame:
+    """``df`` by symbol, the newest day or period first (rows without one last). Operators do not sort; this is for the edge."""
+    order = [c for c in ("Date", "year_nb", "year", "month_nb", "week_nb", "Period") if c in df.columns]
+    if not order:
+        raise ValueError("no column of days or periods to sort by")
+    return df.orderBy("symbol", *[F.col(c).desc() for c in order])

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candela import operators as ops
+from candela.functions import newest_first
+from candela.plans.registry import run
+from candela.sources import typed_bars
 from candela.sources.tables import load_bars
 
 ON, UNTIL = "1996-01-01", "1998-12-31"
@@ -45,12 +48,12 @@ def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     return df.select(*cols)
 
 
-Loader = Callable[[SparkSession, str], DataFrame]
+Loader = Callable[..., DataFrame]
 
 
 def spark_queries(load: Loader = load_bars) -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    """The checked queries. ``load(spark, sf_dir)`` provides ``bars``: by default derived from the tables;
-    the benchmark passes a loader of bars stored once."""
+    """The checked queries. ``load(spark, sf_dir, on, until)`` provides ``bars``, of a range of days if given:
+    by default derived from the tables; the benchmark passes a loader of bars stored once."""
 
     def _q(build: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +61,12 @@ def spark_queries(load: Loader = load_bars) -> dict[str, Callable[[SparkSession,
 
         return query
 
+    def _until(build: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return finish(build(load(spark, sf_dir, ON, UNTIL)))
+
+        return query
+
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     q["scan_bars"] = _q(lambda b: b)
     for p in "dwmy":
@@ -66,10 +75,10 @@ def spark_queries(load: Loader = load_bars) -> dict[str, Callable[[SparkSession,
         q[f"stock_variation_{p}"] = _q(lambda b, p=p: ops.stock_variation(b, p))
         q[f"period_return_{p}"] = _q(lambda b, p=p: ops.period_return(b, p))
         q[f"max_return_{p}"] = _q(lambda b, p=p: ops.max_return(b, p))
-    q["return_rate_until"] = _q(lambda b: ops.return_rate(b, ON, UNTIL, SHARES))
-    q["avg_price_until"] = _q(lambda b: ops.avg_price_until(b, ON, UNTIL, "Open"))
-    q["stock_variation_until_m"] = _q(lambda b: ops.stock_variation_until(b, ON, UNTIL, "m"))
-    q["period_return_until_m"] = _q(lambda b: ops.period_return_until(b, ON, UNTIL, "m"))
+    q["return_rate_until"] = _until(lambda b: ops.return_rate(b, ON, UNTIL, SHARES))
+    q["avg_price_until"] = _until(lambda b: ops.avg_price_until(b, ON, UNTIL, "Open"))
+    q["stock_variation_until_m"] = _until(lambda b: ops.stock_variation_until(b, ON, UNTIL, "m"))
+    q["period_return_until_m"] = _until(lambda b: ops.period_return_until(b, ON, UNTIL, "m"))
     for p in "wmy":
         q[f"avg_price_{p}"] = _q(lambda b, p=p: ops.avg_price_period(b, p, "Open"))
         q[f"avg_return_{p}"] = _q(lambda b, p=p: ops.avg_return(b, p))
@@ -101,9 +110,49 @@ def spark_queries(load: Loader = load_bars) -> dict[str, Callable[[SparkSession,
     q["max_daily_return"] = _q(lambda b: ops.max_daily_return(b, digits=None))
     q["latest_average"] = _q(lambda b: ops.latest_average(b, "Open", WINDOW, digits=None))
     q["month_label"] = _q(ops.with_month_label)
+    q["csv_parse"] = _q(lambda b: typed_bars(as_text(b)))
+    q["run_dispatch"] = _q(lambda b: run(b, "return_rate_period", symbols=[SYMBOL_1, SYMBOL_2], period="y", shares=SHARES))
+    q["avg_price_m_newest"] = lambda spark, sf_dir: newest_first(finish(ops.avg_price_period(load(spark, sf_dir), "m", "Open")))
+    q["intraday_variation_rounded"] = _q(ops.intraday_variation)
+    gaps = {
+        "missing_counts": ops.missing_counts,
+        "period_return_d": lambda b: ops.period_return(b, "d"),
+        "period_return_m": lambda b: ops.period_return(b, "m"),
+        "return_rate_period_d": lambda b: ops.return_rate_period(b, "d", SHARES),
+        "return_rate_until": lambda b: ops.return_rate(b, ON, UNTIL, SHARES),
+        "stock_variation_m": lambda b: ops.stock_variation(b, "m"),
+        "avg_price_m": lambda b: ops.avg_price_period(b, "m", "Open"),
+        "avg_return_m": lambda b: ops.avg_return(b, "m"),
+        "moving_average_5": lambda b: ops.moving_average(b, "Open", WINDOW),
+        "column_correlation": lambda b: ops.column_correlation(b, "Open", "High"),
+        "correlation_matrix": lambda b: ops.correlation_matrix(b, SYMBOL_1, SYMBOL_2, "Close"),
+        "anchored_avg_price_m": lambda b: ops.anchored_avg_price(b, "m", "Open", digits=None),
+        "anchored_return_rate_m": lambda b: ops.anchored_return_rate(b, "m"),
+    }
+    q |= {f"{name}_gaps": _q(lambda b, build=build: build(with_gaps(b))) for name, build in gaps.items()}
     return q
 
 
+def as_text(bars: DataFrame) -> DataFrame:
+    """``bars`` as a price file has them: dates with a time and an offset, volumes with a decimal point."""
+    day = F.concat(F.col("Date").cast("string"), F.lit(" 00:00:00-05:00"))
+    return bars.withColumns({"Date": day, "Volume": F.concat(F.col("Volume").cast("string"), F.lit(".0"))})
+
+
+#: The symbol that ``with_gaps`` gives a constant price, and the day it takes the date from.
+CONSTANT_SYMBOL, LOST_DAY = "5-LOW", "1995-01-31"
+
+
+def with_gaps(bars: DataFrame) -> DataFrame:
+    """``bars`` with holes: by day of the month an Open is null or 0, a Close NaN or null; one symbol has a
+    constant price, and each symbol one row without a date."""
+    digit, constant = F.dayofmonth("Date") % 10, F.col("symbol") == CONSTANT_SYMBOL
+    opened = F.when(constant, 100.0).when(digit == 3, None).when(digit == 5, 0.0).otherwise(F.col("Open"))
+    closed = F.when(constant, 100.0).when(digit == 7, float("nan")).when(digit == 9, None).otherwise(F.col("Close"))
+    day = F.when(F.col("Date") != F.to_date(F.lit(LOST_DAY)), F.col("Date"))
+    return bars.withColumns({"Open": opened, "Close": closed, "Date": day})
+
+
 # --------------------------------------------------------------------------------------------------
 # SQL twins (DuckDB). The bars adapter is shared text.
 
@@ -354,8 +403,79 @@ def _missing_counts() -> str:
 _MONTHS_SQL = "['Jan', 'Feb', 'Mar', 'Apr', 'May', 'Jun', 'Jul', 'Aug', 'Sept', 'Oct', 'Nov', 'Dec']"
 
 
+GAPS_CTE = (
+    BARS_CTE.replace("bars AS (", "whole AS (")
+    + f""",
+bars AS (
+  SELECT symbol, CASE WHEN "Date" <> DATE '{LOST_DAY}' THEN "Date" END AS "Date",
+         CASE WHEN symbol = '{CONSTANT_SYMBOL}' THEN 100.0::DOUBLE WHEN day("Date") % 10 = 3 THEN NULL
+              WHEN day("Date") % 10 = 5 THEN 0.0 ELSE "Open" END AS "Open", "High", "Low",
+         CASE WHEN symbol = '{CONSTANT_SYMBOL}' THEN 100.0::DOUBLE WHEN day("Date") % 10 = 7 THEN 'NaN'::DOUBLE
+              WHEN day("Date") % 10 = 9 THEN NULL ELSE "Close" END AS "Close",
+         "Volume", "Dividends", "Stock Splits"
+  FROM whole)"""
+)
+
+
+def _gap_queries() -> dict[str, str]:
+    """Twins of the queries on bars with holes: null and NaN become 0 where the operator fills."""
+    fill = lambda e: f"CASE WHEN ({e}) IS NULL OR isnan({e}) THEN 0 ELSE ({e}) END"
+    keep = lambda e: f"CASE WHEN isnan({e}) THEN ({e}) ELSE {r6(e)} END"
+    names = ("Open", "High", "Low", "Close", "Volume", "Dividends", "Stock Splits")
+    columns = lambda how: ", ".join(["symbol", '"Date"'] + [f'"{c}"' if c == "Volume" else f'{how(_ident(c))} AS "{c}"' for c in names])
+    filled, kept = columns(lambda c: r6(fill(c))), columns(keep)
+    dated = '(SELECT * FROM bars WHERE "Date" IS NOT NULL)'
+    first = 'PARTITION BY symbol ORDER BY "Date" NULLS FIRST'
+    keys, by = _keys("m"), 'GROUP BY symbol, month("Date"), year("Date")'
+    month, year = (f"COALESCE({k.rsplit(' AS ', 1)[0]}, 0)" for k in keys)
+    rep = _rep("m", dated).replace("MAX_BY(", "ARG_MAX_NULL(")
+    nxt = f'r AS (SELECT *, LEAD("Close") OVER ({W}) AS nxt FROM rep)'
+    daily, rate = _pct(OPEN, CLOSE), _rate(OPEN, CLOSE)
+    variation = f'"Open" - LAG("Open") OVER ({W})'
+    averaged = f'AVG("Open") OVER ({first} ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING)'
+    s = {
+        "missing_counts": _missing_counts(),
+        "period_return_d": _with() + f'SELECT {filled}, {r6(fill(daily))} AS "Daily_Return" FROM bars',
+        "period_return_m": _with(rep, nxt)
+        + f'SELECT symbol, "Date", {r6(fill(OPEN))} AS "Open", {r6(fill("nxt"))} AS "Close(M+1)", {r6(fill(_pct(OPEN, "nxt")))} AS "Benefit" FROM r',
+        "return_rate_period_d": _with() + f'SELECT {filled}, {r6(fill(rate))} AS "Return_Rate(%)" FROM bars',
+        "return_rate_until": _with()
+        + f"SELECT {kept}, {keep(rate)} AS \"Return_Rate(%)\" FROM bars WHERE \"Date\" BETWEEN DATE '{ON}' AND DATE '{UNTIL}'",
+        "stock_variation_m": _with(rep, f"v AS (SELECT symbol, \"Date\", {variation} AS d FROM rep)")
+        + f'SELECT symbol, "Date", {r6(fill("d"))} AS "Variation_Open_Price" FROM v',
+        "avg_price_m": _with() + f'SELECT symbol, {month} AS month_nb, {year} AS year, {r6("COALESCE(AVG(" + OPEN + "), 0)")} AS "Average_Price" FROM bars {by}',
+        "avg_return_m": _with() + f'SELECT symbol, {month} AS month_nb, {year} AS year_nb, {r6(f"AVG({fill(daily)})")} AS "Monthly_Return" FROM bars {by}',
+        "moving_average_5": _with(f"w AS (SELECT *, {averaged} AS av FROM bars)") + f'SELECT {filled}, {r6("COALESCE(av, 0)")} AS "Moving_Average" FROM w',
+        "column_correlation": _with(f"z AS (SELECT symbol, COALESCE({OPEN}, 0) AS x, COALESCE(\"High\", 0) AS y FROM bars)")
+        + f"SELECT symbol, CASE WHEN MIN(x) = MAX(x) THEN 'NaN'::DOUBLE ELSE {r6('CORR(x, y)')} END AS correlation FROM z GROUP BY symbol",
+        "anchored_avg_price_m": _with(*_segments(30, 'b."Open"', dated))
+        + f'SELECT a.symbol, a."Date" AS "Period", {r6("s.av")} AS "Average_Open_Price($)" FROM a LEFT JOIN savg s ON s.symbol = a.symbol AND s.seg = a.k - 1 WHERE a.k >= 1',
+        "anchored_return_rate_m": _with(*_chain(30, dated)) + f'SELECT a.symbol, {_SPAN} AS "Period", {keep(_pct("po", CLOSE))} AS "Return_Rate_(%)" FROM a WHERE k >= 1',
+    }
+    series = f'i AS (SELECT symbol, CASE WHEN NOT isnan("Close") THEN "Close" END AS val, ROW_NUMBER() OVER ({W}) AS idx FROM {dated})'
+    s["correlation_matrix"] = _correlation_matrix(series)
+    return {f"{name}_gaps": sql.replace(BARS_CTE, GAPS_CTE) for name, sql in s.items()}
+
+
+def _correlation_matrix(series: str) -> str:
+    return _with(
+        series,
+        f"j AS (SELECT x.val AS d1, y.val AS d2 FROM (SELECT * FROM i WHERE symbol = '{SYMBOL_1}') x "
+        f"FULL JOIN (SELECT * FROM i WHERE symbol = '{SYMBOL_2}') y ON x.idx = y.idx)",
+        "c AS (SELECT CORR(d1, d1) AS c11, CORR(d1, d2) AS c12, CORR(d2, d2) AS c22 FROM j)",
+    ) + (
+        f"SELECT '{SYMBOL_1}' AS symbol_1, '{SYMBOL_2}' AS symbol_2, 'D1' AS variable, {r6('c11')} AS \"D1\", "
+        f"{r6('c12')} AS \"D2\" FROM c UNION ALL SELECT '{SYMBOL_1}', '{SYMBOL_2}', 'D2', {r6('c12')}, "
+        f"{r6('c22')} FROM c"
+    )
+
+
 def oracle_queries() -> dict[str, str]:
-    s: dict[str, str] = {}
+    s: dict[str, str] = _gap_queries()
+    s["csv_parse"] = _with() + f"SELECT {BARS_COLS_R6} FROM bars"
+    s["run_dispatch"] = f"SELECT * FROM ({_return_rate_period('y')}) t WHERE symbol IN ('{SYMBOL_1}', '{SYMBOL_2}')"
+    s["avg_price_m_newest"] = _avg_price("m")
+    s["intraday_variation_rounded"] = _with() + f'SELECT {BARS_COLS_R6}, {r6("ROUND(" + CLOSE + " - " + OPEN + ", 3)")} AS "Stock_Variation" FROM bars'
     s["scan_bars"] = _with() + f"SELECT {BARS_COLS_R6} FROM bars"
     for p in "dwmy":
         s[f"max_return_rate_{p}"] = _max_return_rate(p)
@@ -390,16 +510,7 @@ def oracle_queries() -> dict[str, str]:
         f'{r6("CORR(COALESCE(x.\"Open\", 0), COALESCE(y.\"Close\", 0))")} AS correlation '
         f"FROM i x JOIN i y ON x.idx = y.idx WHERE x.symbol = '{SYMBOL_1}' AND y.symbol = '{SYMBOL_2}'"
     )
-    s["correlation_matrix"] = _with(
-        f'i AS (SELECT symbol, "Open" AS val, ROW_NUMBER() OVER ({W}) AS idx FROM bars)',
-        f"j AS (SELECT x.val AS d1, y.val AS d2 FROM (SELECT * FROM i WHERE symbol = '{SYMBOL_1}') x "
-        f"FULL JOIN (SELECT * FROM i WHERE symbol = '{SYMBOL_2}') y ON x.idx = y.idx)",
-        "c AS (SELECT CORR(d1, d1) AS c11, CORR(d1, d2) AS c12, CORR(d2, d2) AS c22 FROM j)",
-    ) + (
-        f"SELECT '{SYMBOL_1}' AS symbol_1, '{SYMBOL_2}' AS symbol_2, 'D1' AS variable, {r6('c11')} AS \"D1\", "
-        f"{r6('c12')} AS \"D2\" FROM c UNION ALL SELECT '{SYMBOL_1}', '{SYMBOL_2}', 'D2', {r6('c12')}, "
-        f"{r6('c22')} FROM c"
-    )
+    s["correlation_matrix"] = _correlation_matrix(f'i AS (SELECT symbol, "Open" AS val, ROW_NUMBER() OVER ({W}) AS idx FROM bars)')
     s["dividend_revenus"] = _with() + (
         f'SELECT {BARS_COLS_R6}, {r6(f'"Dividends" * {DIVIDEND_SHARES}')} AS "Revenus" FROM bars'
     )

@@ -55,10 +55,12 @@ def materialize(df: DataFrame, name: str = "table", fallback_dir: str | None = N
     """Write ``df`` as Parquet under the checkpoint folder and read it back, cutting the lineage.
 
     Unlike caching, the written table outlives lost executors: a later stage that loses a task re-reads
-    the files instead of recomputing the whole input.
+    the files instead of recomputing the whole input. The table is deleted when the application ends.
     """
     spark = df.sparkSession
     base = checkpoint_dir(spark, fallback_dir).rstrip("/")
     path = f"{base}/{name}-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
     df.write.parquet(path)
     return spark.read.parquet(path)

@@ -1,6 +1,6 @@
 """Sources and sinks of the price table ``bars``."""
 
-from candela.sources.csv import read_bars_csv
+from candela.sources.csv import read_bars_csv, typed_bars
 from candela.sources.tables import bars_from_orders, load_bars, load_table, write_bars
 
-__all__ = ["bars_from_orders", "load_bars", "load_table", "read_bars_csv", "write_bars"]
+__all__ = ["bars_from_orders", "load_bars", "load_table", "read_bars_csv", "typed_bars", "write_bars"]

@@ -10,27 +10,30 @@ from pyspark.sql import functions as F
 from candela.schema import BARS_COLUMNS, CSV_SCHEMA
 
 
+def typed_bars(raw: DataFrame) -> DataFrame:
+    """``bars`` from ``symbol`` and the columns of a price file, whose ``Date`` and ``Volume`` are texts.
+
+    ``Date`` keeps the local day of texts like ``2019-08-18 00:00:00-04:00`` (the offset is ignored); texts
+    that are not dates become null instead of failing the job. ``Volume`` is a count: ``123`` and ``123.0``
+    are read exactly, and a text with a fraction or without a number becomes null (``missing_counts`` tells).
+    """
+    exact = F.col("Volume").try_cast("decimal(38,9)")
+    whole = F.when(exact == F.floor(exact), exact).try_cast("bigint")
+    volume = F.coalesce(F.col("Volume").try_cast("bigint"), whole).alias("Volume")
+    day = F.col("Date").try_cast("date").alias("Date")
+    return raw.select("symbol", day, "Open", "High", "Low", "Close", volume, "Dividends", "Stock Splits").select(*BARS_COLUMNS)
+
+
 def read_bars_csv(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     """Read one or many price CSV files (paths, directories or globs) in a single scan.
 
-    Each file holds one symbol; the symbol is the file name without ``.csv`` and the suffix of its compression. ``Date`` keeps the local
-    day of texts like ``2019-08-18 00:00:00-04:00`` (the offset is ignored); texts that are not dates
-    become null instead of failing the job. ``Volume`` is read as a whole number.
+    Each file holds one symbol; the symbol is the file name without ``.csv`` and the suffix of its
+    compression. A file whose name leaves no symbol fails the job. Columns are read as ``typed_bars`` says.
     """
     path_list = [paths] if isinstance(paths, str) else list(paths)
     raw = spark.read.csv(path_list, header=True, schema=CSV_SCHEMA, mode="PERMISSIVE")
-    volume = F.col("Volume")
     # The metadata column has the name percent-encoded; a plus sign in it is a plus sign.
     name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
-    out = raw.select(
-        F.regexp_extract(name, r"([^/]+)\.[cC][sS][vV](\.[A-Za-z0-9]+)?$", 1).alias("symbol"),
-        F.col("Date").try_cast("date").alias("Date"),
-        "Open",
-        "High",
-        "Low",
-        "Close",
-        F.coalesce(volume.try_cast("bigint"), volume.try_cast("double").try_cast("bigint")).alias("Volume"),
-        "Dividends",
-        "Stock Splits",
-    )
-    return out.select(*BARS_COLUMNS)
+    found = F.regexp_extract(name, r"([^/]+)\.[cC][sS][vV](\.[A-Za-z0-9]+)?$", 1)
+    symbol = F.when(found != "", found).otherwise(F.raise_error(F.concat(F.lit("no symbol in the file name "), name)))
+    return typed_bars(raw.withColumn("symbol", symbol))

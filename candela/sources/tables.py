@@ -12,7 +12,7 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def bars_from_orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+def bars_from_orders(orders: DataFrame, lineitem: DataFrame, on=None, until=None) -> DataFrame:
     """Daily price bars derived from orders: one symbol per order priority, one bar per order day.
 
     Open / Close are the total price of the day's lowest / highest order key, High / Low the extreme
@@ -20,8 +20,12 @@ def bars_from_orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
     Plan: line items are pre-aggregated per order (partial aggregation before the shuffle, one row per
     order after it), joined to orders on the order key, and aggregated per (priority, day) with partial
-    aggregation, so the last shuffle carries at most one row per (priority, day, map task).
+    aggregation, so the last shuffle carries at most one row per (priority, day, map task). With a range of
+    days (``on`` to ``until``, both inclusive) only its orders are read, and only their line items are aggregated.
     """
+    if on is not None and until is not None:
+        orders = orders.where(F.col("o_orderdate").cast("date").between(F.to_date(F.lit(on)), F.to_date(F.lit(until))))
+        lineitem = lineitem.join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
     per_order = lineitem.groupBy(F.col("l_orderkey").alias("k")).agg(
         F.sum(F.col("l_quantity").cast("bigint")).alias("v"),
         F.max("l_discount").alias("dv"),
@@ -43,9 +47,9 @@ def bars_from_orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     return bars.select(*BARS_COLUMNS)
 
 
-def load_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``bars`` computed from the ``orders`` and ``lineitem`` tables of a data directory."""
-    return bars_from_orders(load_table(spark, sf_dir, "orders"), load_table(spark, sf_dir, "lineitem"))
+def load_bars(spark: SparkSession, sf_dir: str, on=None, until=None) -> DataFrame:
+    """``bars`` computed from the ``orders`` and ``lineitem`` tables of a data directory, of a range of days if given."""
+    return bars_from_orders(load_table(spark, sf_dir, "orders"), load_table(spark, sf_dir, "lineitem"), on, until)
 
 
 def write_bars(bars: DataFrame, path: str, mode: str = "errorifexists") -> None:

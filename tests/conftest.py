@@ -53,7 +53,7 @@ def spark(scratch):
     session.sparkContext.setLogLevel("ERROR")
     from candela.session import checkpoint_dir
 
-    checkpoint_dir(session, fallback=os.path.join(scratch, "checkpoints"))
+    checkpoint_dir(session, fallback=os.environ.get("CHECKPOINT_DIR") or os.path.join(scratch, "checkpoints"))
     yield session
 
 
