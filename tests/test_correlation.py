@@ -5,7 +5,7 @@ from tests.conftest import make_bars
 
 
 def test_column_correlation_golden(sample):
-    assert ops.column_correlation(sample, "Open", "Close").first().correlation == pytest.approx(0.146718, abs=1e-6)
+    assert ops.column_correlation(sample, "Open", "Close").first().correlation == pytest.approx(0.672683, abs=1e-6)
 
 
 def test_nulls_count_as_zero_or_are_dropped(spark):

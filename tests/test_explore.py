@@ -12,7 +12,7 @@ D = dt.date
 def test_counts_and_span_golden(sample):
     assert ops.num_observations(sample).first().num_observations == 17
     r = ops.date_span(sample).first()
-    assert (r.first_date, r.last_date, r.span_days) == (D(2019, 8, 18), D(2024, 5, 31), 1748)
+    assert (r.first_date, r.last_date, r.span_days) == (D(2018, 7, 9), D(2023, 6, 16), 1803)
 
 
 def test_head_and_tail_overlap_on_short_series(spark):
@@ -37,11 +37,11 @@ def test_most_common_day_first_seen_wins_ties(spark):
 
 def test_descriptive_stats_golden(sample):
     r = ops.descriptive_stats(sample).first().asDict()
-    assert r["min_Date"] == D(2019, 8, 18) and r["max_Date"] == D(2024, 5, 31)
-    assert r["max_Open"] == pytest.approx(78.08260008900857)
+    assert r["min_Date"] == D(2018, 7, 9) and r["max_Date"] == D(2023, 6, 16)
+    assert r["max_Open"] == pytest.approx(61.0917)
     assert r["stddev_Stock Splits"] == 0.0
     assert "stddev_Date" not in r
-    assert r["min_Volume"] == 12542916
+    assert r["min_Volume"] == 11875320
 
 
 def test_missing_counts_null_and_nan(spark):
@@ -71,9 +71,9 @@ def test_month_labels(spark):
 
 def test_intraday_and_latest_average(spark, sample):
     iv = {r.Date: r.Stock_Variation for r in ops.intraday_variation(sample).collect()}
-    assert iv[D(2020, 2, 24)] == pytest.approx(49.576)
-    assert ops.max_daily_return(sample).first().Maximum_profit == pytest.approx(53.868)
+    assert iv[D(2019, 3, 18)] == pytest.approx(29.976)
+    assert ops.max_daily_return(sample).first().Maximum_profit == pytest.approx(29.976)
     latest = ops.latest_average(sample, "Open", 3).collect()
-    assert sorted(r.Date for r in latest) == [D(2024, 5, 29), D(2024, 5, 30), D(2024, 5, 31)]
-    assert {r.Moving_Average for r in latest} == {round((31.08260008900857 + 45.08260008900857 + 78.08260008900857) / 3, 3)}
+    assert sorted(r.Date for r in latest) == [D(2023, 6, 14), D(2023, 6, 15), D(2023, 6, 16)]
+    assert {r.Moving_Average for r in latest} == {round((55.6642 + 61.0917 + 52.4436) / 3, 3)}
     assert not math.isnan(latest[0].Moving_Average)

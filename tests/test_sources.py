@@ -18,12 +18,12 @@ def test_csv_scan_golden(sample):
     rows = sample.orderBy("Date").collect()
     assert len(rows) == 17
     assert {r.symbol for r in rows} == {"test"}
-    assert rows[0].Date == dt.date(2019, 8, 18) and rows[-1].Date == dt.date(2024, 5, 31)
+    assert rows[0].Date == dt.date(2018, 7, 9) and rows[-1].Date == dt.date(2023, 6, 16)
     # the -05:00 offset does not move the day
-    assert rows[3].Date == dt.date(2020, 1, 20)
-    # volume is exact (a float32 read would give 36378808)
-    assert rows[12].Volume == 36378810
-    assert rows[0].Open == pytest.approx(29.5745992726838, abs=1e-12)
+    assert rows[3].Date == dt.date(2019, 2, 11)
+    # volume is exact (a float32 read would give 41250036)
+    assert rows[12].Volume == 41250037
+    assert rows[0].Open == pytest.approx(41.2512, abs=1e-12)
 
 
 def test_multi_file_scan_names_symbols(spark, scratch):
@@ -81,7 +81,34 @@ def test_csv_nulls_nan_and_bad_dates(spark, scratch):
     miss = ops.missing_counts(bars).first()
     assert (miss.missing_Date, miss.missing_Open, miss.missing_Close, miss.missing_Volume) == (1, 1, 1, 1)
     assert ops.num_observations(bars).first().num_observations == 4
-    # period operators skip the row whose date did not parse; null / NaN returns become 0
+    # null / NaN returns become 0; the row whose date did not parse stays
     daily = {r.Date: r.Daily_Return for r in ops.period_return(bars, "d").collect()}
-    assert daily == {dt.date(2020, 1, 1): 0.0, dt.date(2020, 1, 2): 0.0, dt.date(2020, 1, 3): 50.0}
-    assert ops.stock_variation(bars, "d").count() == 3
+    assert daily == {dt.date(2020, 1, 1): 0.0, dt.date(2020, 1, 2): 0.0, dt.date(2020, 1, 3): 50.0, None: 50.0}
+    assert ops.stock_variation(bars, "d").count() == 4
+
+
+def test_names_and_volumes_of_price_files(spark, scratch):
+    import gzip
+
+    folder = os.path.join(scratch, "names")
+    os.makedirs(folder, exist_ok=True)
+    text = "Date,Open,High,Low,Close,Volume,Dividends,Stock Splits\n" + "".join(
+        f"2020-01-0{i},1,2,1,1.5,{v},0,0\n" for i, v in enumerate(["12.9", "13.0", "9007199254740993", "many"], 1)
+    )
+    with open(os.path.join(folder, "BRK B+C.csv"), "w") as f:
+        f.write(text)
+    with gzip.open(os.path.join(folder, "ZIP.csv.gz"), "wt") as f:
+        f.write(text)
+    rows = read_bars_csv(spark, folder).orderBy("symbol", "Date").collect()
+    assert [r.symbol for r in rows] == ["BRK B+C"] * 4 + ["ZIP"] * 4
+    assert [r.Volume for r in rows[:4]] == [None, 13, 9007199254740993, None]
+    with open(os.path.join(folder, "prices.txt"), "w") as f:
+        f.write(text)
+    with pytest.raises(Exception, match="no symbol in the file name"):
+        read_bars_csv(spark, os.path.join(folder, "prices.txt")).collect()
+
+
+def test_bars_of_a_range_are_the_bars_in_the_range(spark):
+    whole = load_bars(spark, SF).where("Date between '1996-01-01' and '1998-12-31'")
+    part = load_bars(spark, SF, "1996-01-01", "1998-12-31")
+    assert sorted(map(tuple, part.collect())) == sorted(map(tuple, whole.collect()))
