@@ -34,7 +34,7 @@ from candela.llm.components import components
 WORDS, PERCENT = 5, 75
 #: Shingles that one task holds at a time while frequencies are counted, and before they are dealt out, about.
 #: A set costs nine bytes in every range that it meets, so wide ranges keep the exchanges near the shingles' own size.
-TOKENS_PER_RANGE, TOKENS_PER_FLUSH = 2_000_000, 2_000_000
+TOKENS_PER_RANGE, TOKENS_PER_FLUSH = 4_000_000, 2_000_000
 #: Seeds of the centres that each round draws, before all remaining pairs are taken; only the work depends on it.
 CENTRES = (range(1), range(1, 3), range(3, 5))
 #: Pairs of 16 bytes that are sent to every executor, at most (16 MB).
