@@ -184,15 +184,18 @@ def _shared(table: pa.Table, back: int) -> pa.Table:
     names, first = np.unique(keys, return_index=True)  # a set that several tasks met counts once
     use = np.zeros(len(keys), bool)
     use[first] = True
-    owner = np.repeat(np.searchsorted(names, keys), lengths)
+    owner = np.repeat(np.searchsorted(names, keys).astype(np.int32), lengths)
     kept = np.repeat(use, lengths)
     owner, tokens = owner[kept], tokens[kept]
     order = np.argsort(tokens, kind="stable")
     owner, tokens = owner[order], tokens[order]
-    _, at, n = np.unique(tokens, return_index=True, return_counts=True)
+    del kept, order
+    starts = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
+    n = np.diff(np.append(starts, len(tokens))).astype(np.uint32)
     counts = np.repeat(n, n)
     many = counts > 1
-    owner, tokens, counts = owner[many], tokens[many], counts[many].astype(np.uint32)
+    owner, tokens, counts = owner[many], tokens[many], counts[many]
+    del many
     return pa.Table.from_batches([_packs(list(_pack(names[owner] % back, back, owner, names, tokens, counts, table.column("part")[0].as_py())))])
 
 
