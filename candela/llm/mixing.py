@@ -23,10 +23,8 @@ REPEATS = 3
 SEED = 17
 #: Patterns the driver plans for; more of them (a source per document, say) is an error, not a silent cut.
 MAX_PATTERNS = 100_000
-#: Documents that are added to a pattern, at most, to come near its words.
-FILLS = 4
-#: Seeded choice runs over this many ranges of the documents' hashes; only the range at the boundary is ordered by document.
-RANGES = 1 << 16
+#: Bits of the range of a document's hash. The seeded choice adds up ranges; only the range at a boundary is ordered by document.
+RANGE_BITS = 16
 
 
 def n_words(text: Column) -> Column:
@@ -107,6 +105,66 @@ def route(patterns: dict[tuple, int], wanted: dict, repeats: int = REPEATS) -> d
         left[s] -= amount
 
 
+def _choose(units: DataFrame, rests: dict[int, int]) -> tuple[list[tuple], dict[int, tuple]]:
+    """A seeded choice of documents (pattern, doc_id, h, range, size) with about ``rests`` words of each pattern.
+
+    In the order of (h, doc_id) a document is taken if it fits into what is still missing, and passed over
+    otherwise. A round does that for a whole stretch: of the documents behind the last one taken that are no
+    larger than the gap, those up to the first that does not fit. The gap falls below the size of that one, so
+    the rounds are few; they go on until no document fits. Then the document nearest to the gap is added
+    where the pattern comes nearer to its words by it. A round brings one row per pattern to the driver.
+
+    Gives the cuts (pattern, gap, h, doc_id): documents of at most ``gap`` words up to that place are taken;
+    and the document added last, pattern -> (h, doc_id).
+    """
+    spark = units.sparkSession
+    kind = units.schema["doc_id"].dataType.simpleString()
+    gaps, last, cuts = dict(rests), {}, []
+    going = sorted(gaps)
+    upto = F.sum("words").over(Window.partitionBy("pattern").orderBy("range").rowsBetween(Window.unboundedPreceding, 0))
+    inside = F.sum("size").over(Window.partitionBy("pattern").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    end = F.struct("h", "doc_id")
+    while going:
+        state = spark.createDataFrame([(p, gaps[p], *last.get(p, (None, None))) for p in going], f"pattern int, gap long, last_h long, last_id {kind}")
+        left = units.join(F.broadcast(state), "pattern").where(
+            "size > 0 and size <= gap and (last_h is null or h > last_h or (h = last_h and doc_id is not null and (last_id is null or doc_id > last_id)))"
+        )
+        ranges = left.groupBy("pattern", "gap", "range").agg(F.sum("size").alias("words"), F.max(end).alias("end")).withColumn("upto", upto)
+        found = {
+            r["pattern"]: r
+            for r in ranges.groupBy("pattern")
+            .agg(
+                F.max(F.when(F.col("upto") <= F.col("gap"), F.struct("upto", "end"))).alias("fit"),
+                F.min(F.when(F.col("upto") > F.col("gap"), F.struct("range", (F.col("upto") - F.col("words")).alias("done")))).alias("edge"),
+            )
+            .collect()
+        }
+        fit = {p: r["fit"] for p, r in found.items()}
+        edges = [(p, *r["edge"]) for p, r in found.items() if r["edge"]]
+        if edges:
+            edge = F.broadcast(spark.createDataFrame(edges, "pattern int, range long, done long"))
+            at = left.join(edge, ["pattern", "range"]).withColumn("upto", F.col("done") + inside).where("upto <= gap")
+            fit |= {r["pattern"]: r["fit"] for r in at.groupBy("pattern").agg(F.max(F.struct("upto", end.alias("end"))).alias("fit")).collect()}
+        for p, f in fit.items():
+            last[p] = (f["end"]["h"], f["end"]["doc_id"])
+            cuts.append((p, gaps[p], *last[p]))
+            gaps[p] -= f["upto"]
+        going = sorted(p for p, _, _ in edges if gaps[p] > 0)  # without an edge, all that fit are taken
+    fills = {}
+    missing = [(p, g) for p, g in gaps.items() if g > 0]
+    if missing:
+        cut = F.broadcast(spark.createDataFrame(cuts, f"p int, most long, last_h long, last_id {kind}"))
+        taken = (F.col("pattern") == F.col("p")) & F.expr("size <= most and (h < last_h or (h = last_h and (doc_id is null or doc_id <= last_id)))")
+        near = (
+            units.join(F.broadcast(spark.createDataFrame(missing, "pattern int, gap long")), "pattern")
+            .where("size > gap and size < 2 * gap")
+            .join(cut, taken, "left_anti")
+            .groupBy("pattern").agg(F.min(F.struct("size", "h", "doc_id")).alias("fill"))
+        )
+        fills = {r["pattern"]: (r["fill"]["h"], r["fill"]["doc_id"]) for r in near.collect()}
+    return cuts, fills
+
+
 def mix(docs: DataFrame, members: Column | None = None, id_column: str = "doc_id", text_column: str = "text", weights: Sequence[float] = WEIGHTS, share: float = 1.0, repeats: int = REPEATS, seed: int = SEED, max_patterns: int = MAX_PATTERNS) -> DataFrame:
     """One row per document: doc_id, members (its sources), size, copies, taken (``copies * size`` words).
 
@@ -126,7 +184,7 @@ def mix(docs: DataFrame, members: Column | None = None, id_column: str = "doc_id
             F.sort_array(F.array_distinct(F.coalesce(sources, F.array(F.lit(None).cast("string"))))).alias("members"),
             n_words(F.col(text_column)).alias("size"),
             F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_column)), 1).alias("h"),
-        ).withColumn("range", F.shiftright("h", 63 - 16)),
+        ).withColumn("range", F.shiftright("h", 63 - RANGE_BITS)),
         "mix-sizes",
     )
     found = slim.groupBy("members").agg(F.sum("size").alias("words")).limit(max_patterns + 1).collect()
@@ -149,56 +207,20 @@ def mix(docs: DataFrame, members: Column | None = None, id_column: str = "doc_id
     same = slim["members"].eqNullSafe(plan_df["members"])
     rows = slim.join(plan_df, same, "left").drop(plan_df["members"])
 
-    # Hash ranges that lie wholly before the boundary, and the one range that holds it.
-    before = Window.partitionBy("pattern").orderBy("range")
-    ranges = (
-        rows.groupBy("pattern", "range", "rest")
-        .agg(F.sum("size").alias("words"))
-        .withColumn("upto", F.sum("words").over(before.rowsBetween(Window.unboundedPreceding, 0)))
-    )
-    edge = ranges.groupBy("pattern", "rest").agg(
-        F.min(F.when(F.col("upto") > F.col("rest"), F.struct("range", (F.col("upto") - F.col("words")).alias("done")))).alias("at")
-    )
-    edge = stored(edge.select("pattern", F.coalesce("at.range", F.lit(RANGES)).alias("edge"), F.coalesce("at.done", F.lit(0)).alias("done"), F.col("at").isNull().alias("all")), "mix-edge")
-    rows = rows.join(F.broadcast(edge), "pattern", "left")  # one row per pattern
-    inside = (
-        rows.where("range = edge")
-        .groupBy("pattern", "doc_id", "h", "done", "rest").agg(F.sum("size").alias("words"))
-        .withColumn("upto", F.col("done") + F.sum("words").over(Window.partitionBy("pattern").orderBy("h", "doc_id")))
-    )
-    # The boundary in the order of (h, doc_id): the last document that still fits.
-    last = inside.where("upto <= rest").groupBy("pattern").agg(F.max(F.struct("upto", "h", "doc_id")).alias("last"))
-    last = stored(last.select("pattern", F.col("last.upto").alias("upto"), F.col("last.h").alias("last_h"), F.col("last.doc_id").alias("last_id")), "mix-last")
-    rows = rows.join(F.broadcast(last), "pattern", "left")
-    chosen = F.expr("rest > 0 and (range < edge or (range = edge and last_h is not null and (h < last_h or (h = last_h and (doc_id is null or doc_id <= last_id)))))")
-    rows = rows.withColumn("chosen", F.coalesce(chosen, F.lit(False))).withColumn("gap", F.expr("rest - coalesce(upto, done, 0L)"))
-    # A few more documents bring the pattern nearer to its words: each time the one, not yet taken, whose size is nearest to what is missing.
-    gaps = {r["pattern"]: r["gap"] for r in rows.where("rest > 0").groupBy("pattern").agg(F.max("gap").alias("gap")).collect()}
-    filled: list[tuple] = []
-    as_filled = "pattern int, fill_h long, fill_id long"
-    for _ in range(FILLS):
-        open_gaps = [(p, g) for p, g in gaps.items() if g > 0]
-        if not open_gaps:
-            break
-        taken = F.broadcast(spark.createDataFrame(filled, as_filled)).withColumnRenamed("pattern", "p")
-        own = (F.col("pattern") == F.col("p")) & (F.col("h") == F.col("fill_h")) & F.col("doc_id").eqNullSafe(F.col("fill_id"))
-        nearest = (
-            rows.drop("gap").where("not chosen and size > 0")
-            .join(F.broadcast(spark.createDataFrame(open_gaps, "pattern int, gap long")), "pattern")
-            .where("abs(size - gap) < gap")
-            .join(taken, own, "left_anti")
-            .groupBy("pattern")
-            .agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "h", "doc_id", "size")).alias("fill"))
-            .collect()  # a row per pattern at most
-        )
-        for r in nearest:
-            filled.append((r["pattern"], r["fill"]["h"], r["fill"]["doc_id"]))
-            gaps[r["pattern"]] -= r["fill"]["size"]
-        if not nearest:
-            break
-    fill = F.broadcast(spark.createDataFrame(filled, as_filled).withColumnRenamed("pattern", "p"))
-    rows = rows.join(fill, (F.col("pattern") == F.col("p")) & (F.col("h") == F.col("fill_h")) & F.col("doc_id").eqNullSafe(F.col("fill_id")), "left")
-    extra = (F.col("chosen") | F.col("p").isNotNull()).cast("long")
+    units = stored(rows.where("rest > 0").groupBy("pattern", "doc_id", "h", "range").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")), "mix-units")
+    cuts, fills = _choose(units, {i: rest for i, _, _, rest in plan if rest})
+    id_type = slim.schema["doc_id"].dataType.simpleString()
+    by_pattern: dict[int, list] = {}
+    for p, *cut in cuts:
+        by_pattern.setdefault(p, []).append(tuple(cut))
+    chosen = [(p, by_pattern.get(p, []), fills.get(p)) for p in by_pattern.keys() | fills.keys()]
+    chosen_df = F.broadcast(spark.createDataFrame(chosen, f"pattern int, cuts array<struct<gap: long, h: long, id: {id_type}>>, fill struct<h: long, id: {id_type}>"))  # one row per pattern
+    together = units.where("n > 1").select("pattern", "doc_id", F.col("size").alias("together"))
+    rows = rows.join(chosen_df, "pattern", "left")
+    rows = rows.join(together, (rows["pattern"] == together["pattern"]) & rows["doc_id"].eqNullSafe(together["doc_id"]), "left").drop(together["pattern"], together["doc_id"])
+    upto = "h < c.h or (h = c.h and (doc_id is null or doc_id <= c.id))"
+    taken = F.expr(f"coalesce(exists(cuts, c -> coalesce(coalesce(together, size) <= c.gap and ({upto}), false)), false) or coalesce(h = fill.h and doc_id <=> fill.id, false)")
+    extra = taken.cast("long")
     totals = spark.createDataFrame([(list(p), sum(sizes[s] for s in p), float(sum(target[s] for s in p))) for p in patterns], "members array<string>, source_size long, target double")
     totals = F.broadcast(totals)
     out = rows.withColumn("copies", F.col("whole") + extra)

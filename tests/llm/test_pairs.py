@@ -232,3 +232,13 @@ def test_mix_of_overlapping_sources(spark):
         taken[tuple(r["members"])] += r["taken"]
         assert r["copies"] <= 1
     assert sum(taken.values()) == pytest.approx(400, abs=4) and taken[("a", "b")] + taken[("b",)] >= 200
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
+def test_mix_with_a_document_larger_than_half_its_source(spark, seed):
+    """The long document does not fit; the short ones behind it, in hash order, still fill the quota."""
+    rng = random.Random(5)
+    rows = [(i, "w " * rng.randint(100, 700), "en", "a") for i in range(500)] + [(500, "w " * 400_000, "en", "a")]
+    total = sum(len(t) // 2 for _, t, _, _ in rows)
+    got = mixing.mix(make_docs(spark, rows), share=180_000 / total, seed=seed).collect()
+    assert sum(r["taken"] for r in got) == pytest.approx(180_000, rel=0.01)
