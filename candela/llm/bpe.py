@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -128,6 +129,8 @@ class Encoder:
         if not drops_space(path):
             raise ValueError(f"{path}: its tokens may hold white space, so texts cannot be encoded word by word")
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+        by_order = "|".join(re.escape(t) for t in sorted(self.special))  # of those that start at one place, the least
+        self.special_pattern = re.compile(f"({by_order})") if by_order else None
         self.automaton = ahocorasick.Automaton()
         self.by_text: dict[str, int] = {}
         for i in self.merges.whole():
@@ -202,12 +205,15 @@ class Encoder:
 
     def _fresh(self, word: str) -> bytes:
         """Ids of any string: special strings first, then normaliser, pre-tokeniser and merges."""
-        cut = min(((word.find(s), s) for s in self.special if s in word), default=None)
-        if cut is not None:
-            at, s = cut
-            return self._fresh(word[:at]) + np.array([self.special[s]], "<u4").tobytes() + self._fresh(word[at + len(s) :])
-        normal = self.tokenizer.normalizer.normalize_str(word) if self.tokenizer.normalizer else word
-        return b"".join(self._packed(p) for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal))
+        parts = self.special_pattern.split(word) if self.special_pattern else [word]
+        out = []
+        for k, part in enumerate(parts):  # every second part is a special string
+            if k % 2:
+                out.append(np.array([self.special[part]], "<u4").tobytes())
+            elif part:
+                normal = self.tokenizer.normalizer.normalize_str(part) if self.tokenizer.normalizer else part
+                out.extend(self._packed(p) for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal))
+        return b"".join(out)
 
     def _learn(self, words: list[str]) -> None:
         """A word of Latin letters, with a full stop, comma or the like behind it or not, is normalised and cut

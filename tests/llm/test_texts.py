@@ -81,6 +81,11 @@ def test_bpe_digest(odd, empty):
     assert rows[305]["ids"] == ids_of(odd_rows()[[r[0] for r in odd_rows()].index(305)][1]) and rows[300]["ids"] == [] and rows[300]["decoded"] == ""
 
 
+def test_many_special_strings_in_one_run():
+    text = "x" + "<|endoftext|>" * 3000 + "Naïve<|startoftext|>12½ <|endoftext|><|endoftext|>a"
+    assert bpe.encoder(tokenizer_path()).encode(text).tolist() == ids_of(text)
+
+
 def test_token_files(spark, odd, empty, tmp_path):
     rows = odd.where("doc_id is not null and doc_id != 500")
     texts = {i: t for i, t, _, _ in odd_rows() if i is not None and i != 500}
