@@ -27,6 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from candela.llm.common import raw_texts, release, ship, slices, stored
 from candela.llm.components import components
@@ -70,18 +71,23 @@ def _key(tokens: np.ndarray) -> int:
 
 
 def sets_of(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, n (size of its set), key (name of the set; null for an empty one)."""
+    """The columns of ``docs`` but its text, n (size of its set), key (name of the set; null for an empty one)."""
+    own = [f for f in docs.schema.fields if f.name != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, stop in slices(batch):
                 found = shingle_sets(raw_texts(batch, start, stop), words)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(start, stop - start), pa.array([len(t) for t in found], pa.int64()), pa.array([_key(t) if len(t) else None for t in found], pa.int64())],
-                    names=["doc_id", "n", "key"],
+                    [
+                        *(batch.column(f.name).slice(start, stop - start) for f in own),
+                        pa.array([len(t) for t in found], pa.int64()),
+                        pa.array([_key(t) if len(t) else None for t in found], pa.int64()),
+                    ],
+                    names=[*(f.name for f in own), "n", "key"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, key long")
+    return docs.mapInArrow(run, ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in own), "n long", "key long"]))
 
 
 #: Of a shingle's 64 bits the exchanges carry 48; its range, that is its leading bits, stands for the rest.
@@ -344,6 +350,21 @@ def component_map(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     return placed if found.isEmpty() else _merged(placed, found)
 
 
+def _marked(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The columns of ``docs`` (doc_id, text and others) but its text, with n, key, root (least key of the component) and
+    component (least id of the component). Rows without words have neither key, root nor component."""
+    ship(docs.sparkSession)
+    classes = stored(sets_of(docs, words), "join-classes")
+    sets = candidates_sets(docs.select("doc_id", "text"), classes, words, percent)
+    release(docs.sparkSession)
+    comps = component_map(sets, percent).select("key", "comp")
+    least = classes.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("least"))
+    rooted = stored(least.join(comps, "key", "left").select("key", F.coalesce("comp", "key").alias("root"), "least"), "join-rooted")
+    lowest = rooted.groupBy("root").agg(F.min("least").alias("component"))
+    names = stored(rooted.join(lowest, "root").select("key", "root", "component"), "join-names")
+    return classes.join(names, "key", "left")
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (smallest id reachable by links, itself included), class (name of the shingle set).
 
@@ -351,17 +372,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     Rows with a null id take part; a component of such rows alone has a null component_id. Repeated rows
     are rows of their own in one component. Extra columns are not read; an empty table gives an empty result.
     """
-    ship(docs.sparkSession)
     docs = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    classes = stored(sets_of(docs, words), "join-classes")
-    sets = candidates_sets(docs, classes, words, percent)
-    release(docs.sparkSession)
-    comps = component_map(sets, percent).select("key", "comp")
-    least = classes.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("least"))
-    rooted = stored(least.join(comps, "key", "left").select("key", F.coalesce("comp", "key").alias("root"), "least"), "join-rooted")
-    lowest = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    names = stored(rooted.join(lowest, "root").select("key", "component"), "join-names")
-    return classes.join(names, "key", "left").select(
+    return _marked(docs, words, percent).select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
@@ -369,15 +381,18 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     )
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that stay, with their own columns: of each component the row with the smallest id.
-    Rows without words stay; so do rows without an id. Of repeated rows with one id, those with the smallest text stay, once."""
-    from pyspark.sql.window import Window
-
+def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` that stay, with their own columns: of each component the row with the smallest id,
+    and of several rows with that id the one with the smallest text, once. Rows that share an id but not their
+    component are told apart by their text. Of a component's rows without an id one stays, beside the one with
+    an id. Rows without words all stay."""
     columns = docs.columns
-    marked = near_duplicates(docs, **options)
-    stay = marked.where("doc_id <=> component_id or doc_id is null").select(F.col("doc_id").alias("__id")).distinct()
-    own = docs.withColumn("__id", F.col("doc_id"))
-    left = own.join(stay, own["__id"].eqNullSafe(stay["__id"]), "left_semi")
-    numbered = left.withColumn("__n", F.row_number().over(Window.partitionBy("__id").orderBy(F.coalesce("text", F.lit("")))))
-    return numbered.where("__n = 1 or __id is null").select(*columns)
+    text = F.coalesce("text", F.lit(""))
+    own = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__sha", F.sha2(text.cast("binary"), 256))
+    marked = _marked(own.select(F.col("__id").alias("doc_id"), "text", F.col("__sha").alias("sha")), words, percent)
+    first = marked.where("key is not null and (doc_id is null or doc_id = component)").select("doc_id", "sha", "root").distinct()
+    first = first.select(F.col("doc_id").alias("__i"), F.col("sha").alias("__s"), F.col("root").alias("__root"))
+    left = own.join(first, own["__id"].eqNullSafe(first["__i"]) & (own["__sha"] == first["__s"]))
+    one = Window.partitionBy("__root", "__id").orderBy(text)
+    blank = docs.where(~text.rlike(r"[^\x20\x09-\x0D]"))
+    return left.withColumn("__n", F.row_number().over(one)).where("__n = 1").select(*columns).unionByName(blank)

@@ -123,6 +123,18 @@ def test_keep_one_of_each_component(odd):
     assert ids[300] == ids[301] == ids[302] == 1 and ids[303] == 1 and ids[304] == 0 and ids[None] == 2
 
 
+def test_keep_one_tells_rows_with_one_id_apart(spark):
+    prose = lambda c: " ".join(f"{c}{k}" for k in range(40))
+    rows = [(7, prose("p")), (7, prose("q"))]  # one id, not linked
+    rows += [(3, prose("a")), (8, prose("a") + " more"), (8, prose("z"))]  # the near copy has the smaller text
+    rows += [(9, prose("m") + " x"), (9, prose("m")), (9, prose("m")), (10, prose("m") + " y")]
+    rows += [(None, prose("n") + " x"), (None, prose("n")), (None, prose("o"))]
+    rows += [(11, ""), (11, None), (11, prose("r")), (None, " \n"), (None, None)]
+    got = jaccard_join.keep_one(make_docs(spark, [(i, t, "en", "s") for i, t in rows]).repartition(4)).select("doc_id", "text").collect()
+    want = [(7, prose("p")), (7, prose("q")), (3, prose("a")), (8, prose("z")), (9, prose("m")), (None, prose("n")), (None, prose("o"))]
+    assert Counter(map(tuple, got)) == Counter(want + rows[-5:])
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(30)] + [(100, k) for k in range(101, 140)] + [(7, 7)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
