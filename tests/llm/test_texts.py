@@ -212,7 +212,7 @@ def test_pipeline_and_queries(spark):
 
     queries = entry.queries()
     assert [n for n in queries if n.startswith("op")] == sorted((n for n in queries if n.startswith("op")), key=lambda n: int(n[2:].split("_")[0]))
-    assert "pipeline" in queries and len([n for n in queries if n.startswith("op")]) == 10
+    assert "pipeline" in queries and len([n for n in queries if n.startswith("op")]) == 13
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     before = {r["doc_id"]: r["text"] for r in docs.collect()}
     for name, stage in corpus_pipeline.STAGES[:-1]:
