@@ -28,24 +28,20 @@ SYMBOL_1, SYMBOL_2 = "1-URGENT", "2-HIGH"
 DIGITS = 6
 
 
-def round_exact(x, digits: int = DIGITS):
-    """Round half away from zero to ``digits`` decimals in exact decimal arithmetic, after absorbing
-    floating-point noise at 9 decimals: two engines that sum in different orders then agree, also on
+def round_exact(name: str, digits: int = DIGITS) -> str:
+    """SQL that rounds column ``name`` half away from zero to ``digits`` decimals in exact decimal arithmetic, after
+    absorbing floating-point noise at 9 decimals: two engines that sum in different orders then agree, also on
     exact ties such as an average of 2-decimal prices over 32 rows. NaN, infinities
     and values beyond the exact range pass through."""
-    special = F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
-    return F.when(special, x).otherwise(F.coalesce(F.round(x.try_cast("decimal(38,9)"), digits).cast("double"), x))
+    rounded = f"cast(round(try_cast({name} as decimal(38,9)), {digits}) as double)"
+    return f"if(isnan({name}) or abs({name}) = double('infinity'), {name}, coalesce({rounded}, {name}))"
 
 
 def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Round every double column to ``digits`` decimals (presentation for the cross-engine check)."""
-    cols = [
-        round_exact(F.col(f"`{f.name}`"), digits).alias(f.name)
-        if isinstance(f.dataType, T.DoubleType)
-        else F.col(f"`{f.name}`")
-        for f in df.schema.fields
-    ]
-    return df.select(*cols)
+    names = {f.name: f"`{f.name}`" for f in df.schema.fields}
+    doubles = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)}
+    return df.selectExpr(*[f"{round_exact(q, digits)} as {q}" if n in doubles else q for n, q in names.items()])
 
 
 Loader = Callable[..., DataFrame]

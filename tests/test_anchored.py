@@ -214,3 +214,47 @@ def test_rows_without_a_date_stay(spark):
     assert ops.head_and_tail(bars, 1).count() == 2 and ops.head_and_tail(bars, 2).count() == 4
     assert {(r.year, r.Average_Price) for r in ops.avg_price_period(bars, "y").collect()} == {(0, 2.0), (2020, 2.5)}
     assert {(r.year_nb, r.Yearly_Return) for r in ops.avg_return(bars, "y").collect()} == {(0, 50.0), (2020, 25.0)}
+
+
+def _long_series(spark, days, copies=1):
+    """One symbol with ``copies`` equal rows on each of ``days`` successive days."""
+    rows = spark.range(0, days * copies, 1, 8).selectExpr("cast(id div %d as int) as d" % copies)
+    return rows.selectExpr(
+        "'S' as symbol", "date_add(date'0001-01-01', d) as Date", "double(d) as Open", "double(d + 1) as Close", "bigint(d) as Volume"
+    )
+
+
+def test_one_symbol_of_a_million_rows(spark):
+    bars = _long_series(spark, 250_001, 4)  # 684 years
+    got = ops.anchored_volume_variation(bars, "w").groupBy("Variation_Volume").count().collect()
+    assert {r.Variation_Volume: r["count"] for r in got} == {7: 35_714, 2: 1}
+    rates = ops.anchored_return_rate(bars, "y").selectExpr("count(*) n", "min(Period) first", "max(`Return_Rate_(%)`) top").first()
+    assert (rates.n, rates.first, rates.top) == (250_000 // 365, "0001-01-01 to 0002-01-01", pytest.approx((731 - 365) / 365 * 100))
+
+
+def test_rows_of_one_day_are_summed_up_before_a_symbol_meets(spark):
+    bars = _long_series(spark, 40, 5000)
+    got = sorted((r.Period, r["Average_Open_Price($)"]) for r in ops.anchored_avg_price(bars, "m", digits=None).collect())
+    # the one segment: all rows of days 0 to 29
+    assert got == [(dt.date(1, 1, 31), pytest.approx(14.5))]
+    plan = ops.anchored_avg_price(bars, "m")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("collect_list") == 2  # partial and final, of days that were summed up
+    assert plan.index("collect_list") < plan.rindex("partial_min(struct(Open")  # printed from the top: after the sums
+
+
+def test_path_equals_a_walk_over_the_days(spark):
+    rng = random.Random(12)
+    for n in (1, 2, 7, 30):
+        rows, want = [], {}
+        for s in range(8):
+            days = sorted(rng.sample(range(5000), rng.randint(1, 400)))
+            path = [days[0]]
+            for d in days:
+                if d - path[-1] >= n:
+                    path.append(d)
+            want[f"S{s}"] = path
+            rows += [(f"S{s}", (dt.date(2000, 1, 1) + dt.timedelta(days=d)).isoformat(), 1.0, 2.0) for d in days]
+        marked = ops.mark_anchors(make_bars(spark, rows), n).collect()
+        got = {s: sorted((r.Date - dt.date(2000, 1, 1)).days for r in marked if r.symbol == s and r.k >= 0) for s in want}
+        assert got == want and len(marked) == len(rows)
+        assert all(r.n_anchors == len(want[r.symbol]) for r in marked) and sum(r.is_last for r in marked) == len(want)
