@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candela.functions.columns import calendar_keys, pct, position_return_rate
+from candela.operators.positions import with_neighbours
 from candela.schema import check_calendar_period, period_title
 
 def by_date() -> Window:
@@ -79,14 +80,14 @@ def stock_variation(bars: DataFrame, period: str = "d", iso_year: bool = False)
     """Change of the Open price against the previous day ('d') or previous period's representative bar.
 
     Output ``symbol, Date, Variation_Open_Price``; the first row of each symbol gets 0.
-    'w' is an extension (same rule on weekly representative bars). Rows without a date come first.
+    'w' is an extension (same rule on weekly representative bars). Rows without a date come first; with 'd',
+    rows of one date are in the order of their Open, and a symbol is worked on in blocks of rows.
     """
     check_calendar_period(period)
-    rows = (
-        bars.select("symbol", "Date", "Open")
-        if period == "d"
-        else last_bar(bars, period, ("Open",), iso_year=iso_year)
-    )
+    if period == "d":
+        change = lambda w: {"Variation_Open_Price": F.col("Open") - F.lag("Open").over(w)}
+        return with_neighbours(bars.select("symbol", "Date", "Open"), change, behind=1).drop("Open").fillna(0)
+    rows = last_bar(bars, period, ("Open",), iso_year=iso_year)
     variation = (F.col("Open") - F.lag("Open").over(by_date())).alias("Variation_Open_Price")
     return rows.select("symbol", "Date", variation).fillna(0)
 
@@ -139,11 +140,11 @@ def avg_return(bars: DataFrame, period: str, iso_year: bool = False) -> DataFram
 def moving_average(bars: DataFrame, field: str = "Open", n: int = 5) -> DataFrame:
     """Every column plus ``Moving_Average``: mean of ``field`` over the current row and the ``n - 1``
     following rows of the symbol (a forward frame, shorter at the end). Nulls become 0; rows without
-    a date come first."""
+    a date come first, rows of one date in the order of their values. Symbols are worked on in blocks of rows."""
     if n < 1:
         raise ValueError("n must be >= 1")
-    frame = by_date().rowsBetween(0, n - 1)
-    return bars.withColumn("Moving_Average", F.avg(field).over(frame)).fillna(0)
+    mean = lambda w: {"Moving_Average": F.avg(field).over(w.rowsBetween(0, n - 1))}
+    return with_neighbours(bars, mean, ahead=n - 1).fillna(0)
 
 
 # A11

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candela.functions.columns import pearson
-from candela.operators.calendar import by_date, dated
+from candela.operators.calendar import dated
+from candela.operators.positions import numbered
 
 
 def _nulls(c: Column, nulls: str) -> Column:
@@ -31,12 +32,12 @@ def column_correlation(bars: DataFrame, col1: str, col2: str, nulls: str = "zero
 
 
 def _indexed(bars: DataFrame, on: str, **columns: str) -> DataFrame:
-    """``(symbol, key, values)`` with key = position in date order (``on="index"``) or the date; the
-    values are named by the keyword arguments."""
+    """``(symbol, key, values)`` with key = position in order of the date and then of the values
+    (``on="index"``) or the date; the values are named by the keyword arguments."""
     if on not in ("index", "date"):
         raise ValueError("on must be 'index' or 'date'")
-    key = F.row_number().over(by_date()) if on == "index" else F.col("Date")
-    return dated(bars).select("symbol", key.alias("key"), *[F.col(c).cast("double").alias(name) for name, c in columns.items()])
+    rows = dated(bars).select("symbol", "Date", *[F.col(c).cast("double").alias(name) for name, c in columns.items()])
+    return numbered(rows, "key").drop("Date") if on == "index" else rows.withColumnRenamed("Date", "key")
 
 
 # A12

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candela.functions.columns import month_label, round_to
+from candela.operators.positions import total_order
 
 
 # N4
@@ -28,10 +29,11 @@ def max_daily_return(bars: DataFrame, digits: int | None = 3) -> DataFrame:
 def latest_average(bars: DataFrame, field: str = "Open", n: int = 5, digits: int | None = 3) -> DataFrame:
     """The latest ``n`` rows of each symbol with ``Moving_Average``: one number per symbol, the mean of
     ``field`` over those rows. The top-n filter is planned as a per-partition group limit before the
-    shuffle, so only ``n`` rows per symbol and map task are exchanged."""
+    shuffle, so only ``n`` rows per symbol and map task are exchanged. Rows of one date are in the order of
+    their values."""
     if n < 1:
         raise ValueError("n must be >= 1")
-    newest_first = Window.partitionBy("symbol").orderBy(F.col("Date").desc())
+    newest_first = Window.partitionBy("symbol").orderBy(*total_order(bars.columns, descending=True))
     latest = (
         bars.where(F.col("Date").isNotNull())
         .withColumn("_rn", F.row_number().over(newest_first))

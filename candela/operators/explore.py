@@ -21,12 +21,17 @@ def _value_columns(df: DataFrame) -> list[T.StructField]:
 # E1
 def head_and_tail(bars: DataFrame, n: int = HEAD_TAIL_ROWS) -> DataFrame:
     """First ``n`` and last ``n`` rows of each symbol by date (UNION ALL: a series shorter than ``2n``
-    shows rows twice). Rows without a date come first. One pass: a row's number and the number of rows of
-    its symbol tell how often it shows."""
-    numbered = bars.withColumn("_rn", F.row_number().over(by_date())).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("symbol")))
-    times = (F.col("_rn") <= n).cast("int") + (F.col("_rn") > F.col("_n") - n).cast("int")
-    shown = numbered.withColumn("_times", times).where("_times > 0")
-    return shown.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*bars.columns)
+    shows rows twice). Rows without a date come first, rows of one date in the order of their values.
+
+    One read: each row stands for either end, and one row number by (symbol, end) runs from both, through sort
+    columns that are null at the other end. Its filter is planned as a group limit before the shuffle, so ``2n``
+    rows of a symbol leave a map task."""
+    ends = bars.withColumn("_end", F.explode(F.array(F.lit("head"), F.lit("tail"))))
+    order = []
+    for c in ["Date", *(c for c in bars.columns if c not in ("symbol", "Date"))]:
+        order += [F.expr(f"if(_end = 'head', `{c}`, null)").asc_nulls_first(), F.expr(f"if(_end = 'tail', `{c}`, null)").desc_nulls_last()]
+    place = F.row_number().over(Window.partitionBy("symbol", "_end").orderBy(*order))
+    return ends.withColumn("_place", place).where(F.col("_place") <= n).select(*[f"`{c}`" for c in bars.columns])
 
 
 # E2

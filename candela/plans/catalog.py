@@ -110,6 +110,7 @@ def spark_queries(load: Loader = load_bars) -> dict[str, Callable[[SparkSession,
     q["run_dispatch"] = _q(lambda b: run(b, "return_rate_period", symbols=[SYMBOL_1, SYMBOL_2], period="y", shares=SHARES))
     q["avg_price_m_newest"] = lambda spark, sf_dir: newest_first(finish(ops.avg_price_period(load(spark, sf_dir), "m", "Open")))
     q["intraday_variation_rounded"] = _q(ops.intraday_variation)
+    q["anchored_avg_price_rounded"] = _q(lambda b: ops.anchored_avg_price(b.withColumn("Open", F.expr("floor(Open)")), "m"))
     gaps = {
         "missing_counts": ops.missing_counts,
         "period_return_d": lambda b: ops.period_return(b, "d"),
@@ -122,6 +123,14 @@ def spark_queries(load: Loader = load_bars) -> dict[str, Callable[[SparkSession,
         "moving_average_5": lambda b: ops.moving_average(b, "Open", WINDOW),
         "column_correlation": lambda b: ops.column_correlation(b, "Open", "High"),
         "correlation_matrix": lambda b: ops.correlation_matrix(b, SYMBOL_1, SYMBOL_2, "Close"),
+        "correlation_pair": lambda b: ops.correlation_between(b, [(SYMBOL_1, SYMBOL_2)], "Open", "Open"),
+        "stock_variation_d": lambda b: ops.stock_variation(b, "d"),
+        "descriptive_stats": ops.descriptive_stats,
+        "head_tail_3": lambda b: ops.head_and_tail(b, 3),
+        "latest_average": lambda b: ops.latest_average(b, "Open", WINDOW, digits=None),
+        "anchored_avg_return_w": lambda b: ops.anchored_avg_return(b, "w", digits=None),
+        "anchored_monthly_variation": lambda b: ops.anchored_monthly_variation(b, digits=None),
+        "anchored_volume_variation_w": lambda b: ops.anchored_volume_variation(b, "w"),
         "anchored_avg_price_m": lambda b: ops.anchored_avg_price(b, "m", "Open", digits=None),
         "anchored_return_rate_m": lambda b: ops.anchored_return_rate(b, "m"),
     }
@@ -137,16 +146,19 @@ def as_text(bars: DataFrame) -> DataFrame:
 
 #: The symbol that ``with_gaps`` gives a constant price, and the day it takes the date from.
 CONSTANT_SYMBOL, LOST_DAY = "5-LOW", "1995-01-31"
+#: Rows that get the date of the day before (if it has a row): days of the month, of two symbols.
+REPEATING, REPEATED = (SYMBOL_1, SYMBOL_2), "day(Date) in (8, 15, 22)"
 
 
 def with_gaps(bars: DataFrame) -> DataFrame:
     """``bars`` with holes: by day of the month an Open is null or 0, a Close NaN or null; one symbol has a
-    constant price, and each symbol one row without a date."""
-    digit, constant = F.dayofmonth("Date") % 10, F.col("symbol") == CONSTANT_SYMBOL
-    opened = F.when(constant, 100.0).when(digit == 3, None).when(digit == 5, 0.0).otherwise(F.col("Open"))
-    closed = F.when(constant, 100.0).when(digit == 7, float("nan")).when(digit == 9, None).otherwise(F.col("Close"))
-    day = F.when(F.col("Date") != F.to_date(F.lit(LOST_DAY)), F.col("Date"))
-    return bars.withColumns({"Open": opened, "Close": closed, "Date": day})
+    constant price, each symbol one row without a date, and two symbols have two or more rows on some dates."""
+    digit = "day(Date) % 10"
+    opened = f"case when symbol = '{CONSTANT_SYMBOL}' then 100 when {digit} = 3 then null when {digit} = 5 then 0 else Open end"
+    closed = f"case when symbol = '{CONSTANT_SYMBOL}' then 100 when {digit} = 7 then double('NaN') when {digit} = 9 then null else Close end"
+    moved = f"if(symbol in {REPEATING} and {REPEATED}, date_add(Date, -1), Date)"
+    day = f"if(Date <> date'{LOST_DAY}', {moved}, null)"
+    return bars.withColumns({"Open": F.expr(opened), "Close": F.expr(closed), "Date": F.expr(day)})
 
 
 # --------------------------------------------------------------------------------------------------
@@ -283,11 +295,18 @@ def _avg_return(period: str) -> str:
 _DAYS = {"w": 7, "m": 30, "y": 365}
 
 
-def _chain(days: int, src: str = "bars") -> list[str]:
-    """Anchor chain: from the first day, repeatedly the first day at least ``days`` after the anchor."""
+def _by_value(columns: str) -> str:
+    """Sort order of the rows of one date."""
+    return ", ".join(f"{c.strip()} NULLS FIRST" for c in columns.split(","))
+
+
+def _chain(days: int, src: str = "bars", columns: str = '"Open", "Close"') -> list[str]:
+    """Anchor chain: from the first day, repeatedly the first day at least ``days`` after the anchor. ``a`` has
+    the first row of each anchor's date in the order of ``columns``."""
     return [
+        f"firsts AS (SELECT * FROM {src} QUALIFY ROW_NUMBER() OVER (PARTITION BY symbol, \"Date\" ORDER BY {_by_value(columns)}) = 1)",
         f'nx AS (SELECT symbol, "Date", MIN("Date") OVER (PARTITION BY symbol ORDER BY "Date" '
-        f"RANGE BETWEEN INTERVAL {days} DAY FOLLOWING AND UNBOUNDED FOLLOWING) AS nxt FROM {src})",
+        f"RANGE BETWEEN INTERVAL {days} DAY FOLLOWING AND UNBOUNDED FOLLOWING) AS nxt FROM firsts)",
         f'chain AS (SELECT symbol, MIN("Date") AS "Date", 0 AS k FROM {src} GROUP BY symbol '
         f'UNION ALL SELECT c.symbol, n.nxt, c.k + 1 FROM chain c JOIN nx n '
         f'ON n.symbol = c.symbol AND n."Date" = c."Date" WHERE n.nxt IS NOT NULL)',
@@ -295,7 +314,7 @@ def _chain(days: int, src: str = "bars") -> list[str]:
         f'LAG(c."Date") OVER (PARTITION BY c.symbol ORDER BY c.k) AS pd, '
         f'LAG(b."Open") OVER (PARTITION BY c.symbol ORDER BY c.k) AS po, '
         f'LAG(b."Volume") OVER (PARTITION BY c.symbol ORDER BY c.k) AS pv '
-        f'FROM chain c JOIN {src} b ON b.symbol = c.symbol AND b."Date" = c."Date")',
+        f'FROM chain c JOIN firsts b ON b.symbol = c.symbol AND b."Date" = c."Date")',
     ]
 
 
@@ -303,10 +322,9 @@ def _segments(days: int, value: str, src: str = "bars") -> list[str]:
     """Per boundary k >= 1, the mean of ``value`` over the rows after anchor k-1 (anchor 0 included)
     and before anchor k."""
     return _chain(days, src) + [
-        f'm AS (SELECT b.symbol, b."Date", {value} AS val, COALESCE(a.k, -1) AS k FROM {src} b '
-        f'LEFT JOIN a ON a.symbol = b.symbol AND a."Date" = b."Date")',
-        f'sg AS (SELECT *, MAX(k) OVER (PARTITION BY symbol ORDER BY "Date" ROWS BETWEEN UNBOUNDED PRECEDING '
-        f"AND CURRENT ROW) AS seg FROM m)",
+        f'v AS (SELECT b.symbol, b."Date", {value} AS val, ROW_NUMBER() OVER (PARTITION BY b.symbol, b."Date" ORDER BY {value} NULLS FIRST) AS rn FROM {src} b)',
+        'm AS (SELECT v.*, CASE WHEN rn = 1 THEN COALESCE(a.k, -1) ELSE -1 END AS k FROM v LEFT JOIN a ON a.symbol = v.symbol AND a."Date" = v."Date")',
+        'sg AS (SELECT *, MAX(k) OVER (PARTITION BY symbol ORDER BY "Date", rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seg FROM m)',
         "savg AS (SELECT symbol, seg, AVG(val) AS av FROM sg WHERE k <= 0 GROUP BY symbol, seg)",
     ]
 
@@ -340,33 +358,41 @@ def _anchored_max_return_rate(period: str) -> str:
     )
 
 
-def _anchored_volume_variation(period: str) -> str:
+def _last_row(columns: str, src: str) -> str:
+    """The last row of each symbol in the order of the date and ``columns``; ``alone`` on its date or not."""
+    order = ", ".join(f"{c.strip()} DESC NULLS LAST" for c in columns.split(","))
+    return (
+        f'lastrow AS (SELECT *, COUNT(*) OVER (PARTITION BY symbol, "Date") = 1 AS alone FROM {src} '
+        f'QUALIFY ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY "Date" DESC, {order}) = 1)'
+    )
+
+
+def _anchored_volume_variation(period: str, src: str = "bars") -> str:
     return _with(
-        *_chain(_DAYS[period]),
-        'lastrow AS (SELECT symbol, MAX("Date") AS ld FROM bars GROUP BY symbol)',
+        *_chain(_DAYS[period], src, '"Volume"'),
+        _last_row('"Volume"', src),
         'lastanchor AS (SELECT symbol, MAX_BY("Volume", k) AS av FROM a GROUP BY symbol)',
     ) + (
         'SELECT symbol, "Date" AS "Period", "Volume" - pv AS "Variation_Volume" FROM a WHERE k >= 1 '
-        'UNION ALL SELECT b.symbol, b."Date", b."Volume" - la.av FROM bars b '
-        'JOIN lastrow l ON l.symbol = b.symbol AND l.ld = b."Date" JOIN lastanchor la ON la.symbol = b.symbol '
-        'WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.symbol = b.symbol AND a."Date" = b."Date" AND a.k >= 1)'
+        'UNION ALL SELECT b.symbol, b."Date", b."Volume" - la.av FROM lastrow b JOIN lastanchor la ON la.symbol = b.symbol '
+        'WHERE NOT (alone AND EXISTS (SELECT 1 FROM a WHERE a.symbol = b.symbol AND a."Date" = b."Date" AND a.k >= 1))'
     )
 
 
-def _anchored_monthly_variation(limit: int | None) -> str:
+def _anchored_monthly_variation(limit: int | None, src: str = "bars", shown=None) -> str:
+    shown = shown or r6
     lim = "TRUE" if limit is None else f"k <= {limit}"
     tail_ok = "TRUE" if limit is None else f"mk < {limit}"
     return _with(
-        *_chain(30),
-        'lastrow AS (SELECT symbol, MAX("Date") AS ld FROM bars GROUP BY symbol)',
-        'lastanchor AS (SELECT symbol, MAX(k) AS mk, MAX_BY("Open", k) AS ao FROM a GROUP BY symbol)',
+        *_chain(30, src),
+        _last_row('"Open", "Close"', src),
+        'lastanchor AS (SELECT symbol, MAX(k) AS mk, ARG_MAX_NULL("Open", k) AS ao FROM a GROUP BY symbol)',
     ) + (
-        f'SELECT a.symbol, a."Date" AS "Period", {r6('a."Close" - a.po')} AS "Stock_Variation_($)" FROM a '
+        f'SELECT a.symbol, a."Date" AS "Period", {shown('a."Close" - a.po')} AS "Stock_Variation_($)" FROM a '
         "JOIN lastrow l ON l.symbol = a.symbol JOIN lastanchor la ON la.symbol = a.symbol "
-        f'WHERE a.k >= 1 AND {lim} AND NOT ({tail_ok} AND a."Date" = l.ld) '
-        f'UNION ALL SELECT b.symbol, b."Date", {r6("b." + CLOSE + " - la.ao")} FROM bars b '
-        'JOIN lastrow l ON l.symbol = b.symbol AND l.ld = b."Date" JOIN lastanchor la ON la.symbol = b.symbol '
-        f"WHERE {tail_ok}"
+        f'WHERE a.k >= 1 AND {lim} AND NOT ({tail_ok} AND l.alone AND a."Date" = l."Date") '
+        f'UNION ALL SELECT b.symbol, b."Date", {shown("b." + CLOSE + " - la.ao")} FROM lastrow b '
+        f"JOIN lastanchor la ON la.symbol = b.symbol WHERE {tail_ok}"
     )
 
 
@@ -403,7 +429,7 @@ GAPS_CTE = (
     BARS_CTE.replace("bars AS (", "whole AS (")
     + f""",
 bars AS (
-  SELECT symbol, CASE WHEN "Date" <> DATE '{LOST_DAY}' THEN "Date" END AS "Date",
+  SELECT symbol, CASE WHEN "Date" <> DATE '{LOST_DAY}' THEN CASE WHEN symbol IN {REPEATING} AND {REPEATED} THEN "Date" - 1 ELSE "Date" END END AS "Date",
          CASE WHEN symbol = '{CONSTANT_SYMBOL}' THEN 100.0::DOUBLE WHEN day("Date") % 10 = 3 THEN NULL
               WHEN day("Date") % 10 = 5 THEN 0.0 ELSE "Open" END AS "Open", "High", "Low",
          CASE WHEN symbol = '{CONSTANT_SYMBOL}' THEN 100.0::DOUBLE WHEN day("Date") % 10 = 7 THEN 'NaN'::DOUBLE
@@ -428,7 +454,18 @@ def _gap_queries() -> dict[str, str]:
     nxt = f'r AS (SELECT *, LEAD("Close") OVER ({W}) AS nxt FROM rep)'
     daily, rate = _pct(OPEN, CLOSE), _rate(OPEN, CLOSE)
     variation = f'"Open" - LAG("Open") OVER ({W})'
-    averaged = f'AVG("Open") OVER ({first} ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING)'
+    every = ", ".join(f"{_ident(c)} NULLS FIRST" for c in names)
+    averaged = f'AVG("Open") OVER ({first}, {every} ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING)'
+    backward = ", ".join(f"{_ident(c)} DESC NULLS LAST" for c in ("Date", *names))
+    variation_d = f'"Open" - LAG("Open") OVER ({first}, "Open" NULLS FIRST)'
+    stats = []
+    for c in ("Date", *names):
+        show = (lambda e: e) if c in ("Date", "Volume") else keep
+        stats += [f'{show(f"{f}({_ident(c)})")} AS "{f.lower()}_{c}"' for f in ("MIN", "MAX")]
+        if c == "Volume":
+            stats.append(f'{r6("STDDEV_SAMP(" + _ident(c) + ")")} AS "stddev_{c}"')
+        elif c != "Date":
+            stats.append(f"CASE WHEN COUNT_IF(isnan({_ident(c)})) > 0 THEN 'NaN'::DOUBLE ELSE {r6(f'STDDEV_SAMP({_ident(c)}) FILTER (WHERE NOT isnan({_ident(c)}))')} END AS \"stddev_{c}\"")
     s = {
         "missing_counts": _missing_counts(),
         "period_return_d": _with() + f'SELECT {filled}, {r6(fill(daily))} AS "Daily_Return" FROM bars',
@@ -448,7 +485,25 @@ def _gap_queries() -> dict[str, str]:
         + f'SELECT a.symbol, a."Date" AS "Period", {r6("s.av")} AS "Average_Open_Price($)" FROM a LEFT JOIN savg s ON s.symbol = a.symbol AND s.seg = a.k - 1 WHERE a.k >= 1',
         "anchored_return_rate_m": _with(*_chain(30, dated)) + f'SELECT a.symbol, {_SPAN} AS "Period", {keep(_pct("po", CLOSE))} AS "Return_Rate_(%)" FROM a WHERE k >= 1',
     }
-    series = f'i AS (SELECT symbol, CASE WHEN NOT isnan("Close") THEN "Close" END AS val, ROW_NUMBER() OVER ({W}) AS idx FROM {dated})'
+    s["stock_variation_d"] = _with(f'v AS (SELECT symbol, "Date", {variation_d} AS d FROM bars)') + f'SELECT symbol, "Date", {r6(fill("d"))} AS "Variation_Open_Price" FROM v'
+    s["descriptive_stats"] = _with() + f"SELECT symbol, {', '.join(stats)} FROM bars GROUP BY symbol"
+    s["head_tail_3"] = _with(
+        f"h AS (SELECT *, ROW_NUMBER() OVER ({first}, {every}) AS rn, ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY {backward}) AS rd FROM bars)"
+    ) + f"SELECT {kept} FROM h WHERE rn <= 3 UNION ALL SELECT {kept} FROM h WHERE rd <= 3"
+    s["latest_average"] = _with(f"l AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY {backward}) AS rd FROM {dated})") + (
+        f'SELECT {kept}, {r6("AVG(" + OPEN + ") OVER (PARTITION BY symbol)")} AS "Moving_Average" FROM l WHERE rd <= {WINDOW}'
+    )
+    s["correlation_pair"] = _with(f'i AS (SELECT symbol, COALESCE("Open", 0) AS v, ROW_NUMBER() OVER ({W}, "Open" NULLS FIRST) AS idx FROM {dated})') + (
+        f"SELECT '{SYMBOL_1}' AS symbol_1, '{SYMBOL_2}' AS symbol_2, {r6('CORR(x.v, y.v)')} AS correlation "
+        f"FROM i x JOIN i y ON x.idx = y.idx WHERE x.symbol = '{SYMBOL_1}' AND y.symbol = '{SYMBOL_2}'"
+    )
+    s["anchored_avg_return_w"] = _with(*_segments(7, 'b."Close" - b."Open"', dated)) + (
+        f'SELECT a.symbol, {_SPAN} AS "Period", {keep("s.av")} AS "Average_Stock_Variation_($)" FROM a '
+        "LEFT JOIN savg s ON s.symbol = a.symbol AND s.seg = a.k - 1 WHERE a.k >= 1"
+    )
+    s["anchored_monthly_variation"] = _anchored_monthly_variation(None, dated, keep)
+    s["anchored_volume_variation_w"] = _anchored_volume_variation("w", dated)
+    series = f'i AS (SELECT symbol, CASE WHEN NOT isnan("Close") THEN "Close" END AS val, ROW_NUMBER() OVER ({W}, "Close" NULLS FIRST) AS idx FROM {dated})'
     s["correlation_matrix"] = _correlation_matrix(series)
     return {f"{name}_gaps": sql.replace(BARS_CTE, GAPS_CTE) for name, sql in s.items()}
 
@@ -472,6 +527,11 @@ def oracle_queries() -> dict[str, str]:
     s["run_dispatch"] = f"SELECT * FROM ({_return_rate_period('y')}) t WHERE symbol IN ('{SYMBOL_1}', '{SYMBOL_2}')"
     s["avg_price_m_newest"] = _avg_price("m")
     s["intraday_variation_rounded"] = _with() + f'SELECT {BARS_COLS_R6}, {r6("ROUND(" + CLOSE + " - " + OPEN + ", 3)")} AS "Stock_Variation" FROM bars'
+    floored = '(SELECT symbol, "Date", floor("Open") AS "Open", "Close", "Volume" FROM bars)'
+    s["anchored_avg_price_rounded"] = _with(*_segments(30, 'b."Open"', floored)) + (
+        'SELECT a.symbol, a."Date" AS "Period", round_even(s.av, 3) AS "Average_Open_Price($)" FROM a '
+        "LEFT JOIN savg s ON s.symbol = a.symbol AND s.seg = a.k - 1 WHERE a.k >= 1"
+    )
     s["scan_bars"] = _with() + f"SELECT {BARS_COLS_R6} FROM bars"
     for p in "dwmy":
         s[f"max_return_rate_{p}"] = _max_return_rate(p)
