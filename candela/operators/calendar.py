@@ -53,8 +53,12 @@ def last_bar(
 
 
 # A1
-def avg_price_until(bars: DataFrame, on, until, field: str = "Open") -> DataFrame:
-    """Mean of ``field`` over ``on <= Date <= until``, per symbol: ``Average_{field}_Price_($)``."""
+def avg_price_until(bars: DataFrame, on, until, field: str = "Open", every_symbol: bool = False) -> DataFrame:
+    """Mean of ``field`` over ``on <= Date <= until``, per symbol: ``Average_{field}_Price_($)``. A symbol with no
+    row in the range has no row, or with ``every_symbol`` a null; that reads the rows outside the range too."""
+    if every_symbol:
+        inside = F.when(F.col("Date").between(_date(on), _date(until)), F.col(field))
+        return bars.groupBy("symbol").agg(F.avg(inside).alias(f"Average_{field}_Price_($)"))
     return (
         between_dates(bars, on, until)
         .groupBy("symbol")

@@ -27,8 +27,13 @@ def column_correlation(bars: DataFrame, col1: str, col2: str, nulls: str = "zero
     ``nulls="zero"`` counts a missing value as 0 (the behaviour of ``DataFrame.stat.corr``);
     ``nulls="drop"`` leaves out rows where either value is missing.
     """
+    return bars.groupBy("symbol").agg(*correlation_columns(bars, col1, col2, nulls))
+
+
+def correlation_columns(bars: DataFrame, col1: str, col2: str, nulls: str = "zero") -> list[Column]:
+    """Aggregates of ``column_correlation``."""
     x, y = _nulls(F.col(col1).cast("double"), nulls), _nulls(F.col(col2).cast("double"), nulls)
-    return bars.groupBy("symbol").agg(pearson(x, y).alias("correlation"))
+    return [pearson(x, y).alias("correlation")]
 
 
 def _indexed(bars: DataFrame, on: str, **columns: str) -> DataFrame:

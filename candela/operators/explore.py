@@ -3,7 +3,7 @@ sampling frequency. All per symbol and in one job over all symbols."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,17 +37,27 @@ def head_and_tail(bars: DataFrame, n: int = HEAD_TAIL_ROWS) -> DataFrame:
 # E2
 def num_observations(bars: DataFrame) -> DataFrame:
     """Row count per symbol: ``num_observations``."""
-    return bars.groupBy("symbol").agg(F.count(F.lit(1)).alias("num_observations"))
+    return bars.groupBy("symbol").agg(*observation_columns(bars))
+
+
+def observation_columns(bars: DataFrame) -> list[Column]:
+    """Aggregates of ``num_observations``."""
+    return [F.count(F.lit(1)).alias("num_observations")]
 
 
 # E3
 def date_span(bars: DataFrame) -> DataFrame:
     """First and last date and the days between them per symbol: ``first_date, last_date, span_days``."""
-    return bars.groupBy("symbol").agg(
+    return bars.groupBy("symbol").agg(*span_columns(bars))
+
+
+def span_columns(bars: DataFrame) -> list[Column]:
+    """Aggregates of ``date_span``."""
+    return [
         F.min("Date").alias("first_date"),
         F.max("Date").alias("last_date"),
         F.date_diff(F.max("Date"), F.min("Date")).alias("span_days"),
-    )
+    ]
 
 
 # E5
@@ -80,23 +90,33 @@ def most_common_day(bars: DataFrame) -> DataFrame:
 def descriptive_stats(bars: DataFrame) -> DataFrame:
     """Per symbol: ``min_<c>`` and ``max_<c>`` of every column and the sample ``stddev_<c>`` of the numeric
     ones, as one wide row."""
+    return bars.groupBy("symbol").agg(*stats_columns(bars))
+
+
+def stats_columns(bars: DataFrame) -> list[Column]:
+    """Aggregates of ``descriptive_stats``."""
     aggs = []
     for f in _value_columns(bars):
         aggs += [F.min(f"`{f.name}`").alias(f"min_{f.name}"), F.max(f"`{f.name}`").alias(f"max_{f.name}")]
         if isinstance(f.dataType, _NUMERIC):
             aggs.append(F.stddev_samp(f"`{f.name}`").alias(f"stddev_{f.name}"))
-    return bars.groupBy("symbol").agg(*aggs)
+    return aggs
 
 
 # E7
 def missing_counts(bars: DataFrame) -> DataFrame:
     """Per symbol: ``missing_<c>`` = rows where ``c`` is null (or NaN for floating columns)."""
+    return bars.groupBy("symbol").agg(*missing_columns(bars))
+
+
+def missing_columns(bars: DataFrame) -> list[Column]:
+    """Aggregates of ``missing_counts``."""
     aggs = []
     for f in _value_columns(bars):
         c = F.col(f"`{f.name}`")
         missing = c.isNull() | F.isnan(c) if isinstance(f.dataType, _FLOATING) else c.isNull()
         aggs.append(F.count_if(missing).alias(f"missing_{f.name}"))
-    return bars.groupBy("symbol").agg(*aggs)
+    return aggs
 
 
 # E9

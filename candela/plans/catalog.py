@@ -16,11 +16,15 @@ from pyspark.sql import types as T
 
 from candela import operators as ops
 from candela.functions import newest_first
-from candela.plans.registry import run
-from candela.sources import typed_bars
+from candela.plans.registry import run, run_many
+from candela.schema import BARS_COLUMNS
+from candela.session import shared_path
+from candela.sources import line_counts, read_bars, read_bars_csv, typed_bars, write_bars, write_bars_csv
 from candela.sources.tables import load_bars
 
 ON, UNTIL = "1996-01-01", "1998-12-31"
+#: A day on which some symbols of the smaller tables have no bar.
+ONE_DAY = "1996-03-06"
 SHARES = 200
 DIVIDEND_SHARES = 10
 WINDOW = 5
@@ -73,6 +77,7 @@ def spark_queries(load: Loader = load_bars) -> dict[str, Callable[[SparkSession,
         q[f"max_return_{p}"] = _q(lambda b, p=p: ops.max_return(b, p))
     q["return_rate_until"] = _until(lambda b: ops.return_rate(b, ON, UNTIL, SHARES))
     q["avg_price_until"] = _until(lambda b: ops.avg_price_until(b, ON, UNTIL, "Open"))
+    q["avg_price_until_every"] = _q(lambda b: ops.avg_price_until(b, ONE_DAY, ONE_DAY, "Open", every_symbol=True))
     q["stock_variation_until_m"] = _until(lambda b: ops.stock_variation_until(b, ON, UNTIL, "m"))
     q["period_return_until_m"] = _until(lambda b: ops.period_return_until(b, ON, UNTIL, "m"))
     for p in "wmy":
@@ -111,6 +116,12 @@ def spark_queries(load: Loader = load_bars) -> dict[str, Callable[[SparkSession,
     q["avg_price_m_newest"] = lambda spark, sf_dir: newest_first(finish(ops.avg_price_period(load(spark, sf_dir), "m", "Open")))
     q["intraday_variation_rounded"] = _q(ops.intraday_variation)
     q["anchored_avg_price_rounded"] = _q(lambda b: ops.anchored_avg_price(b.withColumn("Open", F.expr("floor(Open)")), "m"))
+    q["run_many"] = _q(
+        lambda b: run_many(b, [*SUMMARIES, ("column_correlation", {"col1": "Open", "col2": "Close"})]).select("symbol", *[f"{s}.*" for s in SUMMARIES], "column_correlation.*")
+    )
+    q["csv_files"] = _q(through_files)
+    q["csv_line_counts"] = _q(through_dirty_files)
+    q["return_rate_until_by_year"] = _q(lambda b: ops.return_rate(through_years(b), ON, UNTIL, SHARES))
     gaps = {
         "missing_counts": ops.missing_counts,
         "period_return_d": lambda b: ops.period_return(b, "d"),
@@ -138,6 +149,37 @@ def spark_queries(load: Loader = load_bars) -> dict[str, Callable[[SparkSession,
     return q
 
 
+SUMMARIES = ("num_observations", "date_span", "descriptive_stats", "missing_counts")
+#: The second export of ``through_files`` begins here, the first ends a year later.
+REEXPORT, FIRST_END = "1996-01-01", "1997-01-01"
+
+
+def through_files(bars: DataFrame) -> DataFrame:
+    """``bars`` written as price files in two exports that overlap by a year, and read again. The first one has
+    its columns in another order and every Open too high by 1; the second one is written later."""
+    folder = shared_path(bars.sparkSession, "price-files")
+    early = bars.where(F.expr(f"Date < date'{FIRST_END}'")).withColumn("Open", F.expr("Open + 1"))
+    write_bars_csv(early, f"{folder}/export-1", reversed(BARS_COLUMNS[1:]))
+    write_bars_csv(bars.where(F.expr(f"Date >= date'{REEXPORT}'")), f"{folder}/export-2")
+    return read_bars_csv(bars.sparkSession, [f"{folder}/export-1", f"{folder}/export-2"])
+
+
+def through_dirty_files(bars: DataFrame) -> DataFrame:
+    """Accepted and refused lines of price files in which the 13th of a month has no date and the 14th no volume."""
+    folder = shared_path(bars.sparkSession, "dirty-files")
+    day = F.expr("if(day(Date) = 13, 'Friday', cast(Date as string))")
+    volume = F.expr("if(day(Date) = 14, '12.5', cast(Volume as string))")
+    write_bars_csv(bars.withColumns({"Date": day, "Volume": volume}), folder)
+    return line_counts(bars.sparkSession, folder)
+
+
+def through_years(bars: DataFrame) -> DataFrame:
+    """``bars`` of the range of days from a store laid out by year."""
+    path = shared_path(bars.sparkSession, "bars-by-year")
+    write_bars(bars, path, by_year=True)
+    return read_bars(bars.sparkSession, path, ON, UNTIL)
+
+
 def as_text(bars: DataFrame) -> DataFrame:
     """``bars`` as a price file has them: dates with a time and an offset, volumes with a decimal point."""
     day = F.concat(F.col("Date").cast("string"), F.lit(" 00:00:00-05:00"))
@@ -524,6 +566,11 @@ def _correlation_matrix(series: str) -> str:
 def oracle_queries() -> dict[str, str]:
     s: dict[str, str] = _gap_queries()
     s["csv_parse"] = _with() + f"SELECT {BARS_COLS_R6} FROM bars"
+    opened = f"CASE WHEN \"Date\" < DATE '{REEXPORT}' THEN \"Open\" + 1 ELSE \"Open\" END"
+    s["csv_files"] = _with() + f"SELECT {BARS_COLS_R6.replace(r6(OPEN), r6(opened))} FROM bars"
+    s["csv_line_counts"] = _with() + (
+        'SELECT symbol, COUNT_IF(day("Date") NOT IN (13, 14))::BIGINT AS accepted, COUNT_IF(day("Date") IN (13, 14))::BIGINT AS refused FROM bars GROUP BY symbol'
+    )
     s["run_dispatch"] = f"SELECT * FROM ({_return_rate_period('y')}) t WHERE symbol IN ('{SYMBOL_1}', '{SYMBOL_2}')"
     s["avg_price_m_newest"] = _avg_price("m")
     s["intraday_variation_rounded"] = _with() + f'SELECT {BARS_COLS_R6}, {r6("ROUND(" + CLOSE + " - " + OPEN + ", 3)")} AS "Stock_Variation" FROM bars'
@@ -546,6 +593,9 @@ def oracle_queries() -> dict[str, str]:
     s["avg_price_until"] = _with() + (
         f'SELECT symbol, {r6("AVG(" + OPEN + ")")} AS "Average_Open_Price_($)" FROM bars {rng} GROUP BY symbol'
     )
+    s["avg_price_until_every"] = _with() + (
+        f'SELECT symbol, {r6(f"AVG({OPEN}) FILTER (WHERE {_ident('Date')} = DATE '{ONE_DAY}')")} AS "Average_Open_Price_($)" FROM bars GROUP BY symbol'
+    )
     s["stock_variation_until_m"] = _stock_variation("m", rng)
     s["period_return_until_m"] = _period_return("m", rng)
     for p in "wmy":
@@ -624,4 +674,7 @@ def oracle_queries() -> dict[str, str]:
         f'SELECT {BARS_COLS_R6}, {_MONTHS_SQL}[month("Date")] || \'-\' || CAST(year("Date") AS VARCHAR) '
         'AS "Month_Label" FROM bars'
     )
+    s["return_rate_until_by_year"] = s["return_rate_until"]
+    summaries = [s[name] for name in (*SUMMARIES, "column_correlation")]
+    s["run_many"] = "SELECT * FROM " + " JOIN ".join(f"({sql}) t{i}" + (" USING (symbol)" if i else "") for i, sql in enumerate(summaries))
     return s

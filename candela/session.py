@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,16 +52,24 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return value
 
 
+def shared_path(spark: SparkSession, name: str, fallback_dir: str | None = None) -> str:
+    """A fresh path below the checkpoint folder, deleted when the application ends. Where the setting is absent, a
+    temporary folder takes its place, on a local master only."""
+    unset = not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir"))
+    if unset and fallback_dir is None and spark.sparkContext.master.startswith("local["):
+        fallback_dir = tempfile.mkdtemp(prefix="candela-")
+    path = f"{checkpoint_dir(spark, fallback_dir).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
+
+
 def materialize(df: DataFrame, name: str = "table", fallback_dir: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back, cutting the lineage.
 
     Unlike caching, the written table outlives lost executors: a later stage that loses a task re-reads
     the files instead of recomputing the whole input. The table is deleted when the application ends.
     """
-    spark = df.sparkSession
-    base = checkpoint_dir(spark, fallback_dir).rstrip("/")
-    path = f"{base}/{name}-{uuid.uuid4().hex}"
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    path = shared_path(df.sparkSession, name, fallback_dir)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)

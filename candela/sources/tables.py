@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from candela.schema import BARS_COLUMNS
 
 
+#: Folder column of a store laid out by year.
+YEAR = "bar_year"
+
+
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -50,14 +54,35 @@ def load_bars(spark: SparkSession, sf_dir: str, on=None, until=None) -> DataFram
     return bars_from_orders(load_table(spark, sf_dir, "orders"), load_table(spark, sf_dir, "lineitem"), on, until)
 
 
-def write_bars(bars: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_bars(bars: DataFrame, path: str, mode: str = "errorifexists", by_year: bool = False) -> None:
     """Write ``bars`` as Parquet in ranges of (symbol, date), sorted inside each file; a large symbol spans several.
 
-    Sorted dates give tight row-group statistics, so date-range filters prune row groups.
+    Sorted dates give tight row-group statistics, so date-range filters prune row groups. With ``by_year``
+    the files are laid out in a folder for each year (and one for rows without a date), so a range of days
+    lists and opens the files of its years only: see ``read_bars``.
     """
+    if by_year:
+        bars = bars.withColumn(YEAR, F.year("Date"))
+        ranges = bars.repartitionByRange(YEAR, "symbol", "Date").sortWithinPartitions(YEAR, "symbol", "Date")
+        ranges.write.mode(mode).partitionBy(YEAR).parquet(path)
+        return
     (
         bars.repartitionByRange("symbol", "Date")
         .sortWithinPartitions("symbol", "Date")
         .write.mode(mode)
         .parquet(path)
     )
+
+
+def read_bars(spark: SparkSession, path: str, on=None, until=None) -> DataFrame:
+    """Stored ``bars``, of the days from ``on`` to ``until`` (both inclusive) if given. In a store laid out by year
+    the range becomes a filter on the folders as well, so that other years are not even listed."""
+    bars = spark.read.parquet(path)
+    for bound, op in ((on, ">="), (until, "<=")):
+        if bound is not None:
+            day = F.to_date(F.lit(str(bound)))
+            bars = bars.where(F.col("Date") >= day if op == ">=" else F.col("Date") <= day)
+            if YEAR in bars.columns:
+                year = int(str(bound)[:4])
+                bars = bars.where(F.col(YEAR) >= year if op == ">=" else F.col(YEAR) <= year)
+    return bars.select(*[f"`{c}`" for c in BARS_COLUMNS])
