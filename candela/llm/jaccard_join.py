@@ -40,6 +40,8 @@ TOKENS_PER_RANGE, TOKENS_PER_FLUSH = 4_000_000, 2_000_000
 CENTRES = (range(1), range(1, 3), range(3, 5))
 #: Pairs of 16 bytes that are sent to every executor, at most (16 MB).
 BROADCAST_PAIRS = 1_000_000
+#: Members of a unit whose shingles are united for the test of a pair of units, about.
+BUNDLE = 32
 _PRIME = np.uint64(0x9E3779B185EBCA87)
 _SHIFT = np.uint64(29)
 
@@ -118,17 +120,15 @@ def _counts(packed: bytes, n: int) -> np.ndarray:
     return np.zeros(0, np.uint32) if not packed else np.frombuffer(packed, f"<u{len(packed) // n}").astype(np.uint32)
 
 
-def _pack(where: np.ndarray, ranges: int, owner: np.ndarray, keys: np.ndarray, tokens: np.ndarray, counts: np.ndarray | None = None, part: int | None = None) -> Iterator[tuple]:
+def _pack(where: np.ndarray, owner: np.ndarray, keys: np.ndarray, tokens: np.ndarray, counts: np.ndarray | None = None, part: int | None = None) -> Iterator[tuple]:
     """Rows of ``_PACK``, one per range in use: tokens by owner, each owner with its key."""
     order = np.lexsort((owner, where))
     where, owner, tokens = where[order], owner[order], tokens[order]
     counts = counts[order] if counts is not None else None
-    cuts = np.searchsorted(where, np.arange(ranges + 1))
-    for r in range(ranges):
-        a, b = cuts[r], cuts[r + 1]
-        if a < b:
-            who, lengths = np.unique(owner[a:b], return_counts=True)
-            yield r, r if part is None else part, keys[who].tobytes(), _narrow(lengths), _low(tokens[a:b]), b"" if counts is None else _narrow(counts[a:b])
+    used, cuts = np.unique(where, return_index=True)
+    for r, a, b in zip(used.tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(where)], strict=True):
+        who, lengths = np.unique(owner[a:b], return_counts=True)
+        yield r, r if part is None else part, keys[who].tobytes(), _narrow(lengths), _low(tokens[a:b]), b"" if counts is None else _narrow(counts[a:b])
 
 
 def _packs(rows: list[tuple]) -> pa.RecordBatch:
@@ -161,7 +161,7 @@ def _scatter(docs: DataFrame, ranges: int, words: int) -> DataFrame:
             owner = np.repeat(np.arange(len(held)), [len(t) for t in held])
             tokens = np.concatenate(held)
             where = ((tokens >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
-            out = _packs(list(_pack(where, ranges, owner, np.array(keys, np.int64), tokens)))
+            out = _packs(list(_pack(where, owner, np.array(keys, np.int64), tokens)))
             held.clear()
             keys.clear()
             return out
@@ -202,7 +202,7 @@ def _shared(table: pa.Table, back: int) -> pa.Table:
     many = counts > 1
     owner, tokens, counts = owner[many], tokens[many], counts[many]
     del many
-    return pa.Table.from_batches([_packs(list(_pack(names[owner] % back, back, owner, names, tokens, counts, table.column("part")[0].as_py())))])
+    return pa.Table.from_batches([_packs(list(_pack(names[owner] % back, owner, names, tokens, counts, table.column("part")[0].as_py())))])
 
 
 _SETS = "key long, n int, gid long, single int, prefix array<long>, tokens array<long>"
@@ -307,10 +307,32 @@ def _to_centres(groups: DataFrame, placed: DataFrame, seeds: Iterable[int], perc
     return near.join(placed, ["gid", "comp"]).select(F.col("key").alias("a"), "b")
 
 
-def _crossing(groups: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
-    """All candidate pairs (a, b) of keys in different components. Posting lists are first reduced to
-    (shingle, component), so nothing is enumerated inside a component."""
+def _reachable(lists: DataFrame, percent: int) -> DataFrame:
+    """The postings that may have a partner in another component: the smallest set of the shingle's list is the
+    easiest one to link with, and even it needs enough shingles from the posting on."""
+    ends = lists.groupBy("token").agg(F.min("n").alias("floor"), F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y")
+    smallest = f"greatest(floor, ceil(n * {percent} / 100))"
+    near = lists.join(ends.select("token", "floor"), "token").where(f"(n - pos) * {100 + percent} >= (n + {smallest}) * {percent}")
+    return near.drop("floor")
+
+
+def _bundles(placed: DataFrame, sets: DataFrame) -> DataFrame:
+    """(gid, comp, bundle, n, members, union): the members of each unit in bundles of about ``BUNDLE``, with
+    all shingles that one of a bundle's members holds."""
+    size = placed.groupBy("gid", "comp").agg(F.ceil(F.count(F.lit(1)) / BUNDLE).alias("bundles"))
+    dealt = placed.join(size, ["gid", "comp"]).withColumn("bundle", F.pmod(F.xxhash64("key"), F.col("bundles")))
+    whole = dealt.join(sets.select("key", "n", "tokens"), "key").groupBy("gid", "comp", "bundle")
+    return whole.agg(
+        F.first("n").alias("n"), F.collect_list("key").alias("members"), F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union")
+    )
+
+
+def _crossing(groups: DataFrame, placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All candidate pairs (a, b) of keys in different components. Posting lists are first reduced to those that
+    can have a partner, then to (shingle, component), so nothing is enumerated inside a component. Pairs of units
+    are tested by the unions of their members, in bundles, before any member is paired."""
     lists = _lists(groups, placed.select("gid", "comp").distinct())
+    lists = stored(_reachable(_reachable(lists, percent), percent), "join-postings")
     spans = lists.groupBy("token", "comp").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("rest"))
     several = spans.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("token")
     spans = stored(spans.join(several, "token"), "join-spans")
@@ -329,11 +351,15 @@ def _crossing(groups: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
         .select("ga", "ca", "gb", "cb")
         .distinct()
     )
-    return (
-        pairs.join(placed.select(F.col("gid").alias("ga"), F.col("comp").alias("ca"), F.col("key").alias("a")), ["ga", "ca"])
-        .join(placed.select(F.col("gid").alias("gb"), F.col("comp").alias("cb"), F.col("key").alias("b")), ["gb", "cb"])
-        .select("a", "b")
-    )
+    pairs = stored(pairs, "join-units")
+    # Only units of a pair are bundled.
+    use = pairs.select(F.col("ga").alias("gid"), F.col("ca").alias("comp")).unionByName(pairs.select(F.col("gb").alias("gid"), F.col("cb").alias("comp"))).distinct()
+    bundles = stored(_bundles(placed.join(use, ["gid", "comp"], "left_semi"), sets), "join-bundles")
+    side = lambda x: bundles.select(*[F.col(c).alias(f"{c}_{x}") for c in bundles.columns])
+    met = pairs.join(side("a").withColumnsRenamed({"gid_a": "ga", "comp_a": "ca"}), ["ga", "ca"]).join(side("b").withColumnsRenamed({"gid_b": "gb", "comp_b": "cb"}), ["gb", "cb"])
+    shared = F.size(F.array_intersect("union_a", "union_b"))
+    kept = met.where(shared * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent)
+    return kept.select(F.explode("members_a").alias("a"), "members_b").select("a", F.explode("members_b").alias("b"))
 
 
 def component_map(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -346,7 +372,7 @@ def component_map(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
             break
         placed = _merged(placed, found)
         release(sets.sparkSession)
-    found = stored(verified(_crossing(groups, placed, percent), sets, percent), "join-links")
+    found = stored(verified(_crossing(groups, placed, sets, percent), sets, percent), "join-links")
     return placed if found.isEmpty() else _merged(placed, found)
 
 
