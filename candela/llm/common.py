@@ -10,7 +10,6 @@ import gc
 import io
 import os
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -19,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.session import checkpoint_dir
+from candela.session import shared_path
 
 SLICE_BYTES = 1 << 20
 
@@ -51,15 +50,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path below ``spark.checkpoint.dir``, deleted when the application ends. Where the setting
-    is absent (tests, a laptop) a temporary folder takes its place."""
-    unset = not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir"))
-    base = checkpoint_dir(spark, tempfile.mkdtemp(prefix="candela-") if unset else None)
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return path
+    """A fresh path below ``spark.checkpoint.dir``, deleted when the application ends. Where the setting is absent,
+    a temporary folder takes its place on a local master; on a cluster that is an error."""
+    return shared_path(spark, name)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -141,7 +141,10 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
 
 def drop_copies(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that stay, with their own columns; of rows repeated with the same id and text, one."""
+    """The rows of ``docs`` that stay, with their own columns; of rows repeated with the same id and text, one.
+
+    Null and empty texts are equal, so of all of them the row with the largest id stays. Rows without an id stay
+    only where no row of their text has one, once. An empty table gives an empty result."""
     columns = docs.columns
     marked = exact_dedup(docs, **options).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).distinct()
     own = docs.withColumn("__id", F.col("doc_id")).withColumn("__sha", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))

@@ -410,13 +410,14 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stay, with their own columns: of each component the row with the smallest id,
     and of several rows with that id the one with the smallest text, once. Rows that share an id but not their
-    component are told apart by their text. Of a component's rows without an id one stays, beside the one with
-    an id. Rows without words all stay."""
+    component are told apart by their text. Of a component in which no row has an id, the row with the smallest
+    text stays, once; a row without an id that is linked to one with an id goes. Null and empty texts and others
+    without words are linked with nothing and all stay. An empty table gives an empty result."""
     columns = docs.columns
     text = F.coalesce("text", F.lit(""))
     own = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__sha", F.sha2(text.cast("binary"), 256))
     marked = _marked(own.select(F.col("__id").alias("doc_id"), "text", F.col("__sha").alias("sha")), words, percent)
-    first = marked.where("key is not null and (doc_id is null or doc_id = component)").select("doc_id", "sha", "root").distinct()
+    first = marked.where("key is not null and (doc_id = component or component is null)").select("doc_id", "sha", "root").distinct()
     first = first.select(F.col("doc_id").alias("__i"), F.col("sha").alias("__s"), F.col("root").alias("__root"))
     left = own.join(first, own["__id"].eqNullSafe(first["__i"]) & (own["__sha"] == first["__s"]))
     one = Window.partitionBy("__root", "__id").orderBy(text)

@@ -230,7 +230,11 @@ def mix(docs: DataFrame, members: Column | None = None, id_column: str = "doc_id
 
 
 def apply_mix(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with each document repeated as often as the mix takes it, with its own columns only."""
+    """``docs`` with each document repeated as often as the mix takes it, with its own columns only.
+
+    Documents that the mix does not take go, those with null or empty texts among them (they have no words). Rows
+    that share an id and sources are repeated alike, as often as the one taken most. Ties are settled by the seed; an
+    empty table gives an empty result."""
     columns = docs.columns
     picked = mix(docs, **options).where("copies > 0").groupBy(F.col("doc_id").alias("__id"), F.col("members").alias("__m")).agg(F.max("copies").alias("__copies"))
     sources = options.get("members")

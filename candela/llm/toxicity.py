@@ -237,6 +237,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, target: str = "toxic", threshol
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, with their own columns."""
+    """The rows of ``docs`` that score below ``threshold``, with their own columns.
+
+    Null and empty texts are scored as texts without a term; repeated rows and rows without an id are scored one by
+    one, by their text alone. A score equal to ``threshold`` is toxic. An empty table gives an empty result."""
     columns = docs.columns
     return with_score(docs, fit(docs, labels, **options)).where(F.col("__toxicity") < threshold).select(*columns)
