@@ -50,7 +50,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to ``documents``."""
+    """The stages applied to ``documents``.
+
+    Each stage says what becomes of null and empty texts, ties, repeated rows and rows without an id; columns that
+    are not its own pass through, and an empty table gives an empty result."""
     ship(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
