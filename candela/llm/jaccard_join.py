@@ -36,6 +36,8 @@ WORDS, PERCENT = 5, 75
 #: Shingles that one task holds at a time while frequencies are counted, and before they are dealt out, about.
 #: A set costs nine bytes in every range that it meets, so wide ranges keep the exchanges near the shingles' own size.
 TOKENS_PER_RANGE, TOKENS_PER_FLUSH = 4_000_000, 2_000_000
+#: Slices in which a task counts its range, one after the other.
+SLICES = 8
 #: Seeds of the centres that each round draws, before all remaining pairs are taken; only the work depends on it.
 CENTRES = (range(1), range(1, 3), range(3, 5))
 #: Pairs of 16 bytes that are sent to every executor, at most (16 MB).
@@ -185,24 +187,42 @@ def _scatter(docs: DataFrame, ranges: int, words: int) -> DataFrame:
 
 
 def _shared(table: pa.Table, back: int) -> pa.Table:
-    """Of one range of shingles, those that at least two sets hold, with their frequency, packed by range of the set's key."""
-    keys, lengths, tokens, _ = _unpack(table)
-    names, first = np.unique(keys, return_index=True)  # a set that several tasks met counts once
-    use = np.zeros(len(keys), bool)
-    use[first] = True
-    owner = np.repeat(np.searchsorted(names, keys).astype(np.int32), lengths)
-    kept = np.repeat(use, lengths)
-    owner, tokens = owner[kept], tokens[kept]
-    order = np.argsort(tokens, kind="stable")
-    owner, tokens = owner[order], tokens[order]
-    del kept, order
-    starts = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
-    n = np.diff(np.append(starts, len(tokens))).astype(np.uint32)
-    counts = np.repeat(n, n)
-    many = counts > 1
-    owner, tokens, counts = owner[many], tokens[many], counts[many]
-    del many
-    return pa.Table.from_batches([_packs(list(_pack(names[owner] % back, owner, names, tokens, counts, table.column("part")[0].as_py())))])
+    """Of one range of shingles, those that at least two sets hold, with their frequency, packed by range of the set's key.
+
+    The range is counted in ``SLICES`` by the shingles' next bits, so that one slice at a time is spread out."""
+    read = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for x in table.column(name)]  # noqa: E731  no copy
+    part = table.column("part")[0].as_py()
+    keys, packed = read("keys", np.int64), read("tokens", np.uint8)
+    lengths = [_counts(x.as_py(), len(k)) for x, k in zip(table.column("lengths"), keys, strict=True)]
+    whole = np.concatenate(keys)
+    names, first = np.unique(whole, return_index=True)
+    places = np.full(len(whole), -1, np.int32)
+    places[first] = np.searchsorted(names, whole[first])  # a set that several tasks met counts once
+    places = np.split(places, np.cumsum([len(k) for k in keys])[:-1])
+    found = []
+    for k in range(SLICES):
+        owners, parts = [], []
+        for place, length, low in zip(places, lengths, packed, strict=True):
+            owner, tokens = np.repeat(place, length), _whole(low, part)
+            here = (owner >= 0) & ((tokens >> np.uint64(LOW_BITS - 16)) % np.uint64(SLICES) == k)
+            owners.append(owner[here])
+            parts.append(tokens[here])
+        owner, tokens = np.concatenate(owners), np.concatenate(parts)
+        del owners, parts
+        if not len(tokens):
+            continue
+        order = np.argsort(tokens, kind="stable")
+        owner, tokens = owner[order], tokens[order]
+        del order
+        starts = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
+        n = np.diff(np.append(starts, len(tokens))).astype(np.uint32)
+        counts = np.repeat(n, n)
+        many = counts > 1
+        found.append((owner[many], tokens[many], counts[many]))
+    if not found:
+        return pa.Table.from_batches([_packs([])])
+    owner, tokens, counts = map(np.concatenate, zip(*found, strict=True))
+    return pa.Table.from_batches([_packs(list(_pack(names[owner] % back, owner, names, tokens, counts, part)))])
 
 
 _SETS = "key long, n int, gid long, single int, prefix array<long>, tokens array<long>"
