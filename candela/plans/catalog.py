@@ -145,7 +145,7 @@ def spark_queries(load: Loader = load_bars) -> dict[str, Callable[[SparkSession,
         "anchored_avg_price_m": lambda b: ops.anchored_avg_price(b, "m", "Open", digits=None),
         "anchored_return_rate_m": lambda b: ops.anchored_return_rate(b, "m"),
     }
-    q |= {f"{name}_gaps": _q(lambda b, build=build: build(with_gaps(b))) for name, build in gaps.items()}
+    q |= {f"{name}_gaps": _q(lambda b, build=build, once=name in ONE_A_DAY: build(with_gaps(b, not once))) for name, build in gaps.items()}
     return q
 
 
@@ -192,13 +192,17 @@ CONSTANT_SYMBOL, LOST_DAY = "5-LOW", "1995-01-31"
 REPEATING, REPEATED = (SYMBOL_1, SYMBOL_2), "day(Date) in (8, 15, 22)"
 
 
-def with_gaps(bars: DataFrame) -> DataFrame:
+#: Queries on representative bars get no repeated dates: which row of a date represents its period is not defined.
+ONE_A_DAY = ("period_return_m", "stock_variation_m")
+
+
+def with_gaps(bars: DataFrame, repeat: bool = True) -> DataFrame:
     """``bars`` with holes: by day of the month an Open is null or 0, a Close NaN or null; one symbol has a
-    constant price, each symbol one row without a date, and two symbols have two or more rows on some dates."""
+    constant price, each symbol one row without a date, and with ``repeat`` two symbols have several rows on some dates."""
     digit = "day(Date) % 10"
     opened = f"case when symbol = '{CONSTANT_SYMBOL}' then 100 when {digit} = 3 then null when {digit} = 5 then 0 else Open end"
     closed = f"case when symbol = '{CONSTANT_SYMBOL}' then 100 when {digit} = 7 then double('NaN') when {digit} = 9 then null else Close end"
-    moved = f"if(symbol in {REPEATING} and {REPEATED}, date_add(Date, -1), Date)"
+    moved = f"if(symbol in {REPEATING} and {REPEATED}, date_add(Date, -1), Date)" if repeat else "Date"
     day = f"if(Date <> date'{LOST_DAY}', {moved}, null)"
     return bars.withColumns({"Open": F.expr(opened), "Close": F.expr(closed), "Date": F.expr(day)})
 
@@ -547,7 +551,8 @@ def _gap_queries() -> dict[str, str]:
     s["anchored_volume_variation_w"] = _anchored_volume_variation("w", dated)
     series = f'i AS (SELECT symbol, CASE WHEN NOT isnan("Close") THEN "Close" END AS val, ROW_NUMBER() OVER ({W}, "Close" NULLS FIRST) AS idx FROM {dated})'
     s["correlation_matrix"] = _correlation_matrix(series)
-    return {f"{name}_gaps": sql.replace(BARS_CTE, GAPS_CTE) for name, sql in s.items()}
+    once = GAPS_CTE.replace(f"symbol IN {REPEATING} AND {REPEATED}", "FALSE")
+    return {f"{name}_gaps": sql.replace(BARS_CTE, once if name in ONE_A_DAY else GAPS_CTE) for name, sql in s.items()}
 
 
 def _correlation_matrix(series: str) -> str:
