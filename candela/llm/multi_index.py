@@ -13,12 +13,16 @@ On Spark, the entries of one first-half centroid form a bucket, cut by hash into
 Queries travel in blocks of neighbouring queries to the buckets that one of them visits, each part meets the
 blocks as matrices, and the best of each part are merged. Equal vectors are one entry with the smallest ids,
 which are all that a result can name.
+
+An inner product needs two vectors of one width, so each width is an index of its own. Vectors of one component
+get a second one of 0, which changes no product.
 """
 
 from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -113,26 +117,32 @@ def usable(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "
     bad = "exists(v, x -> x is null or isnan(x) or abs(x) = double('infinity'))"
     return (
         vectors.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector_column).alias("v"))
-        .where(f"vec_id is not null and v is not null and size(v) > 1 and not {bad} and exists(v, x -> x != 0)")
+        .where(f"vec_id is not null and v is not null and size(v) > 0 and not {bad} and exists(v, x -> x != 0)")
     )
 
 
-def fit(rows: DataFrame, entries: int, k: int, recall: float, sample: int = SAMPLE) -> tuple[int, tuple[np.ndarray, np.ndarray], float]:
-    """(width, codebooks, probe share) from the ``sample`` entries with the smallest hash."""
+def fit(rows: DataFrame, width: int, entries: int, k: int, recall: float, sample: int = SAMPLE) -> tuple[tuple[np.ndarray, np.ndarray], float]:
+    """(codebooks, probe share) from the ``sample`` entries of ``width`` components with the smallest hash."""
     some = rows.select("v", F.xxhash64("v").alias("h")).orderBy("h", "v").limit(sample).select("v").collect()
-    widths = [len(r["v"]) for r in some]
-    width = max(set(widths), key=lambda w: (widths.count(w), w))
-    x = np.array([r["v"] for r in some if len(r["v"]) == width], np.float64)
+    x = np.array([r["v"] for r in some], np.float64)
     centroids = int(np.clip(np.sqrt(entries / PER_CELL), 2, MOST_CENTROIDS))
     books = kmeans(x[:, : width // 2], centroids, 1), kmeans(x[:, width // 2 :], centroids, 2)
-    return width, books, probe_share(x, books, k, recall)
+    return books, probe_share(x, books, k, recall)
+
+
+def of_width(rows: DataFrame, width: int) -> DataFrame:
+    """The rows whose vector ``v`` has ``width`` components; a single one gets a 0 beside it."""
+    same = rows.where(F.size("v") == width)
+    if width > 1:
+        return same
+    return same.withColumn("v", F.concat("v", F.array(F.lit(0)).cast(rows.schema["v"].dataType)))
 
 
 def search(vectors: DataFrame, every: int = 20, k: int = 20, recall: float = RECALL, sample: int = SAMPLE, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of each vector whose id is divisible by ``every``.
 
-    Vectors that are null or zero, that hold null or non-finite components, that have no id or another width
-    than the sample's most usual one take no part. Equal scores go to the smaller id. Rows repeated with the
+    Vectors that are null, empty or zero, that hold null or non-finite components or that have no id take no part. The
+    candidates of a query are the vectors of its own width; a job is run for each width in the table. Equal scores go to the smaller id. Rows repeated with the
     same id and vector count once; an id with several vectors is searched with each of them. A query has as
     many rows as it has candidates if these are fewer than ``k``; an empty table gives an empty result.
     """
@@ -143,10 +153,14 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, recall: float = REC
     # The k + 1 smallest ids of equal vectors; the limit works before the shuffle, so a vector that very many rows share stays small.
     few = rows.distinct().withColumn("n", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("n") <= k + 1)
     distinct = stored(few.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "ann-vectors")
-    total = distinct.count()
-    if not total:
-        return spark.createDataFrame([], schema)
-    width, books, share = fit(distinct, total, k, recall, sample)
+    widths = distinct.groupBy(F.size("v").alias("width")).agg(F.count(F.lit(1)).alias("n")).orderBy("width").collect()
+    found = [_search(of_width(distinct, w), of_width(rows, w), max(w, 2), n, every, k, recall, sample) for w, n in widths]
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
+
+
+def _search(distinct: DataFrame, rows: DataFrame, width: int, total: int, every: int, k: int, recall: float, sample: int) -> DataFrame:
+    """The search among vectors of one width: ``distinct`` has a row for each of the ``total`` different ones, with its ids."""
+    books, share = fit(distinct, width, total, k, recall, sample)
     half = width // 2
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +171,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, recall: float = REC
                 [batch.column("ids"), pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array([r.tobytes() for r in flat], pa.binary())], names=["ids", "i", "j", "vec"]
             )
 
-    index = stored(distinct.where(F.size("v") == width).select("ids", "v").mapInArrow(assign, "ids array<long>, i int, j int, vec binary"), "ann-index")
+    index = stored(distinct.select("ids", "v").mapInArrow(assign, "ids array<long>, i int, j int, vec binary"), "ann-index")
     counts = np.zeros((len(books[0]), len(books[1])), np.int64)
     for r in index.groupBy("i", "j").agg(F.count(F.lit(1)).alias("n")).collect():  # a row per cell at most
         counts[r["i"], r["j"]] = r["n"]
@@ -166,7 +180,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, recall: float = REC
     parts = np.maximum(1, -(-counts.sum(axis=1) // PART))
     parts_of = F.element_at(F.array(*[F.lit(int(p)) for p in parts]), F.col("i") + 1)
 
-    asked = rows.where((F.col("vec_id") % every == 0) & (F.size("v") == width)).distinct()
+    asked = rows.where(F.col("vec_id") % every == 0).distinct()
     own_schema = f"v {dict(rows.dtypes)['v']}, key long, own int"
     keyed = asked.groupBy("v").agg(F.min("vec_id").alias("key")).mapInArrow(lambda it: _own_bucket(it, books[0], half, width), own_schema)
     keyed = stored(keyed, "ann-queries")
@@ -248,10 +262,12 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, recall: float = REC
 def brute_force(vectors: DataFrame, every: int, k: int, id_column: str = "vec_id", vector_column: str = "embedding") -> dict[int, list[tuple[int, float]]]:
     """Exact neighbours of small tables, for tests and for measuring recall."""
     rows = usable(vectors, id_column, vector_column).distinct().collect()
-    ids, x = np.array([r["vec_id"] for r in rows], np.int64), np.array([r["v"] for r in rows], np.float64)
     out = {}
-    for q in np.flatnonzero(ids % every == 0):
-        s = x @ x[q]
-        order = [n for n in np.lexsort((ids, -s)) if ids[n] != ids[q]][:k]
-        out[int(ids[q])] = [(int(ids[n]), float(s[n])) for n in order]
+    for width in {len(r["v"]) for r in rows}:
+        same = [r for r in rows if len(r["v"]) == width]
+        ids, x = np.array([r["vec_id"] for r in same], np.int64), np.array([r["v"] for r in same], np.float64)
+        for q in np.flatnonzero(ids % every == 0):
+            s = x @ x[q]
+            order = [n for n in np.lexsort((ids, -s)) if ids[n] != ids[q]][:k]
+            out[int(ids[q])] = [(int(ids[n]), float(s[n])) for n in order]
     return out

@@ -171,6 +171,25 @@ def test_neighbours(spark, monkeypatch):
     assert multi_index.search(vectors(spark, []), every=20, k=20).collect() == []
 
 
+def test_neighbours_of_every_width(spark):
+    """Vectors of one component, and of several widths, each among its own."""
+    rng = random.Random(5)
+    rows = [(i, [rng.gauss(0, 1) for _ in range((1, 2, 3, 8)[i % 4])]) for i in range(240)]
+    rows += [(300, []), (320, [0.0]), (340, [float("nan")])]
+    table = vectors(spark, rows).repartition(3)
+    got = defaultdict(list)
+    for r in multi_index.search(table, every=5, k=6, recall=1.0).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    want = multi_index.brute_force(table, 5, 6)
+    assert set(got) == set(want) == set(range(0, 240, 5))
+    for width in range(4):
+        own = [q for q in want if q % 4 == width]
+        assert all(len(got[q]) == 6 and {v % 4 for v, _ in got[q]} == {width} for q in own)
+        assert sum(len(dict(want[q]).keys() & dict(got[q]).keys()) for q in own) >= 0.9 * 6 * len(own)
+    lone = multi_index.search(vectors(spark, [(i, [float(i + 1)]) for i in range(60)]), every=20, k=20).collect()
+    assert [(r["vec_id"], r["score"]) for r in lone if r["query_id"] == 20][:2] == [(59, 21.0 * 60), (58, 21.0 * 59)] and len(lone) == 60
+
+
 def test_traverse_visits_cells_by_summed_distance():
     import numpy as np
 
