@@ -1,19 +1,24 @@
 """Token counts of whole texts, huge ones by overlapping chunks that are spliced where they agree.
 
-A text longer than one chunk is encoded chunk by chunk, each chunk starting ``overlap`` characters before
-the end of the one before. Either cut may fall inside a word, so the first word of the later chunk and the
-last of the earlier one may be torn. A position is a stable boundary when a word starts there and ASCII
-white space stands before it: no token, piece or normalisation reaches across (see ``tokens``), so both
-encodings agree from there on. The chunks are spliced at the first stable boundary inside the overlap, after
-checking that their tokens do agree up to the last whole word. Where the overlap holds no such boundary (a
-run without spaces), the overlap is widened to twice its size, up to the whole earlier chunk and then
-beyond it, and the chunk is encoded again.
+A text longer than one chunk is encoded chunk by chunk with the library, each chunk starting ``overlap`` characters
+before the end of the one before. Either cut may tear a word. A place is a stable boundary when a word starts there
+behind ASCII white space: no token, piece or normalisation reaches across (see ``tokens``). Two chunks are joined at
+the first stable boundary of their overlap, after checking that in both encodings a token starts there and that ids and
+offsets are equal from there to the last stable boundary of the overlap; the tokens behind it come from the later
+chunk. Where the overlap holds no two such places, or the encodings disagree, the overlap is doubled. Nothing is encoded
+for an overlap without boundaries: they are looked for in the text first.
+
+Where widening has come to the start of the earlier chunk (one run without white space, or encodings that never agree),
+both are encoded once more as one chunk, which then reaches over the next boundary and is at least twice as long. The
+encoded characters therefore stay in proportion to the text. Such a run is held in memory as a whole.
+
+Texts of at most one chunk are encoded word by word through the worker's memo.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,55 +30,66 @@ from candela.llm.tokens import WordIds, tokenizer_path, word_ids, words_of
 CHUNK = 1 << 16
 OVERLAP = 256
 LIMIT = 2048
-_BOUNDARY = re.compile(r"(?<=[ \t\n\r\x0b\x0c])[^ \t\n\r\x0b\x0c]")
+#: Not ``\S`` alone: other white space than ASCII's gives no token, so nothing could be compared there.
+_BOUNDARY = re.compile(r"(?<=[ \t\n\r\x0b\x0c])\S")
 
 
-def chunk_tokens(text: str, memo: WordIds) -> list[bytes]:
-    """Packed token ids of one chunk, word by word."""
-    return memo.ids(words_of(text))
+class Chunk:
+    """The encoding of ``text[start:end]``: token ids, and offsets as places in the whole text."""
 
+    def __init__(self, encode: Callable, text: str, start: int, end: int):
+        self.start, self.end = start, end
+        self.encoding = encode(text[start:end])
+        self.ids: list[int] = self.encoding.ids
 
-def splice(text: str, start: int, cut: int, behind: int, done: list[bytes], later: list[bytes]) -> tuple[int, int] | None:
-    """Where ``done`` (the encoding of ``text[start:cut]``) and ``later`` (that of ``text[behind:...]``) may
-    be joined: (words of ``done`` to keep, words of ``later`` to skip), or None if no stable boundary with
-    an agreeing whole word after it lies in the overlap ``text[behind:cut]``."""
-    found = _BOUNDARY.search(text, behind + 1, cut)
-    if found is None:
-        return None
-    p = found.start()
-    shared = words_of(text[p:cut])
-    whole = len(shared) - 1  # the last one may be torn by the cut
-    if whole < 1:
+    def token_at(self, place: int) -> int | None:
+        """The first of the tokens that start at a place of the text, None if no token starts there."""
+        token = self.encoding.char_to_token(place - self.start)
+        return token if token is not None and self.offset(token)[0] == place else None
+
+    def offset(self, token: int) -> tuple[int, int]:
+        first, last = self.encoding.token_to_chars(token)
+        return first + self.start, last + self.start
+
+
+def joint(done: Chunk, later: Chunk, places: list[int]) -> tuple[int, int] | None:
+    """(tokens of ``done`` up to the joint, tokens of ``later`` before it): the joint is the first of ``places``, stable boundaries
+    inside the overlap, and both encodings agree from it to the last of them. None if they do not."""
+    a, b = (done.token_at(places[0]), done.token_at(places[-1])), (later.token_at(places[0]), later.token_at(places[-1]))
+    if None in a or None in b or a[1] == a[0] or done.ids[a[0] : a[1]] != later.ids[b[0] : b[1]]:
         return None
-    keep = len(done) - len(shared)
-    skip = len(words_of(text[behind:p]))
-    if done[keep : keep + whole] != later[skip : skip + whole]:
+    if any(done.offset(a[0] + k) != later.offset(b[0] + k) for k in range(a[1] - a[0])):
         return None
-    return keep, skip
-
-
-def encode_chunked(text: str, memo: WordIds, chunk: int = CHUNK, overlap: int = OVERLAP) -> Iterator[list[bytes]]:
-    """Packed token ids of ``text``, in order, in parts of about a chunk."""
-    start, cut = 0, min(len(text), chunk)
-    done = chunk_tokens(text[:cut], memo)
-    while cut < len(text):
-        wide, end = overlap, min(len(text), cut + chunk)
-        while True:
-            behind = max(start, cut - wide)
-            later = chunk_tokens(text[behind:end], memo)
-            if behind == start:  # nothing left to align with: the later chunk holds the earlier one
-                done = later
-                break
-            joint = splice(text, start, cut, behind, done, later)
-            if joint is not None:
-                keep, skip = joint
-                yield done[:keep]
-                done = later[skip:]
-                start = _BOUNDARY.search(text, behind + 1, cut).start()
-                break
+    return a[0], b[0]
+
+
+def encode_chunked(text: str, encode: Callable, chunk: int = CHUNK, overlap: int = OVERLAP) -> Iterator[list[int]]:
+    """Token ids of ``text``, in order, in parts of about a chunk. ``encode`` gives the library's encoding of a text."""
+    done = Chunk(encode, text, 0, min(len(text), chunk))
+    start, skip = 0, 0  # the place of the last joint, and the tokens of ``done`` before it
+    while done.end < len(text):
+        cut, wide, met = done.end, overlap, None
+        while met is None and cut - wide > start:
+            places = [m.start() for m in _BOUNDARY.finditer(text, cut - wide + 1, cut)]
+            if len(places) > 1:
+                later = Chunk(encode, text, cut - wide, min(len(text), cut + chunk))
+                met = joint(done, later, places)
             wide *= 2
-        cut = end
-    yield done
+        if met is None:  # nothing to align with: both are encoded again as one
+            beyond = _BOUNDARY.search(text, cut)
+            end = max(cut + max(chunk, cut - start), beyond.start() + overlap if beyond else len(text))
+            done, skip = Chunk(encode, text, start, min(len(text), end)), 0
+        else:
+            yield done.ids[skip : met[0]]
+            done, start, skip = later, places[0], met[1]
+    yield done.ids[skip:]
+
+
+def text_tokens(text: str, memo: WordIds, chunk: int = CHUNK, overlap: int = OVERLAP) -> list[int]:
+    """Tokens of each part of a text."""
+    if len(text) <= chunk:
+        return [sum(map(len, memo.ids(words_of(text)))) // 4]
+    return [len(part) for part in encode_chunked(text, lambda t: memo.tokenizer.encode(t, add_special_tokens=False), chunk, overlap)]
 
 
 def token_counts(docs: DataFrame, tokenizer: str | None = None, limit: int = LIMIT, chunk: int = CHUNK, overlap: int = OVERLAP, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -92,7 +108,7 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None, limit: int = LIM
             n_bytes, n_tokens, n_chunks = [], [], []
             for start, stop in slices(batch):
                 for text in texts(batch, start, stop):
-                    parts = [sum(map(len, part)) // 4 for part in encode_chunked(text, memo, chunk, overlap)]
+                    parts = text_tokens(text, memo, chunk, overlap)
                     n_bytes.append(len(text) if text.isascii() else len(text.encode()))
                     n_tokens.append(sum(parts))
                     n_chunks.append(len(parts))

@@ -45,12 +45,59 @@ def test_pairs_that_merge_are_not_compatible():
     assert all(bpe.encoder(tokenizer_path()).piece(t.rstrip("\0")) == [i] for t, i in list(enc.by_text.items())[600:3000:37] if t.endswith("\0"))
 
 
+def encode(text):
+    return load(tokenizer_path()).encode(text, add_special_tokens=False)
+
+
 @pytest.mark.parametrize("chunk,overlap", [(37, 5), (64, 1), (1000, 16)])
 def test_chunked_equals_whole(chunk, overlap):
-    memo = WordIds(tokenizer_path())
-    for text in [*random_texts(200, 5), "x" * 3000 + " y", "ab " * 500, " " * 300 + "z", "aa\n" + "b" * 99 + "\tc"]:
-        parts = list(token_counts.encode_chunked(text, memo, chunk, overlap))
-        assert b"".join(p for part in parts for p in part) == np.array(ids_of(text), "<u4").tobytes()
+    long = " ".join(random_texts(120, 6))
+    for text in [*random_texts(200, 5), long, "x" * 3000 + " y", "ab " * 500, " " * 300 + "z", "aa\n" + "b" * 99 + "\tc", "", "a b\xa0 \x85 c " * 90]:
+        parts = list(token_counts.encode_chunked(text, encode, chunk, overlap))
+        assert [i for part in parts for i in part] == ids_of(text)
+        assert sum(token_counts.text_tokens(text, WordIds(tokenizer_path()), chunk, overlap)) == len(ids_of(text))
+    assert len(list(token_counts.encode_chunked("ab " * 500, encode, chunk, overlap))) >= 1500 // chunk
+
+
+def encoded_characters(text, tokenizer, chunk, overlap):
+    """(ids, characters handed to the tokenizer, calls of it)."""
+    handed = []
+
+    def call(t):
+        handed.append(len(t))
+        return tokenizer.encode(t, add_special_tokens=False)
+
+    ids = [i for part in token_counts.encode_chunked(text, call, chunk, overlap) for i in part]
+    return ids, sum(handed), len(handed)
+
+
+def test_chunks_that_disagree_widen_their_overlap():
+    """Tokens of two words each: chunks of another parity than the one before never agree, so the check has to fail."""
+    from tokenizers import Regex, Tokenizer
+    from tokenizers.models import WordLevel
+    from tokenizers.pre_tokenizers import Split
+
+    rng = random.Random(1)
+    words = ["ab", "c", "def"]
+    vocab = {t: n for n, t in enumerate(["[?]", *words, *(f"{a} {b}" for a in words for b in words)])}
+    pairs = Tokenizer(WordLevel(vocab, unk_token="[?]"))
+    pairs.pre_tokenizer = Split(Regex(r"\S+ \S+|\S+"), "removed", invert=True)
+    refused = 0
+    for _ in range(30):
+        text = " ".join(rng.choice(words) for _ in range(400))
+        ids, _, calls = encoded_characters(text, pairs, 100, 12)
+        assert ids == pairs.encode(text).ids
+        refused += calls > len(text) / 100 + 1
+    assert refused > 20
+    done, later = (token_counts.Chunk(pairs.encode, "ab c def ab c def", a, b) for a, b in ((0, 17), (3, 17)))
+    assert token_counts.joint(done, later, [5, 12]) is None  # the later chunk pairs "c def", "ab c"
+
+
+def test_runs_without_white_space_are_encoded_in_proportion():
+    rng = random.Random(8)
+    for text in ["".join(rng.choice("abcdefgh,.1") for _ in range(200_000)), "w " * 40_000 + "x" * 150_000 + " y" * 40_000]:
+        ids, handed, _ = encoded_characters(text, load(tokenizer_path()), 4096, 64)
+        assert ids == ids_of(text) and handed < 2 * len(text)
 
 
 def test_tokenizers_that_keep_white_space_are_refused():
