@@ -4,10 +4,14 @@ Every document becomes an index entry (64-bit key of its bytes, id, SHA-256). Th
 one bucket and doubles, splitting each bucket that holds more than ``capacity`` distinct keys by the next
 leading bit of the key, until no bucket is overfull or ``max_depth`` is reached. Buckets are key ranges,
 so the index is written range-partitioned: every owner task holds a run of buckets, sorted by key, and a
-key with very many entries is spread over several owners. Entries that share a key are chained by their
-bytes: texts whose key is met twice are grouped by (key, bytes) with map-side combining, so two texts that
-collide on the key become two chains. Texts with a unique key never leave their scan: a bitmap of fixed
-size, made from the repeated keys, keeps them out of the shuffle.
+key with very many entries is spread over several owners.
+
+Texts whose key is met twice look their bucket up in the directory and go there: first every task sums up what it
+holds of a text and slices of a text are put together (so one that a third of all rows share is a few rows), then
+the rows move to the owners by ranges of (bucket, key). An owner chains the texts of a key by their bytes, so two
+texts that collide on the key become two chains, and an entry finds its chain through its bucket. Texts with a
+unique key never leave their scan: a bitmap of fixed size, made from the repeated keys, keeps them out of the
+shuffle.
 """
 
 from __future__ import annotations
@@ -22,6 +26,8 @@ from candela.llm.common import ship, shared_folder, stored
 BITMAP_BITS = 1 << 27
 #: Chain rows are copied to this many salts, so that a key held by a third of all rows meets its chain in as many tasks.
 SALTS = 16
+#: Slices in which copies of a text are summed up before the rest of them moves to its owner.
+SLICES = 4
 
 
 def _key(body: Column, key_bits: int) -> Column:
@@ -55,12 +61,17 @@ def _bitmap(keys: DataFrame) -> DataFrame:
     )
 
 
-def _among(docs: DataFrame, keys: DataFrame, key_bits: int) -> DataFrame:
-    """(doc_id, body, key) of the documents whose key may be one of ``keys``; no shuffle of texts."""
+def _placed(rows: DataFrame, tree: DataFrame, max_depth: int) -> DataFrame:
+    """``rows`` with the bucket that the directory gives their key, and its depth."""
+    return rows.withColumn("leaf", F.shiftrightunsigned("key", 64 - max_depth)).join(F.broadcast(tree), "leaf").drop("leaf")  # at most 2**max_depth rows
+
+
+def _among(docs: DataFrame, keys: DataFrame, tree: DataFrame, max_depth: int, key_bits: int) -> DataFrame:
+    """(doc_id, body, key, bucket, depth) of the documents whose key may be one of ``keys``; no shuffle of texts."""
     body = F.coalesce(F.col("text"), F.lit(""))
     pos = F.pmod(F.col("key"), F.lit(BITMAP_BITS))
     byte = "cast(conv(hex(substring(bits, 1 + cast(floor(bit / 8) as int), 1)), 16, 10) as int)"
-    return (
+    found = (
         docs.select("doc_id", body.alias("body"), _key(body, key_bits).alias("key"))
         .withColumn("range", F.bitmap_bucket_number(pos))
         .withColumn("bit", F.bitmap_bit_position(pos))
@@ -68,6 +79,7 @@ def _among(docs: DataFrame, keys: DataFrame, key_bits: int) -> DataFrame:
         .where(F.expr(f"shiftright({byte}, cast(bit % 8 as int)) & 1 = 1"))
         .select("doc_id", "body", "key")
     )
+    return _placed(found, tree, max_depth)
 
 
 def build_index(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", capacity: int = 50_000, max_depth: int = 16, key_bits: int = 64, path: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -82,8 +94,7 @@ def build_index(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     tree = stored(directory(keys, capacity, max_depth), "dedup-directory")
     path = path or shared_folder(spark, "dedup-index")
     (
-        log.withColumn("leaf", F.shiftrightunsigned("key", 64 - max_depth))
-        .join(F.broadcast(tree), "leaf")  # at most 2**max_depth rows
+        _placed(log, tree, max_depth)
         .select("bucket", "depth", "key", "doc_id", "text_sha256")
         .repartitionByRange("bucket", "key", "doc_id")
         .sortWithinPartitions("bucket", "key", "doc_id")
@@ -92,10 +103,16 @@ def build_index(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     return spark.read.parquet(path), keys, tree
 
 
-def chains(docs: DataFrame, keys: DataFrame, key_bits: int = 64) -> DataFrame:
-    """(key, body, keep_id, group_size) of the texts whose key repeats, compared byte by byte; map-side
-    combining leaves one row per task of a text that very many documents share."""
-    return _among(docs, keys.where("n > 1"), key_bits).groupBy("key", "body").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+def chains(docs: DataFrame, keys: DataFrame, tree: DataFrame, max_depth: int = 16, key_bits: int = 64) -> DataFrame:
+    """(bucket, key, body, keep_id, group_size, chains) of the texts whose key repeats; ``chains`` of them share the key.
+
+    The exchange by ranges of (bucket, key) is the last one: owners group and count the chains of their key ranges in place."""
+    repeated = _among(docs, keys.where("n > 1"), tree, max_depth, key_bits)
+    sliced = repeated.withColumn("slice", F.pmod(F.xxhash64("doc_id"), F.lit(SLICES)))
+    sums = sliced.groupBy("bucket", "key", "body", "slice").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    owned = sums.repartitionByRange("bucket", "key").groupBy("bucket", "key", "body")
+    chained = owned.agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+    return chained.withColumn("chains", F.count(F.lit(1)).over(Window.partitionBy("bucket", "key")))
 
 
 def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", capacity: int = 50_000, max_depth: int = 16, key_bits: int = 64, path: str | None = None) -> DataFrame:
@@ -109,32 +126,30 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     """
     ship(docs.sparkSession)
     docs = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    entries, keys, _ = build_index(docs, capacity=capacity, max_depth=max_depth, key_bits=key_bits, path=path)
-    linked = stored(
-        chains(docs, keys, key_bits)
-        .withColumn("chains", F.count(F.lit(1)).over(Window.partitionBy("key")))
-        .withColumn("body", F.when(F.col("chains") > 1, F.col("body"))),
-        "dedup-chains",
-    )
+    entries, keys, tree = build_index(docs, capacity=capacity, max_depth=max_depth, key_bits=key_bits, path=path)
+    body = F.when(F.col("chains") > 1, F.col("body")).alias("body")
+    linked = stored(chains(docs, keys, tree, max_depth, key_bits).select("bucket", "key", body, "keep_id", "group_size", "chains"), "dedup-chains")
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     out = ["doc_id", "keep_id", "group_size", F.expr("keep_id <=> doc_id").alias("kept"), "text_sha256", "bucket", "depth"]
 
-    # Keys with one chain: an entry finds it by the key alone.
-    plain = linked.where("chains = 1 and group_size > 1").select("key", "keep_id", "group_size", salts)
-    crowded = stored(linked.where("chains > 1").drop("chains"), "dedup-collisions")
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
+
+    # Keys with one chain: an entry finds it in its bucket by the key alone.
+    place = ["bucket", "key", "salt"]
+    plain = linked.where("chains = 1 and group_size > 1").select("bucket", "key", "keep_id", "group_size", salts)
+    crowded = linked.where("chains > 1").drop("chains")
     simple = (
-        entries.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-        .join(crowded.select("key").distinct().select("key", salts), ["key", "salt"], "left_anti")
-        .join(plain, ["key", "salt"], "left")
+        entries.withColumn("salt", salt)
+        .join(crowded.select("bucket", "key").distinct().select("bucket", "key", salts), place, "left_anti")
+        .join(plain, place, "left")
         .withColumn("keep_id", F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")))
         .withColumn("group_size", F.coalesce("group_size", F.lit(1).cast("long")))
     )
     # Keys on which different texts collide: their documents find the chain by the bytes themselves.
-    places = entries.join(crowded.select("key").distinct(), "key", "left_semi").select("key", "bucket", "depth").distinct()
     collided = (
-        _among(docs, crowded, key_bits)
-        .join(crowded, ["key", "body"])
-        .join(places, "key")
+        _among(docs, crowded, tree, max_depth, key_bits)
+        .withColumn("salt", salt)
+        .join(crowded.select("*", salts), [*place, "body"])
         .withColumn("text_sha256", F.sha2(F.col("body").cast("binary"), 256))
     )
     return simple.select(*out).unionByName(collided.select(*out))
@@ -145,9 +160,10 @@ def drop_copies(docs: DataFrame, **options) -> DataFrame:
 
     Null and empty texts are equal, so of all of them the row with the largest id stays. Rows without an id stay
     only where no row of their text has one, once. An empty table gives an empty result."""
-    columns = docs.columns
-    marked = exact_dedup(docs, **options).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).distinct()
-    own = docs.withColumn("__id", F.col("doc_id")).withColumn("__sha", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
-    same = own["__id"].eqNullSafe(marked["__id"]) & (own["__sha"] == marked["__sha"])
-    one = Window.partitionBy("__id", "__sha").orderBy("__id")
-    return own.join(marked, same, "left_semi").withColumn("__n", F.row_number().over(one)).where("__n = 1").select(*columns)
+    columns, by = docs.columns, ["__none", "__id", "__sha"]
+    # A text instead of a null id: the join and the window then share one exchange of the documents.
+    own_id = lambda rows: rows.withColumn("__none", F.col("doc_id").isNull()).withColumn("__id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    marked = own_id(exact_dedup(docs, **options).where("kept")).select("__none", "__id", F.col("text_sha256").alias("__sha")).distinct()
+    own = own_id(docs).withColumn("__sha", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    one = Window.partitionBy(*by).orderBy("__id")
+    return own.join(marked, by, "left_semi").withColumn("__n", F.row_number().over(one)).where("__n = 1").select(*columns)

@@ -46,6 +46,21 @@ def test_dedup_has_no_python(odd):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_chains_are_made_by_the_owners_of_the_buckets(odd):
+    docs = odd.select("doc_id", "text")
+    _, keys, tree = exact_dedup.build_index(docs, capacity=2, max_depth=4)
+    made = exact_dedup.chains(docs, keys, tree, 4)
+    got = {(r["bucket"], r["body"]): (r["keep_id"], r["group_size"]) for r in made.collect()}
+    assert {n for _, n in got.values()} == {2, 3, 6} and len({b for b, _ in got}) > 1
+    # Without a part of the directory, nothing is found in that part's buckets.
+    lost = next(iter(got))[0]
+    rest = exact_dedup.chains(docs, keys, tree.where(F.col("bucket") != lost), 4).collect()
+    assert {(r["bucket"], r["body"]) for r in rest} == {k for k in got if k[0] != lost}
+    # Nothing is exchanged above the owners' ranges.
+    exchanges = re.findall(r"Exchange (\w+)\(", made._jdf.queryExecution().executedPlan().toString())
+    assert exchanges[0] == "rangepartitioning" and exchanges[1] == "hashpartitioning"
+
+
 def test_drop_copies_keeps_columns_and_one_of_repeated_rows(odd, empty):
     rows = exact_dedup.drop_copies(odd)
     assert rows.columns == odd.columns
