@@ -59,50 +59,60 @@ def route(patterns: dict[tuple, int], wanted: dict, repeats: int = REPEATS) -> d
     """Min-cost flow: pattern -> {source: words}. ``patterns`` has each pattern's words (the capacity of one
     repetition), ``wanted`` each source's quota. Repetition r (from 0) costs 2**r - 1 a word.
 
-    Successive cheapest augmenting paths over all unfilled sources. Only repetitions cost anything, so a
-    path costs what the current repetition of its last pattern costs; on its way it may take words from
-    another source that can be served elsewhere. What cannot be routed stays unfilled.
+    Only repetitions cost anything, so an augmenting path costs what the current repetition of its last pattern
+    costs, and the cheapest paths are found repetition by repetition. In each, a source first takes words straight
+    from its own patterns; what it still lacks comes over shortest paths, on which it may take words from another
+    source that can be served elsewhere. A search that finds nothing has seen a closed set of sources: none of
+    them is searched again in this repetition. What cannot be routed stays unfilled.
     """
     flow: dict[tuple, dict] = {p: dict.fromkeys(p, 0) for p in patterns}
     used = dict.fromkeys(patterns, 0)
-    holders: dict = {s: [p for p in patterns if s in flow[p] and patterns[p] > 0] for s in wanted}
+    holders: dict = {s: [] for s in wanted}
+    for p, words in patterns.items():
+        for s in flow[p] if words > 0 else ():
+            if s in holders:
+                holders[s].append(p)
     left = {s: round(q) for s, q in wanted.items()}
 
-    def cheapest(start) -> tuple | None:
-        """(cost, room, pattern, [(source, pattern it takes words of, source that gives them up)...])."""
-        came, queue, best = {start: None}, deque([start]), None
+    def shortest(start, r: int, closed: set) -> tuple | None:
+        """(pattern with room, source that takes of it, [(source, pattern it takes words of, source that gives them up)...])."""
+        came, queue = {start: None}, deque([start])
         while queue:
             source = queue.popleft()
             for p in holders[source]:
-                r, into = divmod(used[p], patterns[p])
-                if r < repeats and (best is None or 2**r - 1 < best[0]):
-                    best = (2**r - 1, patterns[p] - into, source, p)
+                if used[p] < (r + 1) * patterns[p]:
+                    path, at = [], source
+                    while came[at] is not None:
+                        path.append((*came[at], at))
+                        at = came[at][0]
+                    return p, source, path
                 for giver, words in flow[p].items():
-                    if words > 0 and giver not in came:
+                    if words > 0 and giver not in came and giver not in closed:
                         came[giver] = (source, p)
                         queue.append(giver)
-        if best is None:
-            return None
-        cost, room, end, p = best
-        path, at = [], end
-        while came[at] is not None:
-            taker, via = came[at]
-            path.append((taker, via, at))
-            at = taker
-        return cost, room, end, p, path
-
-    while True:
-        found = [(c[0], i, s, c) for i, s in enumerate(wanted) if left[s] > 0 and (c := cheapest(s))]
-        if not found:
-            return flow
-        _, _, s, (_, room, end, p, path) = min(found, key=lambda x: x[:2])
-        amount = min([left[s], room, *(flow[via][giver] for _, via, giver in path)])
-        flow[p][end] += amount
-        used[p] += amount
-        for taker, via, giver in path:
-            flow[via][giver] -= amount
-            flow[via][taker] += amount
-        left[s] -= amount
+        closed.update(came)
+        return None
+
+    for r in range(repeats):
+        for s in wanted:
+            for p in holders[s]:
+                amount = min(left[s], (r + 1) * patterns[p] - used[p])
+                if amount > 0:
+                    flow[p][s] += amount
+                    used[p] += amount
+                    left[s] -= amount
+        closed: set = set()
+        for s in wanted:
+            while left[s] > 0 and s not in closed and (found := shortest(s, r, closed)):
+                p, end, path = found
+                amount = min([left[s], (r + 1) * patterns[p] - used[p], *(flow[via][giver] for _, via, giver in path)])
+                flow[p][end] += amount
+                used[p] += amount
+                for taker, via, giver in path:
+                    flow[via][giver] -= amount
+                    flow[via][taker] += amount
+                left[s] -= amount
+    return flow
 
 
 def _choose(units: DataFrame, rests: dict[int, int]) -> tuple[list[tuple], dict[int, tuple]]:

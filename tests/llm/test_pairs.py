@@ -288,3 +288,29 @@ def test_mix_with_a_document_larger_than_half_its_source(spark, seed):
     total = sum(len(t) // 2 for _, t, _, _ in rows)
     got = mixing.mix(make_docs(spark, rows), share=180_000 / total, seed=seed).collect()
     assert sum(r["taken"] for r in got) == pytest.approx(180_000, rel=0.01)
+
+
+def test_flow_grows_with_its_patterns():
+    """As many sources as the bound on patterns allows, and as many pairs of sources."""
+    import time
+
+    rng = random.Random(12)
+    alone = {(s,): rng.randint(1, 1000) for s in range(mixing.MAX_PATTERNS)}
+    pairs = {}
+    while len(pairs) < mixing.MAX_PATTERNS:
+        pairs[tuple(sorted(rng.sample(range(20_000), 2)))] = rng.randint(1, 1000)
+    for patterns in (alone, pairs):
+        sizes = Counter()
+        for p, words in patterns.items():
+            for s in p:
+                sizes[s] += words
+        wanted = mixing.quotas(sizes, total=sum(patterns.values()))
+        begun = time.monotonic()
+        flow = mixing.route(patterns, wanted)
+        assert time.monotonic() - begun < 60
+        assert all(sum(f.values()) <= mixing.REPEATS * patterns[p] for p, f in flow.items())
+        got = Counter()
+        for f in flow.values():
+            got.update(f)
+        assert all(got[s] <= round(w) for s, w in wanted.items())
+        assert sum(got.values()) >= 0.999 * sum(map(round, wanted.values()))
