@@ -122,7 +122,7 @@ def infer(part: list[str], names: list[str], logp: np.ndarray, steps: int = STEP
         cuts = np.searchsorted(sub, np.arange(len(mixed)))
         value = best_value[mixed].copy()
         for k in range(2, len(names) + 1):
-            allowed = np.full((len(mixed), len(names)), 1e-12)
+            allowed = np.zeros((len(mixed), len(names)))  # a share of 0 stays 0, any other would grow back
             np.put_along_axis(allowed, rank[:, :k], 1.0, axis=1)
             found, like = _proportions(p[rows], sub, n[rows], cuts, allowed, steps)
             better = like - (k - 1) * cost[mixed] > value
