@@ -26,8 +26,8 @@ DICTIONARY = 96 * 1024
 LEVEL = 3
 #: Labelled documents of each class that are learned from, at most: half for the dictionaries, half for the calibration.
 PER_CLASS = 3000
-#: Blocks that a learned document adds to a dictionary's training text, at most, spread over the whole document.
-BLOCKS_PER_TEXT = 8
+#: Blocks that a dictionary is trained on, at most: of all blocks of its documents, those with the smallest hash.
+SAMPLE_BLOCKS = 8192
 THRESHOLD = 0.7
 FEATURES = 5
 
@@ -79,19 +79,17 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", per_class:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ys = batch.column("y").to_pylist()
             for start, stop in slices(batch):
-                y, parts = [], []
-                for k, raw in enumerate(raw_texts(batch, start, stop), start):
-                    all_blocks = blocks(raw)
-                    own = all_blocks[:: max(1, -(-len(all_blocks) // BLOCKS_PER_TEXT))]
-                    parts += own
-                    y += [ys[k]] * len(own)
-                yield pa.RecordBatch.from_arrays([pa.array(y, pa.int32()), pa.array(parts, pa.binary())], names=["y", "block"])
-
-    texts = {0: [], 1: []}
-    for r in rows.where("part = 0").mapInArrow(cut, "y int, block binary").collect():
-        texts[r["y"]].append(bytes(r["block"]))
+                parts = []
+                for raw in raw_texts(batch, start, stop):
+                    parts += blocks(raw)
+                yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary())], names=["block"])
+
+    def text_of(y: int) -> list[bytes]:
+        every = rows.where((F.col("part") == 0) & (F.col("y") == y)).mapInArrow(cut, "block binary")
+        return [bytes(r["block"]) for r in every.orderBy(F.xxhash64(F.lit(13), "block"), "block").limit(SAMPLE_BLOCKS).collect()]
+
+    texts = {y: text_of(y) for y in (0, 1)}
     model = {"good": _dictionary(sorted(texts[1]), DICTIONARY), "bad": _dictionary(sorted(texts[0]), DICTIONARY), "prior": prior(counts), "beta": None}
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,6 +13,7 @@ import pytest
 import zstandard
 
 from candela.llm import language, quality, toxicity
+from candela.llm.labelled import logistic
 from tests.llm.conftest import odd_rows
 
 WORDS = ["insulto", "gruppen", "Gruppe,", "haus", "hat", "ok", "<|x|>", "naïve", "ΑΣΑ", "langeswort"]
@@ -43,6 +44,39 @@ def test_machine_score_is_the_double_sum_over_pairs():
         assert got == pytest.approx(1 / (1 + math.exp(-min(30, max(-30, z)))), abs=1e-9)
 
 
+def matched_pairs(n, rng):
+    """(label, features): one of two insults, one of two groups, some noise; only an insult with its own group is toxic."""
+    out = []
+    for _ in range(n):
+        insult, group = rng.randrange(2), rng.randrange(2)
+        out.append((int(insult == group), sorted([insult, 2 + group, *(4 + k for k in range(20) if rng.random() < 0.2)])))
+    return out
+
+
+def test_pairs_are_learned_that_linear_weights_cannot_tell():
+    rng = random.Random(3)
+    seen, unseen = matched_pairs(1500, rng), matched_pairs(500, rng)
+    w0, w, v = toxicity.train(seen, 24, 0.5)
+    where = np.repeat(np.arange(len(unseen)), [len(x) for _, x in unseen])
+    index = np.array([i for _, x in unseen for i in x])
+    z, _ = toxicity.margin(w0, w, v, where, index, len(unseen))
+    dense = lambda rows: np.array([[float(i in x) for i in range(24)] for _, x in rows])
+    beta = logistic(dense(seen), np.array([y for y, _ in seen], float), np.ones(len(seen)))
+    linear = np.column_stack([dense(unseen), np.ones(len(unseen))]) @ beta
+    right = lambda z: np.mean((z > 0) == np.array([y == 1 for y, _ in unseen]))
+    assert right(z) >= 0.98 and right(linear) <= 0.6
+
+
+def test_every_block_of_a_learned_text_trains_the_dictionaries(spark, monkeypatch):
+    lines = {y: [f"{'careful' if y else 'CLICK'} {y} {k} " * 150 for k in range(40)] for y in (0, 1)}  # 40 lines of over a block each
+    docs = spark.createDataFrame([(i, "".join(lines[i % 2])) for i in range(60)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 2) as quality")
+    found = []
+    monkeypatch.setattr(quality, "_dictionary", lambda texts, size: found.append(set(texts)) or b"")
+    quality.fit(docs, labels)
+    assert found == [set(quality.blocks("".join(lines[y]).encode())) for y in (1, 0)]
+
+
 def test_quality_score_is_the_calibrated_size_difference(odd):
     good, bad = b"well formed sentences about careful work. " * 30, b"BUY now!!! click $$$ " * 60
     beta = np.random.default_rng(2).normal(0, 0.2, 3 * quality.FEATURES)
