@@ -12,10 +12,12 @@ Documents with equal shingle sets are one class. Two sets link when their Jaccar
    shingle pass the size filter and the positional filter; their members are expanded and verified.
 
 All pairs inside a long posting list would grow with the square of a family of near copies. So the pairs are
-verified in rounds. The first few compare each group with one centre of each of its posting lists, drawn anew
-for every list and round; what links is joined into components. The last takes every candidate pair that is
-left between *different* components. A pair inside a component could not change the result, so no link that
-matters is left out, and where a family has become one component nothing of it is enumerated.
+verified in rounds. The first compares each group with one centre of each of its families, the next ones with
+centres drawn anew for every posting list, more in each round; what links is joined into components, and prefix
+shingles that can lead to no other component any more are dropped. Rounds go on while all pairs left between
+components are more than the next round would compare. The last takes every candidate pair that is left between
+*different* components. A pair inside a component could not change the result, so no link that matters is left
+out, and where a family has become one component nothing of it is enumerated.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ TOKENS_PER_RANGE, TOKENS_PER_FLUSH = 4_000_000, 2_000_000
 #: Slices in which a task counts its range, one after the other.
 SLICES = 8
 #: Seeds of the centres that each round draws, before all remaining pairs are taken; only the work depends on it.
-CENTRES = (range(1), range(1, 3), range(3, 5))
+CENTRES = (range(1), range(1, 3), range(3, 11), range(11, 27))
 #: Pairs of 16 bytes that are sent to every executor, at most (16 MB).
 BROADCAST_PAIRS = 1_000_000
 #: Members of a unit whose shingles are united for the test of a pair of units, about.
@@ -280,6 +282,12 @@ def _passes(na: Column, pa_: Column, nb: Column, pb: Column, percent: int) -> Co
     return (na * 100 >= nb * percent) & (nb * 100 >= na * percent) & (rest * (100 + percent) >= (na + nb) * percent)
 
 
+def _only(sets: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of ``sets`` named by the stored ``keys``: while these are few enough to be sent to every executor, the
+    others are left out before a shuffle; with more they are left to the join that follows."""
+    return sets.join(F.broadcast(keys), "key", "left_semi") if keys.count() <= BROADCAST_PAIRS else sets
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) of set keys that link, compared on their whole sets.
 
@@ -303,19 +311,18 @@ def _merged(placed: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _lists(groups: DataFrame, of: DataFrame) -> DataFrame:
-    """The posting lists: a row for each prefix shingle of the units ``of`` (gid, comp, ...). Groups meet their
+    """The posting lists: a row for each prefix shingle of the units ``of`` (gid, ...). Groups meet their
     units before their prefixes are expanded."""
-    whole = groups.join(of, "gid").select(*of.columns, "n", "single", F.posexplode("prefix").alias("at", "token"))
-    return whole.withColumn("pos", F.col("single") + F.col("at")).drop("single", "at")
+    return groups.join(of, "gid").select(*of.columns, "n", F.explode("prefix").alias("p")).select(*of.columns, "n", "p.token", "p.pos")
 
 
-def _to_centres(groups: DataFrame, placed: DataFrame, seeds: Iterable[int], percent: int) -> DataFrame:
-    """Pairs (a, b) of keys: the members of each unit (group, component), and the first member of a centre
-    unit of another component. Every posting list draws a centre of its own for each seed; there are as many
-    rows as postings for a seed, at most."""
-    units = placed.groupBy("gid", "comp").agg(F.min("key").alias("head"))
-    lists = _lists(groups, units)
-    draw = lambda seed: F.min(F.struct(F.xxhash64(F.lit(seed), "token", "comp", "gid").alias("h"), "comp", "head", "n", "pos"))
+def _to_centres(lists: DataFrame, placed: DataFrame, seeds: Iterable[int], percent: int, each: bool) -> DataFrame:
+    """Pairs (a, b) of keys: the members of each unit (group, component) of ``lists``, and the first member of a centre
+    unit of another component. Every posting list has a centre for each seed, drawn for ``each`` list of its own or
+    by one order of all units, so that lists of the same units have the same one; there are as many rows as
+    postings for a seed, at most."""
+    own = ["token"] if each else []
+    draw = lambda seed: F.min(F.struct(F.xxhash64(F.lit(seed), *own, "comp", "gid").alias("h"), "comp", "head", "n", "pos"))
     drawn = lists.groupBy("token").agg(F.array_distinct(F.array(*map(draw, seeds))).alias("c"), F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y")
     centre = drawn.select("token", F.explode("c").alias("c")).select("token", F.col("c.comp").alias("cc"), F.col("c.head").alias("b"), F.col("c.n").alias("cn"), F.col("c.pos").alias("cp"))
     near = (
@@ -327,32 +334,39 @@ def _to_centres(groups: DataFrame, placed: DataFrame, seeds: Iterable[int], perc
     return near.join(placed, ["gid", "comp"]).select(F.col("key").alias("a"), "b")
 
 
-def _reachable(lists: DataFrame, percent: int) -> DataFrame:
-    """The postings that may have a partner in another component: the smallest set of the shingle's list is the
-    easiest one to link with, and even it needs enough shingles from the posting on."""
-    ends = lists.groupBy("token").agg(F.min("n").alias("floor"), F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y")
+def _reachable(groups: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+    """``groups`` with those prefix shingles that may lead to a partner in another component: the smallest set of the
+    shingle's list is the easiest one to link with, and even it needs enough shingles from the posting on."""
+    lists = _lists(groups, placed.groupBy("gid").agg(F.min("comp").alias("x"), F.max("comp").alias("y")))
+    ends = lists.groupBy("token").agg(F.min("n").alias("floor"), F.min("x").alias("x"), F.max("y").alias("y")).where("x != y")
     smallest = f"greatest(floor, ceil(n * {percent} / 100))"
-    near = lists.join(ends.select("token", "floor"), "token").where(f"(n - pos) * {100 + percent} >= (n + {smallest}) * {percent}")
-    return near.drop("floor")
+    near = lists.drop("x", "y").join(ends.select("token", "floor"), "token").where(f"(n - pos) * {100 + percent} >= (n + {smallest}) * {percent}")
+    return near.groupBy("gid").agg(F.first("n").alias("n"), F.collect_list(F.struct("token", "pos")).alias("prefix"))
+
+
+def _left(lists: DataFrame) -> tuple[int, int]:
+    """The number of postings, and of pairs of postings with one shingle in different components."""
+    of = lists.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("token").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("own"))
+    postings, twice = of.agg(F.sum("c"), F.sum(F.col("c").cast("decimal(38,0)") * F.col("c") - F.col("own"))).first()
+    return int(postings or 0), int(twice or 0) // 2
 
 
 def _bundles(placed: DataFrame, sets: DataFrame) -> DataFrame:
     """(gid, comp, bundle, n, members, union): the members of each unit in bundles of about ``BUNDLE``, with
     all shingles that one of a bundle's members holds."""
     size = placed.groupBy("gid", "comp").agg(F.ceil(F.count(F.lit(1)) / BUNDLE).alias("bundles"))
-    dealt = placed.join(size, ["gid", "comp"]).withColumn("bundle", F.pmod(F.xxhash64("key"), F.col("bundles")))
-    whole = dealt.join(sets.select("key", "n", "tokens"), "key").groupBy("gid", "comp", "bundle")
+    dealt = stored(placed.join(size, ["gid", "comp"]).withColumn("bundle", F.pmod(F.xxhash64("key"), F.col("bundles"))), "join-dealt")
+    whole = dealt.join(_only(sets, dealt.select("key")).select("key", "n", "tokens"), "key").groupBy("gid", "comp", "bundle")
     return whole.agg(
         F.first("n").alias("n"), F.collect_list("key").alias("members"), F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union")
     )
 
 
 def _crossing(groups: DataFrame, placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """All candidate pairs (a, b) of keys in different components. Posting lists are first reduced to those that
-    can have a partner, then to (shingle, component), so nothing is enumerated inside a component. Pairs of units
-    are tested by the unions of their members, in bundles, before any member is paired."""
-    lists = _lists(groups, placed.select("gid", "comp").distinct())
-    lists = stored(_reachable(_reachable(lists, percent), percent), "join-postings")
+    """All candidate pairs (a, b) of keys in different components. ``groups`` have the shingles that can have a
+    partner; posting lists are reduced to (shingle, component), so nothing is enumerated inside a component. Pairs
+    of units are tested by the unions of their members, in bundles, before any member is paired."""
+    lists = stored(_lists(groups, placed.select("gid", "comp").distinct()), "join-postings")
     spans = lists.groupBy("token", "comp").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("rest"))
     several = spans.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("token")
     spans = stored(spans.join(several, "token"), "join-spans")
@@ -384,14 +398,23 @@ def _crossing(groups: DataFrame, placed: DataFrame, sets: DataFrame, percent: in
 
 def component_map(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(key, gid, comp) of every set: see the module's head. ``comp`` is the least key of the component."""
-    groups = stored(sets.dropDuplicates(["gid"]).select("gid", "n", "single", "prefix"), "join-groups")
+    prefix = F.transform("prefix", lambda token, at: F.struct(token.alias("token"), (F.col("single") + at).alias("pos")))
+    groups = stored(sets.dropDuplicates(["gid"]).select("gid", "n", prefix.alias("prefix")), "join-groups")
     placed = stored(sets.select("key", "gid", F.col("key").alias("comp")), "join-placed")
-    for seeds in CENTRES:
-        found = stored(verified(_to_centres(groups, placed, seeds, percent), sets, percent), "join-links")
+    for k, seeds in enumerate(CENTRES):
+        lists = _lists(groups, placed.groupBy("gid", "comp").agg(F.min("key").alias("head")))
+        if k > 1:
+            lists = stored(lists, "join-lists")
+            postings, pairs = _left(lists)
+            if pairs <= postings * len(seeds):
+                break
+        found = stored(verified(_to_centres(lists, placed, seeds, percent, each=k > 0), sets, percent), "join-links")
         if found.isEmpty():
             break
         placed = _merged(placed, found)
+        groups = stored(_reachable(groups, placed, percent), "join-groups")
         release(sets.sparkSession)
+    groups = _reachable(groups, placed, percent)
     found = stored(verified(_crossing(groups, placed, sets, percent), sets, percent), "join-links")
     return placed if found.isEmpty() else _merged(placed, found)
 

@@ -150,6 +150,29 @@ def test_keep_one_tells_rows_with_one_id_apart(spark):
     assert Counter(map(tuple, got)) == Counter(want + rows[-5:])
 
 
+def test_a_loose_family_is_joined_before_all_pairs_are_taken(spark, monkeypatch):
+    """Members of which one pair in some links: centres must have joined most of them, or all pairs of the family are enumerated."""
+    rng = random.Random(8)
+    base = ["b%d" % k for k in range(100)]
+    rows = []
+    for i in range(500):
+        text = list(base)
+        for at in rng.sample(range(100), 2):
+            text[at] = "e%d" % rng.randrange(10**6)
+        rows.append((i, " ".join(text), "en", "s"))
+    made, stored = {}, jaccard_join.stored
+
+    def counted(df, name):
+        out = stored(df, name)
+        made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", counted)
+    got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.near_duplicates(make_docs(spark, rows)).collect())
+    assert got == brute_components(rows)
+    assert made["join-units"] < 20_000, made
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(30)] + [(100, k) for k in range(101, 140)] + [(7, 7)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
