@@ -37,7 +37,7 @@ from candela.llm.components import components
 WORDS, PERCENT = 5, 75
 #: Shingles that one task holds at a time while frequencies are counted, and before they are dealt out, about.
 #: A set costs nine bytes in every range that it meets, so wide ranges keep the exchanges near the shingles' own size.
-TOKENS_PER_RANGE, TOKENS_PER_FLUSH = 4_000_000, 2_000_000
+TOKENS_PER_RANGE, TOKENS_PER_FLUSH = 4_000_000, 500_000
 #: Slices in which a task counts its range, one after the other.
 SLICES = 8
 #: Seeds of the centres that each round draws, before all remaining pairs are taken; only the work depends on it.
@@ -153,45 +153,47 @@ def _unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return tuple(map(np.concatenate, (keys, lengths, tokens, counts)))
 
 
-def _scatter(docs: DataFrame, ranges: int, words: int) -> DataFrame:
-    """The shingles of every distinct set of a task, packed by range of their value."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        held: list[np.ndarray] = []
-        keys: list[int] = []
-
-        def flush() -> pa.RecordBatch:
-            owner = np.repeat(np.arange(len(held)), [len(t) for t in held])
-            tokens = np.concatenate(held)
-            where = ((tokens >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
-            out = _packs(list(_pack(where, owner, np.array(keys, np.int64), tokens)))
-            held.clear()
-            keys.clear()
-            return out
-
-        total = 0
-        for batch in batches:
-            for start, stop in slices(batch):
-                for tokens in shingle_sets(raw_texts(batch, start, stop), words):
-                    if len(tokens) and (key := _key(tokens)) not in seen:
-                        seen.add(key)
-                        held.append(tokens)
-                        keys.append(key)
-                        total += len(tokens)
+def _scattered(batches: Iterable[pa.RecordBatch], ranges: int, words: int) -> Iterator[pa.RecordBatch]:
+    """The shingles of every distinct set in ``batches``, packed by range of their value, ``TOKENS_PER_FLUSH`` at a time."""
+    seen: set[int] = set()
+    held: list[np.ndarray] = []
+    keys: list[int] = []
+
+    def flush() -> pa.RecordBatch:
+        owner = np.repeat(np.arange(len(held), dtype=np.int32), [len(t) for t in held])
+        tokens = np.concatenate(held)
+        where = (((tokens >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)).astype(np.int32)
+        out = _packs(list(_pack(where, owner, np.array(keys, np.int64), tokens)))
+        held.clear()
+        keys.clear()
+        return out
+
+    total = 0
+    for batch in batches:
+        for start, stop in slices(batch):
+            for tokens in shingle_sets(raw_texts(batch, start, stop), words):
+                if len(tokens) and (key := _key(tokens)) not in seen:
+                    seen.add(key)
+                    held.append(tokens)
+                    keys.append(key)
+                    total += len(tokens)
                 if total >= TOKENS_PER_FLUSH:
                     yield flush()
                     total = 0
-        if held:
-            yield flush()
+    if held:
+        yield flush()
+
 
-    return docs.select("text").mapInArrow(run, _PACK)
+def _scatter(docs: DataFrame, ranges: int, words: int) -> DataFrame:
+    """The packed shingles of every distinct set of a task."""
+    return docs.select("text").mapInArrow(lambda batches: _scattered(batches, ranges, words), _PACK)
 
 
 def _shared(table: pa.Table, back: int) -> pa.Table:
     """Of one range of shingles, those that at least two sets hold, with their frequency, packed by range of the set's key.
 
-    The range is counted in ``SLICES`` by the shingles' next bits, so that one slice at a time is spread out."""
+    The range is counted in ``SLICES`` by the shingles' next bits, so that one slice at a time is spread out; what is
+    found is packed whenever it comes to ``TOKENS_PER_FLUSH``."""
     read = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for x in table.column(name)]  # noqa: E731  no copy
     part = table.column("part")[0].as_py()
     keys, packed = read("keys", np.int64), read("tokens", np.uint8)
@@ -201,7 +203,13 @@ def _shared(table: pa.Table, back: int) -> pa.Table:
     places = np.full(len(whole), -1, np.int32)
     places[first] = np.searchsorted(names, whole[first])  # a set that several tasks met counts once
     places = np.split(places, np.cumsum([len(k) for k in keys])[:-1])
-    found = []
+    found, packs = [], []
+
+    def flush() -> None:
+        owner, tokens, counts = map(np.concatenate, zip(*found, strict=True))
+        found.clear()
+        packs.append(_packs(list(_pack(names[owner] % back, owner, names, tokens, counts, part))))
+
     for k in range(SLICES):
         owners, parts = [], []
         for place, length, low in zip(places, lengths, packed, strict=True):
@@ -221,10 +229,11 @@ def _shared(table: pa.Table, back: int) -> pa.Table:
         counts = np.repeat(n, n)
         many = counts > 1
         found.append((owner[many], tokens[many], counts[many]))
-    if not found:
-        return pa.Table.from_batches([_packs([])])
-    owner, tokens, counts = map(np.concatenate, zip(*found, strict=True))
-    return pa.Table.from_batches([_packs(list(_pack(names[owner] % back, owner, names, tokens, counts, part)))])
+        if sum(len(x[1]) for x in found) >= TOKENS_PER_FLUSH:
+            flush()
+    if found:
+        flush()
+    return pa.Table.from_batches(packs or [_packs([])])
 
 
 _SETS = "key long, n int, gid long, single int, prefix array<long>, tokens array<long>"
@@ -242,32 +251,34 @@ def _assemble(table: pa.Table, sizes: pa.Table, percent: int) -> pa.Table:
     owner = np.repeat(np.searchsorted(names, keys), lengths)
     known, n_of = sizes.column("key").to_numpy(), sizes.column("n").to_numpy()
     by_key = np.argsort(known)
-    n_of = n_of[by_key][np.searchsorted(known, names, sorter=by_key)].tolist()
+    n = n_of[by_key[np.searchsorted(known, names, sorter=by_key)]].astype(np.int64)
     order = np.lexsort((tokens, counts, owner))
     tokens = tokens[order].view(np.int64)
-    cuts = np.searchsorted(owner[order], np.arange(len(names) + 1))
-    out = []
-    for i, key in enumerate(names.tolist()):
-        n, own = n_of[i], tokens[cuts[i] : cuts[i + 1]]
-        need = -(-percent * n // 100)
-        if len(own) < need:
-            continue
-        single = n - len(own)
-        prefix = own[: n - need + 1 - single]
-        gid = int(np.uint64(xxhash.xxh64_intdigest(np.array([n, single], np.int64).tobytes() + prefix.tobytes())).view(np.int64))
-        out.append((key, n, gid, single, prefix.tolist(), own.tolist()))
-    values = zip(*out, strict=True) if out else [[]] * 6
-    return pa.table([pa.array(c, t) for c, t in zip(values, kinds, strict=True)], names=columns)
+    del order, counts
+    held = np.bincount(owner, minlength=len(names))
+    need = -(-percent * n // 100)
+    keep = held >= need
+    at = np.arange(len(tokens)) - np.repeat(np.cumsum(held) - held, held)  # owners are in order by now
+    first = at < np.repeat(np.where(keep, held - need + 1, 0), held)  # the prefix: n - need + 1 without the dropped shingles
+    tokens, first = tokens[kept := np.repeat(keep, held)], first[kept]
+    del at, kept, owner
+    names, n, held, need = names[keep], n[keep], held[keep], need[keep]
+    prefix, cuts = tokens[first], np.concatenate(([0], np.cumsum(held - need + 1)))
+    single = n - held
+    digest = xxhash.xxh64_intdigest
+    gids = [digest(np.array([n[i], single[i]], np.int64).tobytes() + prefix[cuts[i] : cuts[i + 1]].tobytes()) for i in range(len(names))]
+    lists = [pa.ListArray.from_arrays(pa.array(c, pa.int32()), pa.array(x, pa.int64())) for c, x in ((cuts, prefix), (np.concatenate(([0], np.cumsum(held))), tokens))]
+    flat = [pa.array(c, t) for c, t in zip((names, n, np.array(gids, np.uint64).view(np.int64), single), kinds, strict=False)]
+    return pa.table([*flat, *lists], names=columns)
 
 
 def candidates_sets(docs: DataFrame, classes: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The distinct sets that share enough shingles with others; ``classes`` is ``sets_of`` the same documents."""
     total = classes.agg(F.sum("n")).first()[0] or 0
     ranges = max(1, -(-total // TOKENS_PER_RANGE))
-    back = max(1, -(-ranges // 4))
     packs = _scatter(docs, ranges, words)
-    shared = packs.groupBy("range").applyInArrow(lambda t: _shared(t, back), _PACK)
-    sizes = classes.where("key is not null").groupBy("key").agg(F.max("n").alias("n")).withColumn("range", F.pmod("key", F.lit(back)).cast("int"))
+    shared = packs.groupBy("range").applyInArrow(lambda t: _shared(t, ranges), _PACK)  # all shingles may be shared, so as many ranges of sets
+    sizes = classes.where("key is not null").groupBy("key").agg(F.max("n").alias("n")).withColumn("range", F.pmod("key", F.lit(ranges)).cast("int"))
     whole = shared.groupBy("range").cogroup(sizes.groupBy("range"))
     return stored(whole.applyInArrow(lambda t, n: _assemble(t, n, percent), _SETS), "join-sets")
 

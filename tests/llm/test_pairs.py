@@ -7,8 +7,11 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,6 +176,29 @@ def test_a_loose_family_is_joined_before_all_pairs_are_taken(spark, monkeypatch)
     assert made["join-units"] < 20_000, made
 
 
+def peak_mb(run):
+    tracemalloc.start()
+    try:
+        out = run()
+        return tracemalloc.get_traced_memory()[1] / 1e6, out
+    finally:
+        tracemalloc.stop()
+
+
+def test_join_tasks_hold_little_at_a_time():
+    """Half of every text is shared with another one. The peak counts what a step allocates beside its input."""
+    part = lambda c, k: " ".join(f"{c}{k}.{j}" for j in range(4000))
+    batch = pa.RecordBatch.from_pydict({"text": [part("s", k // 2) + " " + part("t", k // 4) + " " + str(k) for k in range(400)]})
+    packed, packs = peak_mb(lambda: list(jaccard_join._scattered(iter([batch]), 1, 5)))
+    assert packed < 60
+    found, back = peak_mb(lambda: jaccard_join._shared(pa.Table.from_batches(packs), 1))
+    assert found < 120
+    keys = np.unique(np.concatenate([np.frombuffer(k, np.int64) for k in back.column("keys").to_pylist()]))
+    sizes = pa.table({"key": keys, "n": np.full(len(keys), 7997, np.int64)})
+    assembled, sets = peak_mb(lambda: jaccard_join._assemble(back, sizes, 75))
+    assert sets.num_rows == 400 and assembled < 160
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(30)] + [(100, k) for k in range(101, 140)] + [(7, 7)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
