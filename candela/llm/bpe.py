@@ -32,8 +32,8 @@ from candela.llm.tokens import MEMO_LENGTH, MEMO_WORDS, byte_alphabet, drops_spa
 
 #: Stands for the end-of-word mark; byte-level alphabets do not contain it.
 END = "\0"
-#: Pairs, pieces kept by a worker; only speed depends on it.
-TABLE_SIZE = 1 << 20
+#: Pairs kept by a task; only memory and speed depend on it.
+TABLE_SIZE = 1 << 18
 
 
 class OffsetTable:
@@ -240,6 +240,11 @@ class Encoder:
         parts = [long[w] if w in long else memo[w] for w in words] if long else map(memo.__getitem__, words)
         return np.frombuffer(b"".join(parts), "<u4")
 
+    def forget(self) -> None:
+        """Let go of what texts have taught: the tokenizer alone is kept."""
+        self.words, self.pieces = {}, {}
+        self.merges.table.clear()
+
     def decode(self, ids: np.ndarray) -> bytes:
         """UTF-8 of the tokens joined by a space, which is what a file without a decoder asks for."""
         return self.tokens.gather(ids)[:-1]
@@ -252,7 +257,7 @@ _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """The worker's encoder for a tokenizers file."""
+    """The worker's encoder for a tokenizers file. Workers outlive tasks, so a task empties its memos in the end."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
@@ -272,19 +277,24 @@ def bpe_digest(docs: DataFrame, tokenizer: str | None = None, id_column: str = "
     return _run(docs, tokenizer, id_column, text_column, "n_tokens long, ids_sha256 string, decoded_sha256 string", lambda enc, ids: (len(ids), sha(enc.decimal(ids)), sha(enc.decode(ids))))
 
 
-def _run(docs: DataFrame, tokenizer: str | None, id_column: str, text_column: str, schema: str, result) -> DataFrame:
-    ship(docs.sparkSession)
-    path = tokenizer or tokenizer_path()
-    kinds = {"array<long>": pa.list_(pa.int64()), "long": pa.int64(), "string": pa.string()}
-    names, types = zip(*((f.split(" ")[0], kinds[f.split(" ")[1]]) for f in schema.split(", ")), strict=True)
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+def _encoded(batches: Iterator[pa.RecordBatch], path: str, names: tuple[str, ...], types: tuple[pa.DataType, ...], result) -> Iterator[pa.RecordBatch]:
+    """A task's rows: doc_id and what ``result`` makes of the encoder and a text's ids."""
+    enc = encoder(path)
+    try:
         for batch in batches:
             for start, stop in slices(batch):
                 rows = [result(enc, enc.encode(text)) for text in texts(batch, start, stop)]
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(start, stop - start), *columns], names=["doc_id", *names])
+    finally:
+        enc.forget()
+
+
+def _run(docs: DataFrame, tokenizer: str | None, id_column: str, text_column: str, schema: str, result) -> DataFrame:
+    ship(docs.sparkSession)
+    path = tokenizer or tokenizer_path()
+    kinds = {"array<long>": pa.list_(pa.int64()), "long": pa.int64(), "string": pa.string()}
+    names, types = zip(*((f.split(" ")[0], kinds[f.split(" ")[1]]) for f in schema.split(", ")), strict=True)
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    return rows.mapInArrow(encode, f"doc_id long, {schema}")
+    return rows.mapInArrow(lambda batches: _encoded(batches, path, names, types, result), f"doc_id long, {schema}")

@@ -12,7 +12,7 @@ tell from either part.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from candela.llm.common import ship, slices, texts
 from candela.llm.labelled import held_out, prior, sample
-from candela.llm.tokens import MEMO_LENGTH, MEMO_WORDS, words_of
+from candela.llm.tokens import MEMO_LENGTH, words_of
 
 BITS = 20
 SHORTEST, LONGEST = 3, 8
@@ -32,6 +32,9 @@ PER_CLASS = 3000
 FEATURES, LEAST = 3000, 5
 FACTORS, EPOCHS, RATE, L2 = 8, 40, 0.1, 2e-3
 THRESHOLD = 0.3
+#: Words of a reader's memo until it becomes the older one, from which words met again come back; words whose terms are
+#: spread out at once; features that a task counts before it hands them on. Only memory and speed depend on them.
+MEMO_WORDS, BLOCK_WORDS, FLUSH_FEATURES = 1 << 16, 1 << 16, 1 << 18
 _STRIP = ".,;:!?\"'()[]{}|*%&$#<>-_/\\"
 
 
@@ -40,79 +43,107 @@ def terms(word: str) -> list[int]:
     w = word.strip(_STRIP).lower()
     if len(w) < SHORTEST:
         return []
-    crc, cut = zlib.crc32, 32 - BITS
-    return [crc(b"=" + w.encode("utf-8", "replace")) >> cut] + [crc(b"^" + w[:k].encode("utf-8", "replace")) >> cut for k in range(SHORTEST, min(len(w), LONGEST) + 1)]
+    crc, cut, raw = zlib.crc32, 32 - BITS, w.encode("utf-8", "replace")
+    first = [raw[:k] if len(raw) == len(w) else w[:k].encode("utf-8", "replace") for k in range(SHORTEST, min(len(w), LONGEST) + 1)]
+    return [crc(b"=" + raw) >> cut, *(crc(b"^" + start) >> cut for start in first)]
 
 
-def density(count: int, n: int) -> int:
-    """Level 1 to 10: doubling of the count per 512 words."""
-    return 1 + max(0, min(9, (512 * count // n).bit_length()))
+def summed(keys: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct ``keys`` in order, and the sums of each of the ``counts`` over equal ones."""
+    names, place = np.unique(keys, return_inverse=True)
+    return names, *(np.bincount(place, c, len(names)).astype(np.int64) for c in counts)
 
 
-def document_features(words: list[str], memo: dict[str, tuple[int, ...]]) -> set[int]:
-    """Features of one document: 16 times a term's hash, plus 0 (the term occurs) and every density level
-    that it reaches. ``memo`` gives the terms of each of its words."""
-    n = len(words)
-    counts: Counter = Counter()
-    for found in map(memo.__getitem__, words):
-        if found:
-            counts.update(found)
-    out: set[int] = set()
-    for t, c in counts.items():
-        out.update(range(t << 4, (t << 4) + density(c, n) + 1))
-    return out
+def density(counts: np.ndarray, n: int) -> np.ndarray:
+    """Level 1 to 10 of each count: doubling of the count per 512 words."""
+    return 1 + np.minimum(9, np.frexp(512 * counts // n)[1])  # the exponent is the bit length
+
+
+def document_features(words: list[str], memo: dict[str, bytes]) -> np.ndarray:
+    """Features of one document in order: 16 times a term's hash, plus 0 (the term occurs) and every density level
+    that it reaches. ``memo`` gives the packed terms of each of its words."""
+    found, counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    for k in range(0, len(words), BLOCK_WORDS):
+        more, n = np.unique(np.frombuffer(b"".join(map(memo.__getitem__, words[k : k + BLOCK_WORDS])), np.uint32), return_counts=True)
+        found, counts = summed(np.concatenate((found, more)), np.concatenate((counts, n))) if k else (more, n)
+    sizes = density(counts, len(words)) + 1
+    ends = np.cumsum(sizes)
+    return np.repeat(found.astype(np.int32) << 4, sizes) + (np.arange(len(sizes) and ends[-1], dtype=np.int32) - np.repeat((ends - sizes).astype(np.int32), sizes))
 
 
 class Reader:
-    """Terms of words, kept for a worker; with ``wanted``, only terms that can give a wanted feature."""
+    """Terms of words, kept for a task; with ``wanted``, only terms that can give a wanted feature."""
 
     def __init__(self, wanted: set[int] | None = None):
-        self.wanted = wanted
+        self.wanted = None if wanted is None else np.array(sorted(wanted), np.int32)
         self.wanted_terms = None if wanted is None else {f >> 4 for f in wanted}
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def _terms(self, word: str) -> tuple[int, ...]:
+    def _terms(self, word: str) -> bytes:
         found = terms(word)
-        return tuple(found if self.wanted_terms is None else self.wanted_terms.intersection(found))
+        return array("I", found if self.wanted_terms is None else self.wanted_terms.intersection(found)).tobytes()
 
-    def features(self, text: str) -> set[int]:
+    def features(self, text: str) -> np.ndarray:
+        """Features of a text, those wanted, in order."""
         words = words_of(text)
         memo = self.memo
         new = set(words).difference(memo)
         if len(memo) + len(new) > MEMO_WORDS:
-            memo.clear()
+            self.older, self.memo = memo, (memo := {})
             new = set(words)
-        memo.update((w, self._terms(w)) for w in new)
+        older = self.older
+        memo.update((w, older[w] if w in older else self._terms(w)) for w in new)
         out = document_features(words, memo)
         for w in new:
             if len(w) > MEMO_LENGTH:
                 del memo[w]
-        return out if self.wanted is None else out & self.wanted
+        return out if self.wanted is None else np.intersect1d(out, self.wanted, assume_unique=True)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many texts of label 0 and of label 1 (a, b) hold a feature. A feature may come again, in a later batch, when
+    more than ``FLUSH_FEATURES`` have been met."""
+    reader = Reader()
+    counts = nothing = (np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    held: list[tuple[np.ndarray, int]] = []
+
+    def added() -> tuple[np.ndarray, ...]:
+        ones = np.repeat([y for _, y in held], [len(x) for x, _ in held])
+        keys = [x for x, _ in held]
+        held.clear()
+        return summed(np.concatenate((counts[0], *keys)), np.concatenate((counts[1], 1 - ones)), np.concatenate((counts[2], ones)))
+
+    def packed() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in counts], names=["feature", "a", "b"])
+
+    total = 0
+    for batch in batches:
+        ys = batch.column("y").to_pylist()
+        for start, stop in slices(batch):
+            for k, text in enumerate(texts(batch, start, stop), start):
+                held.append((reader.features(text), ys[k]))
+                total += len(held[-1][0])
+                if total >= FLUSH_FEATURES:
+                    counts, total = added(), 0
+                    if len(counts[0]) >= FLUSH_FEATURES:
+                        yield packed()
+                        counts = nothing
+    if held:
+        counts = added()
+    yield packed()
 
 
 def _select(rows: DataFrame, n: dict[int, int], most: int) -> list[int]:
     """The features that tell the classes apart best: log-likelihood ratio of their document counts."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, seen = Reader(), (Counter(), Counter())
-        for batch in batches:
-            ys = batch.column("y").to_pylist()
-            for start, stop in slices(batch):
-                for k, text in enumerate(texts(batch, start, stop), start):
-                    seen[ys[k]].update(reader.features(text))
-        for feature in (sorted(set(seen[0]) | set(seen[1])),):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(feature, pa.int64()), pa.array([seen[0][f] for f in feature], pa.int64()), pa.array([seen[1][f] for f in feature], pa.int64())],
-                names=["feature", "a", "b"],
-            )
-
     def part(x: str, total: int) -> str:  # x * ln(p) + (total - x) * ln(1 - p) at its own share
         return f"(if({x} > 0, {x} * ln({x} / {total}), 0) + if({total} > {x}, ({total} - {x}) * ln(({total} - {x}) / {total}), 0))"
 
     both = n[0] + n[1]
     ratio = F.expr(f"{part('a', n[0])} + {part('b', n[1])} - {part('(a + b)', both)}")
     found = (
-        rows.mapInArrow(count, "feature long, a long, b long")
+        rows.mapInArrow(_counted, "feature long, a long, b long")
         .groupBy("feature")
         .agg(F.sum("a").cast("double").alias("a"), F.sum("b").cast("double").alias("b"))
         .where(F.col("a") + F.col("b") >= LEAST)
@@ -132,7 +163,7 @@ def _vectors(rows: DataFrame, features: list[int]) -> list[tuple[int, list[int]]
         reader = Reader(wanted)
         for batch in batches:
             for start, stop in slices(batch):
-                x = [sorted(reader.features(t)) for t in texts(batch, start, stop)]
+                x = [reader.features(t) for t in texts(batch, start, stop)]
                 yield pa.RecordBatch.from_arrays([batch.column("y").slice(start, stop - start), pa.array(x, pa.list_(pa.int64()))], names=["y", "x"])
 
     return sorted((r["y"], list(r["x"])) for r in rows.mapInArrow(run, "y int, x array<long>").collect())
@@ -197,7 +228,7 @@ def scorer(model: dict):
     def run(part: list[str]) -> np.ndarray:
         if model["w0"] is None:
             return np.full(len(part), model["prior"])
-        found = [[place[f] for f in reader.features(t)] for t in part]
+        found = [[place[f] for f in reader.features(t).tolist()] for t in part]
         where = np.repeat(np.arange(len(part)), [len(f) for f in found])
         index = np.array([i for f in found for i in f], np.int64)
         z, _ = margin(model["w0"], model["w"], model["v"], where, index, len(part))

@@ -5,15 +5,18 @@ from __future__ import annotations
 import itertools
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 
-from candela.llm import language, quality, toxicity
+from candela.llm import bpe, language, quality, toxicity
 from candela.llm.labelled import logistic
+from candela.llm.tokens import tokenizer_path
 from tests.llm.conftest import odd_rows
 
 WORDS = ["insulto", "gruppen", "Gruppe,", "haus", "hat", "ok", "<|x|>", "naïve", "ΑΣΑ", "langeswort"]
@@ -44,6 +47,42 @@ def test_machine_score_is_the_double_sum_over_pairs():
         assert got == pytest.approx(1 / (1 + math.exp(-min(30, max(-30, z)))), abs=1e-9)
 
 
+def test_features_are_counted_whole_and_with_little_memory(monkeypatch):
+    """A task hands its counts on in parts, forgets words on the way and spreads long texts in blocks."""
+    rng = random.Random(8)
+    texts = ["", *(" ".join(rng.choices(WORDS, k=rng.randint(1, 90))) + f" wort{k} wort{k // 2}" for k in range(60))]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "y": pa.array([k % 3 % 2 for k in range(len(texts))], pa.int32())})
+    want = Counter()
+    for k, text in enumerate(texts):
+        want.update((f, k % 3 % 2) for f in hand_features(text))
+    for size in (1 << 16, 20):
+        for name in ("MEMO_WORDS", "BLOCK_WORDS", "FLUSH_FEATURES"):
+            monkeypatch.setattr(toxicity, name, size)
+        got = Counter()
+        for part in toxicity._counted(iter([batch])):
+            for feature, a, b in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                got.update({(feature, 0): a, (feature, 1): b})
+        assert +got == want
+    monkeypatch.undo()
+    many = pa.RecordBatch.from_pydict({"text": [" ".join(f"{k}q{j}word" for j in range(500)) for k in range(400)], "y": pa.array([k % 2 for k in range(400)], pa.int32())})
+    tracemalloc.start()
+    try:
+        for part in toxicity._counted(iter([many])):
+            del part
+        assert tracemalloc.get_traced_memory()[1] < 130e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_bpe_task_leaves_no_words_in_its_worker():
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["many different words", None]})
+    result = lambda enc, ids: (len(ids), len(enc.words))
+    rows = [r for part in bpe._encoded(iter([batch]), tokenizer_path(), ("n", "known"), (pa.int64(), pa.int64()), result) for r in part.to_pylist()]
+    assert rows[0]["n"] >= 3 and rows[0]["known"] == 3 and rows[1]["n"] == 0
+    enc = bpe.encoder(tokenizer_path())
+    assert not enc.words and not enc.pieces and not enc.merges.table
+
+
 def matched_pairs(n, rng):
     """(label, features): one of two insults, one of two groups, some noise; only an insult with its own group is toxic."""
     out = []
